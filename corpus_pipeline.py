@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statloom.llm import decontaminate, quality_rules, simhash
+from statloom.llm import decontaminate, quality_rules, simhash, suffix_dedup
 from statloom.session import shared_dir, table
 
 
@@ -18,12 +18,17 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_first(spark, docs)
 
 
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without bytes that an earlier place has."""
+    return suffix_dedup.remove_repeats(spark, docs)
+
+
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark window."""
     return decontaminate.drop_contaminated(spark, docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("quality_rules", quality), ("simhash_near_dedup", near_dedup), ("decontamination", benchmark_free)]
+STAGES = [("quality_rules", quality), ("simhash_near_dedup", near_dedup), ("suffix_dedup", repeats), ("decontamination", benchmark_free)]
 
 ORACLE_SQL = None
 

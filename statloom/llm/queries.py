@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
-from . import decontaminate, quality_rules, simhash
+from . import decontaminate, quality_rules, simhash, suffix_dedup
+
+
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_bytes(spark, table(spark, sf_dir, "documents"))
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +27,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op6_decontaminate": op6_decontaminate,
     "op8_quality_rules": op8_quality_rules,
     "op10_simhash": op10_simhash,
