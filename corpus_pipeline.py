@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from statloom.llm import decontaminate, quality_rules, simhash, suffix_dedup
+from statloom.llm import decontaminate, packing, quality_rules, simhash, suffix_dedup
 from statloom.session import shared_dir, table
 
 
@@ -28,7 +29,12 @@ def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return decontaminate.drop_contaminated(spark, docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("quality_rules", quality), ("simhash_near_dedup", near_dedup), ("suffix_dedup", repeats), ("decontamination", benchmark_free)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The places of all pieces in training sequences."""
+    return packing.pack(spark, docs, public_tokenizers.path("word_bpe_49k.json"), 1)
+
+
+STAGES = [("quality_rules", quality), ("simhash_near_dedup", near_dedup), ("suffix_dedup", repeats), ("decontamination", benchmark_free), ("packing", pack)]
 
 ORACLE_SQL = None
 

@@ -6,11 +6,13 @@ hashed byte n-grams are under the trusted-target multinomial than under the
 raw-corpus multinomial, per n-gram; every document is held against one
 threshold.
 
-Both multinomials are sums over all documents: the raw one over every
-document, the target one over every document with a positive label. Tasks add
-up their own counts first, so one row per bucket and task is shuffled and the
-model that returns to the driver has ``buckets`` rows at any input size. The
-threshold comes from a histogram of the labelled documents' scores.
+The raw multinomial is a sum over every document. The target one is fitted on
+the documents with a positive label among at most ``LABELLED_ROWS`` labelled
+ones, those of least hash; only this bounded list is broadcast, so texts are
+never shuffled. Tasks add up their own counts first, so one row per bucket and
+task is shuffled and the model that returns to the driver has ``buckets`` rows
+at any input size. The threshold comes from a histogram of the scores of the
+same labelled documents.
 
 Defined results: a null or empty text has no words and fails the base rules;
 without labels of both kinds the target is every document that passes the
@@ -31,12 +33,16 @@ from ._bytes import BYTE_CODE, U64, VISIBLE, Rolling, flat_text, groups, lengths
 
 BUCKETS = 1 << 15
 DEFAULT_THRESHOLD = -0.25
+#: Bound of the labelled rows that the target model and the threshold are fitted on.
+LABELLED_ROWS = 50_000
 SMOOTHING = 1.0
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 #: A wrongly rejected document weighs as much as this many wrongly kept ones.
 REJECT_COST = 20
+#: Cuts within this of the best one count as equally good.
+SLACK = 0.005
 #: Score histogram: bins of this width from -8 to 8 nats per n-gram.
 BIN, EDGE = 0.02, 8.0
 
@@ -114,13 +120,11 @@ def _count_batches(batches: Iterator[pa.RecordBatch], buckets: int, labelled: bo
 
 
 def fit(docs: DataFrame, labels: DataFrame | None, buckets: int = BUCKETS) -> dict:
-    """Log-ratio per bucket from all documents, and the threshold.
-
-    The labelled side of the join is only (doc_id, quality): one small row a label.
-    """
-    frame, labelled = docs.select("doc_id", "text"), False
+    """Log-ratio per bucket from all documents, and the threshold."""
+    labelled = False
     if labels is not None:
         marks = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+        marks = F.broadcast(marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED_ROWS))
         kinds = {r[0] for r in marks.groupBy("quality").count().limit(3).collect()}
         labelled = {0, 1} <= kinds
     if labelled:
@@ -144,9 +148,9 @@ def fit(docs: DataFrame, labels: DataFrame | None, buckets: int = BUCKETS) -> di
         for r in scored.groupBy("bin", "quality").agg(F.sum("n").alias("n")).collect():
             tally[int(r["quality"] == 1), r["bin"]] += r["n"]
         bad, good = np.cumsum(tally[0]) / max(1, tally[0].sum()), np.cumsum(tally[1]) / max(1, tally[1].sum())
-        # The cut with the least weighted error; where several cuts tie, the middle of the gap.
+        # The middle of the cuts whose weighted error is all but the least.
         gain = np.round(bad - REJECT_COST * good, 9)
-        best = np.flatnonzero(gain == gain.max())
+        best = np.flatnonzero(gain >= gain.max() - SLACK)
         model["threshold"] = float(-EDGE + BIN * (best[0] + best[-1] + 2) / 2)
     return model
 

@@ -4,16 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import table
-from . import decontaminate, quality_rules, simhash, suffix_dedup
+from ..session import shared_dir, table
+from . import decontaminate, packing, quality_rules, simhash, suffix_dedup, token_files
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_bytes(spark, table(spark, sf_dir, "documents"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1)
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = token_files.write_tokens(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 0, shared_dir(spark))
+    return token_files.read_back(spark, made)
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -28,6 +38,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op3_packing": op3_packing,
+    "op4_token_files": op4_token_files,
     "op6_decontaminate": op6_decontaminate,
     "op8_quality_rules": op8_quality_rules,
     "op10_simhash": op10_simhash,
