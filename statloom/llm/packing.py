@@ -40,8 +40,10 @@ from ._bytes import flat_text
 from .encode import encoded_groups
 
 LENGTH = 4096
-STEP = 128
-PARTS = 4
+STEP = 64
+PARTS = 3
+#: Shares of the fitted repeats that are tried.
+SHARES = (1.0, 0.5, 0.2)
 #: Ranks are counted in this many groups for each length.
 SALTS = 64
 
@@ -79,11 +81,26 @@ def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 400) -> np.ndarray:
     return x
 
 
-def plan(histogram: dict[int, int], length: int = LENGTH, step: int = STEP, parts: int = PARTS) -> list[tuple[int, list[tuple[int, int]]]]:
-    """[(sequences, [(piece length, how many in each)])], placing every piece of the histogram."""
+Plan = list[tuple[int, list[tuple[int, int]]]]
+
+
+def plan(histogram: dict[int, int], length: int = LENGTH, step: int = STEP, parts: int = PARTS) -> Plan:
+    """[(sequences, [(piece length, how many in each)])], placing every piece of the histogram.
+
+    Patterns fitted to all pieces use up the short ones that would fill the
+    room which rounding leaves, so plans that realise smaller shares of the
+    fitted repeats are made as well and the one of fewest sequences is taken.
+    """
     left = {n: c for n, c in histogram.items() if c > 0}
     if not left:
         return []
+    patterns, repeats = fit(left, length, step, parts)
+    made = [_realise(left, patterns, np.floor(repeats * share + 1e-6).astype(np.int64), length, step) for share in SHARES]
+    return min(made, key=lambda p: sum(c for c, _ in p))
+
+
+def fit(left: dict[int, int], length: int, step: int, parts: int) -> tuple[list[tuple[int, ...]], np.ndarray]:
+    """The patterns and their repeats by non-negative least squares."""
     units = -(-length // step)
     held = np.zeros(units + 1, np.int64)
     for n, c in left.items():
@@ -95,8 +112,15 @@ def plan(histogram: dict[int, int], length: int = LENGTH, step: int = STEP, part
             a[k - 1, j] += 1
     # Rows are weighted by 1/sqrt(count), so that rare lengths are fitted too.
     weight = 1.0 / np.sqrt(np.maximum(held[1:], 1))
-    repeats = np.floor(nnls(a * weight[:, None], held[1:] * weight) + 1e-6).astype(np.int64)
+    return patterns, nnls(a * weight[:, None], held[1:] * weight)
 
+
+def _realise(left: dict[int, int], patterns: list[tuple[int, ...]], repeats: np.ndarray, length: int, step: int) -> Plan:
+    """Uses each pattern as often as asked and as pieces last, then packs the residual pieces by best fit."""
+    units = -(-length // step)
+    held = np.zeros(units + 1, np.int64)
+    for n, c in left.items():
+        held[-(-n // step)] += c
     # Longest first inside each rounded class.
     stock = {u: [[n, left[n]] for n in sorted((n for n in left if -(-n // step) == u), reverse=True)] for u in range(1, units + 1)}
     groups: list[tuple[int, list[int]]] = []
