@@ -16,16 +16,20 @@ from pyspark.sql import types as T
 
 # Fixed value: a product code, two capitals and four digits.
 CODE = r"^[A-Z]{2}[0-9]{4}\z"
-# Fixed value: extensions of document files.
-DOCUMENT_FILE = r"(?i)\.(pdf|docx?|xlsx?|zip|odt|ods|rtf)([?#]|$)"
+# Fixed value: a code inside a text.
+CODE_IN_TEXT = r"(?<![A-Za-z0-9])([A-Za-z]{2}[0-9]{4})(?![A-Za-z0-9])"
+# Fixed value: a year inside a text.
+YEAR_IN_TEXT = r"(?<![0-9])((?:19|20)[0-9]{2})(?![0-9])"
+# Fixed value: links that are taken for documents.
+DOCUMENT_FILE = r"(?iu)\.(pdf|docx?|xlsx?)(\?|$)|/download/|getFile|urn\.kb\.se|metadata\.scb\.se|kvalitetsdeklaration"
 # Ordered document classes with the pattern that decides each.
 KINDS = [
-    ("metaplus", r"(?iu)metaplus|mikrodata"),
-    ("scbdok", r"(?iu)scbdok"),
-    ("statistikens framställning", r"(?iu)statistikens\s+framst[äa]llning|(^|[^a-z])staf([^a-z]|$)"),
-    ("beskrivning av statistiken", r"(?iu)beskrivning\s+av\s+statistiken|(^|[^a-z])bas([^a-z]|$)"),
-    ("kvalitetsrapport", r"(?iu)kvalitetsrapport"),
-    ("kvalitetsdeklaration", r"(?iu)kvalitetsdeklaration|(^|[^a-z])kd([^a-z]|$)"),
+    ("metaplus", r"(?iu)metadata\.scb\.se|metaplus"),
+    ("scbdok", r"(?iu)scbdok|(?<![a-z])do[_-]\d{4}|_do[_.]"),
+    ("statistikens framställning", r"(?iu)statistikens[ _-]?framst|(?<![a-z])staf(?![a-z])|framstallning"),
+    ("beskrivning av statistiken", r"(?iu)beskrivning[ _-]av[ _-]statistiken|(?<![a-z])bs[_-]\d{4}|_bs[_.]|_beskr|(?<![a-z])bas(?![a-z])"),
+    ("kvalitetsrapport", r"(?iu)kvalitetsrapport|quality[ _-]report"),
+    ("kvalitetsdeklaration", r"(?iu)kvalitetsdeklaration|kvalitetsdokumentation|(?<![a-z])kd(?![a-z])|quality[ _-]declaration|(?<![a-zåäö])kvalitet(?![a-zåäö])"),
 ]
 # Heading words that decide where file name and text do not.
 HEADINGS = [("framst", "statistikens framställning"), ("kvalitet", "kvalitetsdeklaration"), ("mikrodata", "metaplus")]
@@ -34,7 +38,11 @@ CHANGES = [
     ("new_product", r"(?iu)\bny(tt|a)?\s+(produkt|unders[öo]kning|statistik)"), ("name", r"(?iu)namn|ben[äa]mning"), ("content", r"(?iu)inneh[åa]ll"), ("periodicity", r"(?iu)periodicitet"),
     ("inactive", r"(?iu)vilande|inaktiv"), ("closed", r"(?iu)upph[öo]r|nedlagd|avslutad"), ("status", r"(?iu)status|officiell"), ("merge", r"(?iu)sammanslag|sl[åa]s\s+(ihop|samman)"),
 ]
-STOP_WORDS = ("statistik", "statistiken", "svenska", "sverige", "samt", "efter", "kvalitetsdeklaration", "beskrivning")
+# Words that say nothing about a product.
+STOP_WORDS = (
+    "statistik", "statistiken", "och", "för", "med", "som", "inom", "efter", "per", "samt", "the", "and", "kvalitetsdeklaration", "statistikens", "framställning",
+    "pdf", "docx", "läs", "läsår", "läsåret", "år", "hösten", "våren", "område", "områdets", "uppgifter", "officiell", "officiella", "sveriges",
+)
 
 
 # --- white space, HTML, tokens ----------------------------------------------
@@ -59,9 +67,10 @@ def bare_row(c: Column) -> Column:
 
 
 def tokens(c: Column) -> Column:
-    """Distinct six-letter stems of the words of four letters or more that are no stop words."""
-    words = F.split(F.regexp_replace(F.lower(unquote(c)), r"[^\p{L}]+", " "), " ")
-    return F.array_distinct(F.transform(F.filter(words, lambda w: (F.length(w) >= 4) & ~w.isin(*STOP_WORDS)), lambda w: F.substring(w, 1, 6)))
+    """Distinct six-letter stems of the words of four letters or more that are no numbers and no stop words."""
+    words = F.split(F.regexp_replace(F.lower(unquote(F.coalesce(c, F.lit("")))), r"[^a-zåäö0-9]+", " "), " ")
+    kept = F.filter(words, lambda w: (F.length(w) >= 4) & ~w.isin(*STOP_WORDS) & ~w.rlike(r"^[0-9]+\z"))
+    return F.array_distinct(F.transform(kept, lambda w: F.substring(w, 1, 6)))
 
 
 def overlap(a: Column, b: Column) -> Column:
@@ -98,7 +107,9 @@ def url_path(c: Column) -> Column:
 
 
 def url_file(c: Column) -> Column:
-    return unquote(F.regexp_extract(url_path(c), r"([^/]*)$", 1))
+    """The last step of the path, decoded; of relative addresses too."""
+    path = F.regexp_replace(F.regexp_replace(c, r"[?#].*$", ""), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*", "")
+    return unquote(F.regexp_extract(path, r"([^/]*)$", 1))
 
 
 def url_query(c: Column) -> Column:
@@ -154,13 +165,13 @@ def is_code(c: Column) -> Column:
 
 def codes_in(c: Column) -> Column:
     """Distinct product codes of a text, in order, as capitals."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(c, F.lit(r"(?i)(?<![a-z0-9])([a-z]{2}[0-9]{4})(?![0-9])"), 1), F.upper))
+    return F.array_distinct(F.transform(F.regexp_extract_all(c, F.lit(CODE_IN_TEXT), 1), lambda x: F.upper(x)))
 
 
-def find_code(file_name: Column, texts: list[Column], url: Column) -> Column:
+def find_code(url: Column, *texts: Column) -> Column:
     """File name, then texts, then the whole address: the first that has codes decides, and only if it has one."""
     out = None
-    for c in [file_name, *texts, url]:
+    for c in [url_file(url), *texts, unquote(url)]:
         found = codes_in(F.coalesce(c, F.lit("")))
         value = F.when(F.size(found) == 1, F.get(found, F.lit(0)))
         out = F.when(F.size(found) > 0, value) if out is None else out.when(F.size(found) > 0, value)
@@ -168,15 +179,15 @@ def find_code(file_name: Column, texts: list[Column], url: Column) -> Column:
 
 
 def years_in(c: Column) -> Column:
-    return F.regexp_extract_all(c, F.lit(r"(?<![0-9])((?:19|20)[0-9]{2})(?![0-9])"), 1)
+    return F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(YEAR_IN_TEXT), 1)
 
 
-def find_year(file_name: Column, texts: list[Column]) -> Column:
-    """The last year of the file name, else the first one of the first text that has any."""
-    found = years_in(F.coalesce(file_name, F.lit("")))
+def find_year(url: Column, *texts: Column) -> Column:
+    """The last year of the file name, else the first one of the first text that has any, else of the address."""
+    found = years_in(url_file(url))
     out = F.when(F.size(found) > 0, F.element_at(found, -1))
-    for c in texts:
-        found = years_in(F.coalesce(c, F.lit("")))
+    for c in [*texts, unquote(url)]:
+        found = years_in(c)
         out = out.when(F.size(found) > 0, F.get(found, F.lit(0)))
     return out
 
@@ -197,20 +208,22 @@ def leading_int(c: Column) -> Column:
 
 # --- classes ----------------------------------------------------------------
 
-def kind(file_name: Column, text: Column, heading: Column) -> Column:
+def kind(url: Column, text: Column, heading: Column | None = None) -> Column:
     """The first class whose pattern is in file name or text, else what the heading says."""
-    both = F.concat_ws(" ", F.coalesce(file_name, F.lit("")), F.coalesce(text, F.lit("")))
+    name, text = F.coalesce(url_file(url), F.lit("")), F.coalesce(text, F.lit(""))
     out = None
-    for name, p in KINDS:
-        out = F.when(both.rlike(p), name) if out is None else out.when(both.rlike(p), name)
-    for word, name in HEADINGS:
-        out = out.when(F.lower(F.coalesce(heading, F.lit(""))).contains(word), name)
+    for label, p in KINDS:
+        here = name.rlike(p) | text.rlike(p)
+        out = F.when(here, label) if out is None else out.when(here, label)
+    if heading is not None:
+        for word, label in HEADINGS:
+            out = out.when(F.lower(F.coalesce(heading, F.lit(""))).contains(word), label)
     return out
 
 
 def file_type(url: Column) -> Column:
-    found = F.lower(F.regexp_extract(url_path(url), r"\.([A-Za-z0-9]{2,4})$", 1))
-    return F.when(found == "", "html").when(found.isin("htm", "aspx"), "html").otherwise(found)
+    found = F.lower(F.regexp_extract(url, r"(?i)\.(pdf|docx?|xlsx?|html?)(?:\?|$)", 1))
+    return F.when(found != "", found).when(url.rlike("getFile|/download/|urn\\.kb\\.se"), "pdf?").otherwise("html")
 
 
 def change_kinds(text: Column) -> Column:
@@ -242,6 +255,14 @@ def norm_name(s: pd.Series) -> pd.Series:
     return s.map(lambda x: " ".join(re.sub(ABBREVIATION, "", unicodedata.normalize("NFC", x)).casefold().split()), na_action="ignore")
 
 
+@F.pandas_udf(T.StringType())
+def norm_agency(s: pd.Series) -> pd.Series:
+    """An agency's name without prefix and abbreviation, NFC, case-folded; NULL if nothing is left."""
+    from ..plans.warehouse import norm
+
+    return s.map(lambda x: norm(x) or None, na_action="ignore")
+
+
 def slug(c: Column) -> Column:
     plain = F.translate(F.lower(F.regexp_replace(c, ABBREVIATION, "")), "åäöéèüáàçñ", "aaoeeuaacn")
     return F.btrim(F.regexp_replace(plain, r"[^a-z0-9]+", "_"), F.lit("_"))

@@ -416,7 +416,7 @@ SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)'
  CASE WHEN regexp_matches(url, '(?i)\.(pdf|docx?|xlsx?|zip|odt|ods|rtf)([?#]|$)') THEN 'file' WHEN regexp_extract(url, '\?([^#]*)', 1) <> '' THEN 'query' WHEN contains(url, '#') THEN 'anchor' ELSE 'page' END AS kind FROM pages""")
 def url_parts_class(spark, d):
     u = F.col("url")
-    kind = F.when(u.rlike(X.DOCUMENT_FILE), "file").when(X.url_query(u) != "", "query").when(u.contains("#"), "anchor").otherwise("page")
+    kind = F.when(u.rlike(r"(?i)\.(pdf|docx?|xlsx?|zip|odt|ods|rtf)([?#]|$)"), "file").when(X.url_query(u) != "", "query").when(u.contains("#"), "anchor").otherwise("page")
     return table(spark, d, "pages").select("page_id", X.url_host(u).alias("host"), X.url_path(u).alias("path"), X.query_param(u, "id").alias("id"), kind.alias("kind"))
 
 
