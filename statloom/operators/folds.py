@@ -37,7 +37,11 @@ def continuation_groups(df: DataFrame, part: list[str], order: list[Column], is_
 def joined_rows(df: DataFrame, part: list[str], group: str, order: list[str], texts: list[str], pages: str | None = None) -> DataFrame:
     """One row per group: texts end to end in order, and the pages that it spans."""
     packed = F.sort_array(F.collect_list(F.struct(*order, *(F.col(t).alias(f"_{t}") for t in texts))))
-    out = [F.array_join(F.filter(F.transform(packed, lambda x, n=f"_{t}": x[n]), lambda s: s != ""), " ").alias(t) for t in texts]
+
+    def joined(t: str) -> Column:
+        return F.array_join(F.filter(F.transform(packed, lambda x: x[f"_{t}"]), lambda s: s != ""), " ").alias(t)
+
+    out = [joined(t) for t in texts]
     if pages:
         out.append(F.array_sort(F.collect_set(pages)).alias("pages"))
     return df.groupBy(*part, group).agg(*out)

@@ -515,3 +515,45 @@ def ordinal_zip(spark, d):
 @query("""SELECT o_orderpriority, o_orderstatus, count(*) AS n, CAST(sum(CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS even_keys FROM orders GROUP BY ALL""")
 def value_counts(spark, d):
     return table(spark, d, "orders").groupBy("o_orderpriority", "o_orderstatus").agg(F.count("*").alias("n"), F.sum(F.when(F.col("o_orderkey") % 2 == 0, 1).otherwise(0)).alias("even_keys"))
+
+
+# --- HTML and folds without SQL ---------------------------------------------------
+
+@query()
+def page_links(spark, d):
+    """Links of every page as absolute addresses."""
+    from ..sources import html
+
+    rows = html.explode_rows(table(spark, d, "pages").select("page_id", "url", "html"), "html", html.page_links, html.LINKS)
+    return rows.select("page_id", "ordinal", X.absolute_url(F.col("url"), F.col("href")).alias("target"), "text").where("target IS NOT NULL")
+
+
+@query()
+def page_sections(spark, d):
+    """Headings, paragraphs and link counts of every page."""
+    from ..sources import html
+
+    rows = html.explode_rows(table(spark, d, "pages").select("page_id", "html"), "html", html.sections, html.SECTIONS)
+    return rows.select("page_id", "ordinal", F.array_join("heading_path", " > ").alias("heading_path"), F.size("paragraphs").cast("bigint").alias("paragraphs"), F.size("links").cast("bigint").alias("links"))
+
+
+@query("""
+SELECT CASE WHEN o_orderkey % 10 = 0 THEN 'rejected' WHEN o_orderkey % 7 = 0 THEN 'rejected' ELSE 'ok' END AS state, count(*) AS n, count(DISTINCT CASE WHEN o_orderkey % 10 <> 0 AND o_orderkey % 7 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END) AS days FROM orders GROUP BY 1""")
+def html_rows(spark, d):
+    """Calendar rows built from orders, parsed or rejected with a reason; no row is lost."""
+    from ..sources import html
+
+    day = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.when(F.col("o_orderkey") % 10 == 0, "x").otherwise(""))
+    cell = lambda *c: F.concat(F.lit("<td>"), *c, F.lit("</td>"))
+    cells = [cell(F.lit("<a href='/p/am"), F.lpad((F.col("o_custkey") % 10000).cast("string"), 4, "0"), F.lit("/'>P</a>")), cell(F.lit("period")), cell(F.lit("A<br>B")), cell(day), cell(F.lit("X, Y"))]
+    last = F.when(F.col("o_orderkey") % 7 == 0, "").otherwise(cell(F.lit("X")))
+    rows = table(spark, d, "orders").select(F.concat(F.lit("<tr>"), *cells, last, F.lit("</tr>")).alias("html"))
+    parsed = html.with_rows(rows, "html", html.calendar_row, html.CALENDAR_ROW)
+    return parsed.groupBy(F.when(F.col("row.error").isNull(), "ok").otherwise("rejected").alias("state")).agg(F.count("*").alias("n"), F.count_distinct("row.publish_date").alias("days"))
+
+
+@query()
+def line_clusters(spark, d):
+    """Words of small pages as lines of cells, folded page by page."""
+    rows = table(spark, d, "lineitem").where("l_orderkey % 10 = 0").select(F.col("l_orderkey").cast("bigint").alias("page"), F.col("l_returnflag").alias("text"), F.col("l_quantity").alias("x0"), (F.col("l_linenumber") * 1.5).cast("double").alias("top"))
+    return folds.cluster_lines(rows, ["page"], [0.0, 20.0, 40.0])
