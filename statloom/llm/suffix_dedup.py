@@ -32,7 +32,7 @@ text read it in place and only keys, contexts and spans are shuffled.
 
 Defined results: null text is empty; texts under WIDTH bytes lose nothing; rows
 with a null doc_id come before all others and rows with equal doc_ids are
-ordered among themselves by their place in the input; other columns are kept
+ordered among themselves by their place in the staged table; other columns are kept
 by ``remove_repeats``.
 """
 
@@ -59,6 +59,9 @@ BYTES_A_BLOCK = 4 << 20
 #: Suffixes that are sorted at once; groups of one key stay together.
 SORT_BYTES = 1 << 20
 PIECE = 4 << 20
+#: Aim for the text of one part, and the most buckets of the staged table.
+PART_BYTES = 8 << 20
+MAX_BUCKETS = 50_000
 _AT = (1 << 26) - 1
 
 
@@ -210,9 +213,9 @@ def _screen(batches: Iterator[pa.RecordBatch], blocks: int) -> Iterator[pa.Recor
     for batch in batches:
         part = np.asarray(batch.column("part"))
         buf, off, _ = flat_text(batch.column("text"))
-        for p in np.unique(part):
-            some = np.flatnonzero(part == p)  # parts come one after the other
-            a, b = int(some[0]), int(some[-1]) + 1
+        edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(part)], strict=True):
+            p = part[a]
             for _, data, cut, _ in _stretches(buf[off[a] : off[b]], off[a : b + 1] - off[a]):
                 key, _, _, context = anchors(data, cut)
                 held.setdefault(int(p), []).append(np.stack([key, context]))
@@ -268,7 +271,7 @@ def _contexts(docs: pa.Table, marks: pa.Table, blocks: int) -> pa.Table:
     keys, heat = keys[order], heat[order]
     buf, off, _ = flat_text(docs.column("text"))
     seen: set[bytes] = set()
-    records, bodies, spans = [], [], []
+    tables, bodies, spans = [np.zeros(0, RECORD)], [], []
     for first, data, cut, base in _stretches(buf, off) if len(keys) else ():
         key, start, own, _ = anchors(data, cut)
         at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
@@ -279,7 +282,7 @@ def _contexts(docs: pa.Table, marks: pa.Table, blocks: int) -> pa.Table:
         doc = np.searchsorted(cut, start, "right") - 1
         raw = data.tobytes()
         windows = Rolling(BYTE_CODE[data]).windows(WIDTH) if hot.any() else None
-        where = start - cut[doc] + base
+        where, records = start - cut[doc] + base, []
         for k, s, o, h, d, p in zip(key.tolist(), start.tolist(), own.tolist(), hot.tolist(), (doc + first).tolist(), where.tolist(), strict=True):
             body = raw[s : s + o - 1 + WIDTH]
             if body in seen:
@@ -298,7 +301,8 @@ def _contexts(docs: pa.Table, marks: pa.Table, blocks: int) -> pa.Table:
                 seen.add(body)
                 records.append((int(windows[s + i]), doc_key[d], part, row[d], p + i, 1, WIDTH))
                 bodies.append(body)
-    table = np.array(records, RECORD)
+        tables.append(np.array(records, RECORD))
+    table = np.concatenate(tables)
     to = _parts(table["key"], blocks).astype(np.int64)
     order = np.argsort(to, kind="stable")
     edges = np.searchsorted(to[order], np.arange(blocks + 1))
@@ -356,7 +360,7 @@ def _repeats(rows: pa.Table) -> pa.Table:
         spans[name] = np.concatenate([f[k] for f in found])
     order = np.argsort(part, kind="stable")
     parts, edges = np.unique(part[order], return_index=True)
-    out = [(int(p), spans[order[a:b]].tobytes()) for p, a, b in zip(parts, edges, np.append(edges[1:], len(part)), strict=True)]
+    out = [(int(p), spans[order[a:b]].tobytes()) for p, a, b in zip(parts, edges, np.append(edges, len(part))[1:], strict=True)]
     out += [(p.as_py(), s.as_py()) for p, s in zip(rows.column("part"), rows.column("spans"), strict=True) if len(s.as_py())]
     return pa.table({"part": pa.array([p for p, _ in out], pa.int32()), "spans": pa.array([s for _, s in out], pa.binary())})
 
@@ -415,22 +419,30 @@ def _cleaned(docs: pa.Table, marks: pa.Table, fields: list[str]) -> pa.Table:
 
 
 def _stage(spark: SparkSession, docs: DataFrame, extra: list[str]) -> tuple[DataFrame, int]:
-    """The documents as a table bucketed by part, one part for each partition of the input, and its bytes."""
+    """The documents as a table bucketed by part, and their bytes.
+
+    A part is a share of one partition of the input, of about ``PART_BYTES``,
+    which bounds what a worker holds whatever the input's partitions are like.
+    """
+    size = int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     n = max(1, docs.rdd.getNumPartitions())
-    # Part labels that fall into different buckets each.
-    labels = {r[1]: r[0] for r in spark.range(n * (n.bit_length() + 12)).select(F.col("id").cast("int").alias("id")).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("b")).agg(F.min("id").alias("id")).select("id", "b").collect()}
-    order = [labels.get(k, k) for k in range(n)]
-    order = order if len(set(order)) == n else list(range(n))
+    share = max(1, -(-size // (n * PART_BYTES)))
+    parts = n * share
+    buckets = min(parts, MAX_BUCKETS)
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).cast("int")
+    part = F.spark_partition_id() * share + row % share
+    if parts == buckets:
+        # Part labels that fall into different buckets each.
+        labels = {r[1]: r[0] for r in spark.range(parts * (parts.bit_length() + 12)).select(F.col("id").cast("int").alias("id")).groupBy(F.pmod(F.hash("id"), F.lit(buckets)).alias("b")).agg(F.min("id").alias("id")).select("id", "b").collect()}
+        if len(labels) == parts:
+            part = F.element_at(F.array(*(F.lit(labels[k]) for k in range(parts))), part + 1)
     staged = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))).alias("doc_key"), F.col("text"),
-        F.element_at(F.array(*map(F.lit, order)), F.spark_partition_id() + 1).alias("part"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).cast("int").alias("row"),
-        *(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(extra)),
+        part.alias("part"), row.alias("row"), *(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(extra)),
     )
     name = f"statloom_parts_{uuid.uuid4().hex}"
-    staged.write.bucketBy(n, "part").option("compression", "zstd").saveAsTable(name)
-    table = spark.table(name)
-    return table, int(table.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    staged.write.bucketBy(buckets, "part").option("compression", "zstd").saveAsTable(name)
+    return spark.table(name), size
 
 
 def _spans(staged: DataFrame, size: int, hot: int) -> DataFrame:
