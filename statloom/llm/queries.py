@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_dir, table
-from . import chat, decontaminate, language_id, licenses, packing, quality_rules, simhash, site_quality, suffix_dedup, token_files
+from . import chat, decontaminate, language_id, licenses, packing, quality_rules, simhash, site_quality, sql, suffix_dedup, token_files
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,4 +66,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": op10_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_chat": chat.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op5_chat": chat.ORACLE, "op6_decontaminate": sql.HITS}

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from statloom.llm import chat, components, decontaminate, encode, language_id, licenses, packing, quality_rules, simhash, site_quality, suffix_dedup, token_files
+from statloom.llm import chat, components, decontaminate, encode, language_id, licenses, packing, quality_rules, queries, simhash, site_quality, suffix_dedup, token_files
 from statloom.session import shared_dir, table
 
 SF = "/root/testdata/sf0.001"
@@ -368,6 +368,21 @@ def test_links(spark, crowd):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
+# --- SQL ---------------------------------------------------------------------------
+
+def test_against_sql(spark):
+    import os
+
+    import duckdb
+
+    con = duckdb.connect()
+    for f in os.listdir(SF):
+        con.sql(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM '{SF}/{f}'")
+    for name, text in queries.ORACLE_SQL.items():
+        df, want = queries.QUERIES[name](spark, SF), con.sql(text)
+        assert df.columns == want.columns and sorted(map(tuple, df.collect())) == sorted(want.fetchall()), name
+
+
 # --- the pipeline ----------------------------------------------------------------
 
 def test_pipeline(spark, docs):
