@@ -76,3 +76,23 @@ def code_union(parts: dict[str, DataFrame], code: str) -> DataFrame:
         rows = part if rows is None else rows.unionByName(part)
     flags: list[Column] = [F.max(F.col("_s") == name).alias(f"in_{name}") for name in parts]
     return rows.groupBy(code).agg(*flags)
+
+
+def alias_lookup(df: DataFrame, keys: list[str], value: str, order: list[str]) -> DataFrame:
+    """(alias, value): every key column names the value; the first row that registers an alias keeps it.
+
+    Key columns count in the order given, rows in ``order``.
+    """
+    rows = None
+    for rank, key in enumerate(keys):
+        part = df.where(F.col(key).isNotNull()).select(F.col(key).alias("alias"), F.struct(*(F.col(c).alias(f"o{k}") for k, c in enumerate(order)), F.lit(rank).alias("rank")).alias("_o"), F.col(value).alias("value"))
+        rows = part if rows is None else rows.unionByName(part)
+    return rows.groupBy("alias").agg(F.min_by("value", "_o").alias(value))
+
+
+def recover_from_index(index: DataFrame, covered: DataFrame, url: str, key: str, order: list[str]) -> DataFrame:
+    """Index rows whose address nothing covers, one for each key: the first in index order."""
+    left = index.join(covered.select(url).dropDuplicates(), url, "left_anti")
+    rest = [c for c in left.columns if c != key]
+    packed = F.min_by(F.struct(*rest), F.struct(*order)).alias("_r")
+    return left.groupBy(key).agg(packed).select(key, *(F.col(f"_r.`{c}`").alias(c) for c in rest)).select(*index.columns)

@@ -194,31 +194,31 @@ def short_long_mapping(spark, d):
 # --- links ------------------------------------------------------------------
 
 @query("""
-WITH c AS (SELECT c_custkey FROM customer WHERE c_custkey % 7 <> 0)
+WITH c AS (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)
 SELECT 'orders' AS table_name, 'o_custkey' AS column_name, 'unknown_agency' AS issue, CAST(o_custkey AS VARCHAR) AS raw_value, count(*) AS row_count
 FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM c) GROUP BY o_custkey""")
 def soft_link_issues(spark, d):
-    dim = table(spark, d, "customer").where("c_custkey % 7 <> 0").select("c_custkey", F.col("c_custkey").alias("id"))
+    dim = table(spark, d, "customer").where("c_acctbal >= 0").select("c_custkey", F.col("c_custkey").alias("id"))
     resolved = linking.resolve_soft(table(spark, d, "orders").select("o_custkey"), "o_custkey", dim, "c_custkey", "id")
     return linking.issues(resolved, "orders", "o_custkey", "unknown_agency", "ambiguous_agency")
 
 
 @query("""
-WITH r AS (SELECT c_nationkey AS k, count(*) AS n, min(c_custkey) AS c_custkey FROM customer WHERE c_custkey % 50 = 0 GROUP BY 1)
+WITH r AS (SELECT c_nationkey AS k, count(*) AS n, min(c_custkey) AS c_custkey FROM customer WHERE c_acctbal > 9800 GROUP BY 1)
 SELECT s_suppkey, s_nationkey, CASE WHEN n = 1 THEN c_custkey END AS c_custkey, CASE WHEN n IS NULL THEN 'no_match' WHEN n > 1 THEN 'ambiguous' ELSE 'matched' END AS match_state FROM supplier LEFT JOIN r ON k = s_nationkey""")
 def unique_match_only(spark, d):
     left = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
-    right = table(spark, d, "customer").where("c_custkey % 50 = 0").select(F.col("c_nationkey").alias("s_nationkey"), "c_custkey")
+    right = table(spark, d, "customer").where("c_acctbal > 9800").select(F.col("c_nationkey").alias("s_nationkey"), "c_custkey")
     return linking.unique_match(left, right, "s_nationkey", "c_custkey").select("s_suppkey", "s_nationkey", "c_custkey", "match_state")
 
 
 @query("""
-WITH k AS (SELECT p_partkey AS code, p_partkey - 1 AS alias_of FROM part WHERE p_partkey % 5 = 0)
+WITH k AS (SELECT p_partkey AS code, p_partkey - 1 AS alias_of FROM part WHERE p_size = 5)
 SELECT DISTINCT b.p_partkey AS code, a.p_partkey AS alias_of FROM part a JOIN part b USING (p_brand, p_type, p_size) WHERE a.p_partkey < b.p_partkey
  AND NOT EXISTS (SELECT 1 FROM k WHERE k.code = b.p_partkey AND k.alias_of = a.p_partkey OR k.code = a.p_partkey AND k.alias_of = b.p_partkey)""")
 def alias_self_join(spark, d):
     part = table(spark, d, "part").select("p_partkey", "p_brand", "p_type", "p_size")
-    known = part.where("p_partkey % 5 = 0").select(F.col("p_partkey").alias("code"), (F.col("p_partkey") - 1).alias("alias_of"))
+    known = part.where("p_size = 5").select(F.col("p_partkey").alias("code"), (F.col("p_partkey") - 1).alias("alias_of"))
     return linking.alias_pairs(part, ["p_brand", "p_type", "p_size"], "p_partkey", known)
 
 
@@ -237,10 +237,10 @@ def derived_n1_left_join(spark, d):
     return rows.select("c_custkey", F.coalesce("fp", "lp", "c_mktsegment").alias("name"), F.col("fk").isNotNull().alias("in_workbook"), F.col("lk").isNotNull().alias("in_calendar"))
 
 
-@query("SELECT l_partkey AS code, count(*) AS row_count FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size < 25) AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 3 = 0) GROUP BY 1")
+@query("SELECT l_partkey AS code, count(*) AS row_count FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size < 25) AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_retailprice > 1500) GROUP BY 1")
 def known_unknown_codes(spark, d):
     part = table(spark, d, "part")
-    known = [part.where(c).select(F.col("p_partkey").alias("code")) for c in ("p_size < 25", "p_partkey % 3 = 0")]
+    known = [part.where(c).select(F.col("p_partkey").alias("code")) for c in ("p_size < 25", "p_retailprice > 1500")]
     return linking.unknown_codes(table(spark, d, "lineitem").select(F.col("l_partkey").alias("code")), known, "code")
 
 
@@ -254,14 +254,14 @@ def code_union_dimension(spark, d):
 
 @query("""
 WITH u AS (SELECT s_suppkey AS code, ' ' || upper(n_name) AS label, 'workbook' AS origin FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
- UNION ALL SELECT c_custkey, n_name || ' ', 'subject_page' FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 9 = 0
+ UNION ALL SELECT c_custkey, n_name || ' ', 'subject_page' FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal < 0
  UNION ALL SELECT n_nationkey, n_name, 'harvest' FROM nation)
 SELECT DISTINCT CAST(u.code AS BIGINT) AS code, lower(trim(label)) AS label, origin, r_name AS subject FROM u LEFT JOIN nation ON lower(n_name) = lower(trim(label)) LEFT JOIN region ON r_regionkey = n_regionkey""")
 def subject_claims_union(spark, d):
     """Three sources mapped to one schema and joined on a computed key."""
     s, c, n, r = (table(spark, d, t) for t in ("supplier", "customer", "nation", "region"))
     u = s.join(n, s.s_nationkey == n.n_nationkey, "left").select(F.col("s_suppkey").cast("bigint").alias("code"), F.concat(F.lit(" "), F.upper("n_name")).alias("label"), F.lit("workbook").alias("origin"))
-    u = u.unionByName(c.where("c_custkey % 9 = 0").join(n, c.c_nationkey == n.n_nationkey).select(F.col("c_custkey").cast("bigint").alias("code"), F.concat("n_name", F.lit(" ")).alias("label"), F.lit("subject_page").alias("origin")))
+    u = u.unionByName(c.where("c_acctbal < 0").join(n, c.c_nationkey == n.n_nationkey).select(F.col("c_custkey").cast("bigint").alias("code"), F.concat("n_name", F.lit(" ")).alias("label"), F.lit("subject_page").alias("origin")))
     u = u.unionByName(n.select(F.col("n_nationkey").cast("bigint").alias("code"), F.col("n_name").alias("label"), F.lit("harvest").alias("origin")))
     u = u.withColumn("label", F.lower(F.trim("label")))
     areas = n.join(r, n.n_regionkey == r.r_regionkey, "left").select(F.lower("n_name").alias("label"), F.col("r_name").alias("subject"))
@@ -272,32 +272,50 @@ _TOKENS = "list_distinct(list_transform(list_filter(string_split_regex(lower({0}
 
 
 @query(f"""
-WITH i AS (SELECT doc_id, n_chars % 4 AS block, unnest({_TOKENS.format("text[1:400]")}) AS t FROM documents WHERE lang = 'en'),
-r0 AS (SELECT item_id, {_TOKENS.format("text[1:60]")} AS ts FROM benchmark), r AS (SELECT item_id, len(ts) AS size, unnest(ts) AS t FROM r0),
-p AS (SELECT doc_id, item_id, count(*) AS s, any_value(size) AS size FROM i JOIN r ON i.t = r.t AND i.block = r.item_id % 4 GROUP BY ALL),
-q AS (SELECT *, s * 1.0 / size AS o, rank() OVER (PARTITION BY doc_id ORDER BY s * 1.0 / size DESC, size DESC) AS k FROM p WHERE s * 1.0 / size >= 0.3),
+WITH i AS (SELECT doc_id, unnest({_TOKENS.format("text")}) AS t FROM documents),
+r0 AS (SELECT item_id, {_TOKENS.format("text")} AS ts FROM benchmark), r AS (SELECT item_id, len(ts) AS size, unnest(ts) AS t FROM r0),
+p AS (SELECT doc_id, item_id, count(*) AS s, any_value(size) AS size FROM i JOIN r USING (t) GROUP BY ALL),
+q AS (SELECT *, rank() OVER (PARTITION BY doc_id ORDER BY s * 1.0 / size DESC, size DESC) AS k FROM p WHERE s * 1.0 / size >= 0.5),
 b AS (SELECT doc_id, CASE WHEN count(*) = 1 THEN min(item_id) END AS item_id FROM q WHERE k = 1 GROUP BY 1)
-SELECT d.doc_id, b.item_id FROM documents d LEFT JOIN b USING (doc_id) WHERE lang = 'en'""")
+SELECT d.doc_id, b.item_id FROM documents d LEFT JOIN b USING (doc_id)""")
 def token_overlap_match(spark, d):
-    """Best item per document by shared word stems of the opening lines, NULL on a tie."""
+    """Best item per document by shared word stems of whole texts, NULL on a tie."""
     stems = lambda c: F.array_distinct(F.transform(F.filter(F.split(F.lower(c), "[^a-z]+"), lambda w: F.length(w) >= 4), lambda w: F.substring(w, 1, 6)))
-    items = table(spark, d, "documents").where("lang = 'en'").select("doc_id", (F.col("n_chars") % 4).alias("block"), stems(F.substring("text", 1, 400)).alias("t"))
-    refs = table(spark, d, "benchmark").select("item_id", (F.col("item_id") % 4).alias("block"), stems(F.substring("text", 1, 60)).alias("t"))
-    return linking.overlap_match(items, refs, ["block"], "t", "doc_id", "item_id", 0.3)
+    items = table(spark, d, "documents").select("doc_id", F.lit(0).alias("block"), stems(F.col("text")).alias("t"))
+    refs = table(spark, d, "benchmark").select("item_id", F.lit(0).alias("block"), stems(F.col("text")).alias("t"))
+    return linking.overlap_match(items, refs, ["block"], "t", "doc_id", "item_id", 0.5)
+
+
+@query("""
+WITH u AS (SELECT s_suppkey AS alias, s_suppkey AS id, 0 AS r FROM supplier UNION ALL SELECT CAST(s_nationkey AS BIGINT), s_suppkey, 1 FROM supplier)
+SELECT alias, id AS s_suppkey FROM (SELECT *, row_number() OVER (PARTITION BY alias ORDER BY id, r) AS n FROM u) WHERE n = 1""")
+def alias_lookup(spark, d):
+    """Two key columns as aliases of one row; the first row to register an alias keeps it."""
+    rows = table(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").cast("bigint").alias("nation"))
+    return linking.alias_lookup(rows, ["s_suppkey", "nation"], "s_suppkey", ["s_suppkey"])
+
+
+@query("""
+WITH l AS (SELECT * FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0))
+SELECT o_orderpriority, o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS n FROM l) WHERE n = 1""")
+def index_recovery(spark, d):
+    """Index rows that nothing covers, one for each key."""
+    covered = table(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"))
+    return linking.recover_from_index(table(spark, d, "orders").select("o_orderpriority", "o_custkey", "o_orderkey"), covered, "o_custkey", "o_orderpriority", ["o_orderkey"])
 
 
 # --- state ------------------------------------------------------------------
 
 @query("""
 WITH doc AS (SELECT DISTINCT o_custkey AS key FROM orders WHERE year(o_orderdate) = 1996), seen AS (SELECT DISTINCT o_custkey AS key FROM orders WHERE year(o_orderdate) = 1997),
-fail AS (SELECT DISTINCT o_custkey AS key, 'timeout' AS error FROM orders WHERE o_custkey % 11 = 0), old AS (SELECT DISTINCT o_custkey AS key FROM orders WHERE year(o_orderdate) = 1995),
+fail AS (SELECT DISTINCT o_custkey AS key, 'timeout' AS error FROM orders WHERE o_orderstatus = 'P'), old AS (SELECT DISTINCT o_custkey AS key FROM orders WHERE year(o_orderdate) = 1995),
 d AS (SELECT key FROM doc UNION SELECT key FROM seen UNION SELECT key FROM fail), a AS (SELECT key FROM d UNION SELECT key FROM old)
 SELECT a.key, CASE WHEN doc.key IS NOT NULL AND error IS NULL THEN 'fresh' WHEN d.key IS NULL THEN 'no_longer_listed' WHEN old.key IS NOT NULL THEN 'retained' ELSE 'failed' END AS status, error
 FROM a LEFT JOIN d USING (key) LEFT JOIN doc USING (key) LEFT JOIN fail USING (key) LEFT JOIN old USING (key)""")
 def status_merge(spark, d):
-    orders = table(spark, d, "orders").select(F.col("o_custkey").alias("key"), F.year("o_orderdate").alias("y"))
+    orders = table(spark, d, "orders").select(F.col("o_custkey").alias("key"), F.year("o_orderdate").alias("y"), "o_orderstatus")
     of = lambda y: orders.where(F.col("y") == y).select("key").distinct()
-    failures = orders.where("key % 11 = 0").select("key").distinct().withColumn("error", F.lit("timeout"))
+    failures = orders.where("o_orderstatus = 'P'").select("key").distinct().withColumn("error", F.lit("timeout"))
     return merge.status_merge(of(1996), of(1997), failures, of(1995), "key", True)
 
 
@@ -554,6 +572,6 @@ def html_rows(spark, d):
 
 @query()
 def line_clusters(spark, d):
-    """Words of small pages as lines of cells, folded page by page."""
-    rows = table(spark, d, "lineitem").where("l_orderkey % 10 = 0").select(F.col("l_orderkey").cast("bigint").alias("page"), F.col("l_returnflag").alias("text"), F.col("l_quantity").alias("x0"), (F.col("l_linenumber") * 1.5).cast("double").alias("top"))
+    """Words of a page as lines of cells, folded page by page; a supplier's rows are a page."""
+    rows = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("page"), F.col("l_returnflag").alias("text"), F.col("l_quantity").alias("x0"), (F.col("l_orderkey") * 1.5).cast("double").alias("top"))
     return folds.cluster_lines(rows, ["page"], [0.0, 20.0, 40.0])
