@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._bytes import flat_text
@@ -265,10 +265,10 @@ def pack(spark: SparkSession, docs: DataFrame, path: str, end_id: int, length: i
     counts = spark.read.schema("length bigint, salt int, n bigint").parquet(f"{folder}/counts")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     where = places(plan(histogram, length))
-    counts.createOrReplaceTempView("statloom_counts")
-    base = spark.sql("SELECT length, salt, sum(n) OVER (PARTITION BY length ORDER BY salt) - n AS base FROM statloom_counts")
-    pieces.createOrReplaceTempView("statloom_pieces")
-    ranked = spark.sql("SELECT *, row_number() OVER (PARTITION BY length, salt ORDER BY uid, piece) - 1L AS within FROM statloom_pieces")
+    along = Window.partitionBy("length").orderBy("salt")
+    base = counts.select("length", "salt", (F.sum("n").over(along) - F.col("n")).alias("base"))
+    within = F.row_number().over(Window.partitionBy("length", "salt").orderBy("uid", "piece")).cast("bigint") - 1
+    ranked = pieces.withColumn("within", within)
     # At most one row for each length and salt: a bounded table.
     ranked = ranked.join(F.broadcast(base), ["length", "salt"]).withColumn("rank", F.col("base") + F.col("within")).drop("base", "within")
     fields = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint" + (", ids binary" if keep_ids else "")
