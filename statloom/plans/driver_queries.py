@@ -459,7 +459,7 @@ def text_year(spark, d):
     y, k = F.date_format("o_orderdate", "yyyy"), F.col("o_orderkey") % 3
     file = F.when(k == 0, F.concat(F.lit("kd_1990_"), y, F.lit(".pdf"))).otherwise("kd.pdf")
     label = F.when(k < 2, F.concat(F.lit("avser "), y, F.lit(" till 2030"))).otherwise("utan")
-    return table(spark, d, "orders").select("o_orderkey", X.find_year(file, [label]).alias("year"))
+    return table(spark, d, "orders").select("o_orderkey", X.find_year(file, label).alias("year"))
 
 
 @query(r"""
