@@ -48,7 +48,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._bytes import BYTE_CODE, U64, Rolling, flat_text, groups
+from ._bytes import BYTE_CODE, U64, Rolling, flat_text, groups, mix64
 
 WIDTH = 100
 GRAM = 50
@@ -188,7 +188,8 @@ def anchors(buf: np.ndarray, off: np.ndarray, width: int = WIDTH, gram: int = GR
     head = np.flatnonzero(new)
     own = np.diff(np.concatenate([head, [len(at)]]))
     start = at[head]
-    return grams[chosen[head]], start, own, rolling.spans(start, start + own - 1 + width)
+    # Least hashes are small numbers: mixed again, they deal evenly into blocks.
+    return mix64(grams[chosen[head]] + U64(1)), start, own, rolling.spans(start, start + own - 1 + width)
 
 
 def _stretches(buf: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
@@ -445,6 +446,12 @@ def _stage(spark: SparkSession, docs: DataFrame, extra: list[str]) -> tuple[Data
     return spark.table(name), size
 
 
+def drop_staged(spark: SparkSession) -> None:
+    """Drops the staged tables of this warehouse, once their results have been written."""
+    for t in spark.catalog.listTables(pattern="statloom_parts_*"):
+        spark.sql(f"DROP TABLE {t.name}")
+
+
 def _spans(staged: DataFrame, size: int, hot: int) -> DataFrame:
     """(part, spans) of all that goes."""
     screens = 1 + size * 2 // (WIDTH - GRAM + 1) // KEYS_A_BLOCK

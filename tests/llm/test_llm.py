@@ -83,6 +83,9 @@ def test_repeats_odd(spark, odd):
     kept = suffix_dedup.remove_repeats(spark, odd.withColumn("part", F.lit("mine")).withColumn("row", F.lit(1)))
     assert kept.columns == [*odd.columns, "part", "row"] and {r.part for r in kept.collect()} == {"mine"}
     assert [r.n_chars == len(r.text) for r in kept.where("text IS NOT NULL AND n_chars > 1").collect()].count(False) == 0
+    assert spark.catalog.listTables(pattern="statloom_parts_*")
+    suffix_dedup.drop_staged(spark)
+    assert not spark.catalog.listTables(pattern="statloom_parts_*")
 
 
 def test_lpf():
