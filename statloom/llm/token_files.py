@@ -22,12 +22,13 @@ ignored; an empty table gives a folder without shards and no rows.
 
 from __future__ import annotations
 
+import contextlib
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._bytes import flat_text
@@ -35,10 +36,24 @@ from .encode import encoded_groups, encoder
 
 #: Aim for the text of one shard.
 SHARD_TEXT_BYTES = 16 << 20
-#: Documents at most that one quantile is asked for; more shards than that need a coarser aim.
+#: Shards are written in this many rounds, which divides the shuffle files that exist at once.
+ROUNDS = 2
+#: Quantiles that are asked for at most; beyond it shards grow.
 MAX_SHARDS = 20_000
 
 
+@contextlib.contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Each write inside gives its shuffle files back when it is done, not when the driver collects garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def _encode(batches: Iterator[pa.RecordBatch], path: str, end_id: int, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
     width = encoder(path).width
     kind = "<u2" if width == 2 else "<u4"
@@ -72,27 +87,27 @@ def write_tokens(spark: SparkSession, docs: DataFrame, path: str, end_id: int, f
     bounds = np.unique(np.array(found or [], np.int64))
     width = encoder(path).width
     schema = "shard int, doc_id bigint, uid bigint, n bigint, ids binary"
-    rows.withColumn("uid", F.monotonically_increasing_id()).mapInArrow(lambda it: _encode(it, path, end_id, bounds), schema).write.option("compression", "zstd").parquet(f"{folder}/encoded")
+    rows.withColumn("uid", F.monotonically_increasing_id()).mapInArrow(lambda it: _encode(it, path, end_id, bounds), schema).write.options(compression="zstd", **{"parquet.compression.codec.zstd.level": "6"}).parquet(f"{folder}/encoded")
     encoded = spark.read.schema(schema).parquet(f"{folder}/encoded")
 
-    order = "shard, doc_id NULLS FIRST, uid"
-    flat = {"encoding": "ISO-8859-1"}
-    by_shard = encoded.repartition(max(1, len(bounds) + 1), "shard").sortWithinPartitions(F.col("shard"), F.col("doc_id").asc_nulls_first(), F.col("uid"))
-    by_shard.select(F.col("ids").cast("string").alias("value"), "shard").write.partitionBy("shard").options(**flat, lineSep=_separator(end_id, width)).text(f"{folder}/tokens")
-
-    encoded.groupBy("shard").agg(F.sum("n").alias("total")).createOrReplaceTempView("statloom_shards")
-    encoded.select("shard", "doc_id", "uid", "n").createOrReplaceTempView("statloom_lengths")
-    index = spark.sql(f"""
-        WITH base AS (SELECT shard, sum(total) OVER (ORDER BY shard) - total AS base FROM statloom_shards)
-        SELECT l.shard, doc_id, n,
-               row_number() OVER (PARTITION BY l.shard ORDER BY {order.replace('shard', 'l.shard')}) - 1 AS pos,
-               base + sum(n) OVER (PARTITION BY l.shard ORDER BY {order.replace('shard', 'l.shard')} ROWS UNBOUNDED PRECEDING) - n AS start
-        FROM statloom_lengths l JOIN base USING (shard)""")
-    index.select("shard", "pos", "doc_id", "start").write.parquet(f"{folder}/index")
-    index = spark.read.schema("shard int, pos int, doc_id bigint, start bigint").parquet(f"{folder}/index")
-    hexed = F.lpad(F.hex("start"), 16, "0")
-    low = F.unhex(F.concat(*(F.substring(hexed, 15 - 2 * k, 2) for k in range(7))))
-    index.repartition(max(1, len(bounds) + 1), "shard").sortWithinPartitions("shard", "pos").select(low.cast("string").alias("value"), "shard").write.partitionBy("shard").options(**flat, lineSep="\0").text(f"{folder}/offsets")
+    with _shuffles_dropped(spark):
+        order = [F.col("doc_id").asc_nulls_first(), F.col("uid").asc()]
+        flat = {"encoding": "ISO-8859-1"}
+        for r in range(ROUNDS):
+            by_shard = encoded.where(F.col("shard") % ROUNDS == r).repartition(max(1, (len(bounds) + ROUNDS) // ROUNDS), "shard").sortWithinPartitions(F.col("shard"), *order)
+            by_shard.select(F.col("ids").cast("string").alias("value"), "shard").write.mode("append").partitionBy("shard").options(**flat, lineSep=_separator(end_id, width)).text(f"{folder}/tokens")
+
+        totals = encoded.groupBy("shard").agg(F.sum("n").alias("total"))
+        # One row for each shard: a bounded table.
+        base = totals.select("shard", (F.sum("total").over(Window.orderBy("shard")) - F.col("total")).alias("base"))
+        along = Window.partitionBy("shard").orderBy(*order)
+        before = F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+        index = encoded.select("shard", "doc_id", "uid", "n").join(base, "shard").select("shard", "doc_id", (F.row_number().over(along) - 1).alias("pos"), (F.col("base") + before).alias("start"))
+        index.select("shard", "pos", "doc_id", "start").write.parquet(f"{folder}/index")
+        index = spark.read.schema("shard int, pos int, doc_id bigint, start bigint").parquet(f"{folder}/index")
+        hexed = F.lpad(F.hex("start"), 16, "0")
+        low = F.unhex(F.concat(*(F.substring(hexed, 15 - 2 * k, 2) for k in range(7))))
+        index.repartition(max(1, len(bounds) + 1), "shard").sortWithinPartitions("shard", "pos").select(low.cast("string").alias("value"), "shard").write.partitionBy("shard").options(**flat, lineSep="\0").text(f"{folder}/offsets")
     _delete(spark, f"{folder}/encoded")
     return {"folder": folder, "width": width, "end_id": end_id, "shards": len(bounds) + 1}
 
