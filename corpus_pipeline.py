@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from statloom.llm import decontaminate, packing, quality_rules, simhash, suffix_dedup
+from statloom.llm import decontaminate, near_copies, packing, quality_rules, suffix_dedup
 from statloom.session import shared_dir, table
 
 
@@ -16,7 +16,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return simhash.keep_first(spark, docs)
+    return near_copies.keep_first(spark, docs)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from statloom.llm import chat, components, decontaminate, encode, language_id, licenses, packing, quality_rules, queries, simhash, site_quality, suffix_dedup, token_files
+from statloom.llm import chat, components, decontaminate, encode, language_id, licenses, near_copies, packing, quality_rules, queries, simhash, site_quality, suffix_dedup, token_files
 from statloom.session import shared_dir, table
 
 SF = "/root/testdata/sf0.001"
@@ -371,6 +371,55 @@ def test_links(spark, crowd):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
+def brute_sets(t):
+    w = (t or "").encode().lower().split()
+    return frozenset(b" ".join(w[k : k + 5]) for k in range(max(len(w) - 4, 1))) if w else frozenset()
+
+
+def brute_similar(rows):
+    sets = {i: brute_sets(t) for i, t in rows}
+    ids = sorted(sets)
+    root = {i: i for i in ids}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for k, i in enumerate(ids):
+        for j in ids[k + 1 :]:
+            x, y = sets[i], sets[j]
+            if x == y or 5 * len(x & y) >= 4 * len(x | y) > 0:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {find(i) for i in ids}
+
+
+@pytest.mark.parametrize("crowd", [48, 2])
+def test_stage_keeps_one_of_similar(spark, crowd):
+    import corpus_pipeline
+
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 6)))
+    line = " ".join(word() for _ in range(30))
+    texts = [None, "", "one two", "one TWO"]
+    for size in (20, 60, 300):
+        for _ in range(3):
+            base = [word() for _ in range(size)]
+            for _ in range(12):
+                w = list(base)
+                for _ in range(rnd.randint(0, size // 25 + 1)):
+                    w[rnd.randrange(size)] = word()
+                texts.append(" ".join(w) + rnd.choice(["", " " + line]))
+    rows = list(enumerate(texts))
+    rnd.shuffle(rows)
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS).repartition(3)
+    want = brute_similar(rows)
+    assert 5 < len(want) < len(rows) - 20
+    assert sorted(r.doc_id for r in near_copies.keep_first(spark, df, crowd=crowd).collect()) == sorted(want)
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, df, SF).collect()) == sorted(want)
+
+
 # --- SQL ---------------------------------------------------------------------------
 
 def test_against_sql(spark):
