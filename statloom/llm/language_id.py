@@ -10,10 +10,10 @@ cosine after the mean of the prototypes is taken off both.
 
 Because bundling is a sum, a document vector is its trigram counts times the
 trigram vectors, and a prototype is the language's trigram counts times the
-same vectors. So training is a grouped count of (language, trigram): tasks add
-up their own counts before the shuffle, and all documents take part. At most
-``MAX_TRIGRAMS`` trigrams of a language, its most frequent ones, go into its
-prototype; this bounds what the driver holds, not the documents that count.
+same vectors. So training is a sum of whole numbers, which no order changes:
+tasks add up their trigram counts, turn them into ``DIM`` sums a language, and
+the driver gets one vector of each language. All trigrams of all documents take
+part; a task holds at most about ``HELD`` distinct ones before it adds them up.
 
 Defined results: a null text or one without a letter is `und` with score 0; if
 nothing can be learned every document is `und`; score is the share of the best
@@ -34,7 +34,8 @@ from ._bytes import flat_text, groups
 
 DIM = 1024
 SEED = 20240229
-MAX_TRIGRAMS = 50_000
+#: Distinct trigrams after which a task turns its counts into sums.
+HELD = 1 << 18
 #: Sharpness of the softmax behind the score.
 SHARPNESS = 12.0
 UNKNOWN = "und"
@@ -125,8 +126,23 @@ def _alphabet(code: np.ndarray) -> np.ndarray:
     return np.flatnonzero(there)
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def bundle(codes: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The sum of n times each trigram's vector, exact."""
+    total = np.zeros(DIM, np.int64)
+    for at in range(0, len(codes), 4096):
+        total += (n[at : at + 4096].astype(np.float64) @ trigram_vectors(codes[at : at + 4096])).astype(np.int64)
+    return total
+
+
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    sums: dict[str, np.ndarray] = {}
+
+    def add_up() -> None:
+        for name, (codes, n) in held.items():
+            sums[name] = sums.get(name, 0) + bundle(codes, n)
+        held.clear()
+
     for batch in batches:
         langs = batch.column("lang").dictionary_encode()
         names, which = langs.dictionary.to_pylist(), np.asarray(langs.indices)
@@ -144,26 +160,21 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     old = held.get(name, (np.zeros(0, np.int64), np.zeros(0, np.int64)))
                     merged, at = np.unique(np.concatenate([old[0], distinct[some]]), return_inverse=True)
                     held[name] = merged, np.bincount(at, weights=np.concatenate([old[1], table[k][some]])).astype(np.int64)
-    for name, (codes, n) in held.items():
-        yield pa.RecordBatch.from_arrays([pa.array([name] * len(codes), pa.string()), pa.array(codes), pa.array(n)], names=["lang", "trigram", "n"])
+            if sum(len(codes) for codes, _ in held.values()) > HELD:
+                add_up()
+    add_up()
+    for name, total in sums.items():
+        yield pa.RecordBatch.from_arrays([pa.array([name] * DIM, pa.string()), pa.array(np.arange(DIM, dtype=np.int32)), pa.array(total)], names=["lang", "place", "n"])
 
 
 def learn(docs: DataFrame, train: Column) -> dict:
     """Prototypes from the documents where ``train`` holds and lang is known."""
-    from pyspark.sql import Window
-
-    rows = docs.where(train & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text").mapInArrow(_count, "lang string, trigram bigint, n bigint")
-    total = rows.groupBy("lang", "trigram").agg(F.sum("n").alias("n"))
-    top = total.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "trigram"))).where(F.col("r") <= MAX_TRIGRAMS)
-    found: dict[str, list] = {}
-    for r in top.select("lang", "trigram", "n").collect():
-        found.setdefault(r["lang"], []).append((r["trigram"], r["n"]))
+    rows = docs.where(train & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text").mapInArrow(_sums, "lang string, place int, n bigint")
+    found: dict[str, np.ndarray] = {}
+    for r in rows.groupBy("lang", "place").agg(F.sum("n").alias("n")).collect():
+        found.setdefault(r["lang"], np.zeros(DIM))[r["place"]] = r["n"]
     langs = sorted(found)
-    prototypes = np.zeros((len(langs), DIM), np.float64)
-    for k, lang in enumerate(langs):
-        pairs = np.array(sorted(found[lang]), np.int64)
-        for at in range(0, len(pairs), 4096):
-            prototypes[k] += pairs[at : at + 4096, 1].astype(np.float64) @ trigram_vectors(pairs[at : at + 4096, 0])
+    prototypes = np.array([found[lang] for lang in langs]).reshape(len(langs), DIM)
     prototypes /= np.maximum(np.linalg.norm(prototypes, axis=1, keepdims=True), 1e-12)
     centre = prototypes.mean(axis=0) if len(langs) > 1 else np.zeros(DIM)
     shifted = prototypes - centre

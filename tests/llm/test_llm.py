@@ -119,6 +119,23 @@ def test_language_sum_is_bundle():
     assert np.array_equal(language_id.trigram_vectors(code[:4]).sum(axis=0), language_id.trigram_vectors(np.sort(code[:4])).sum(axis=0)) and letters[0] == 3 and len(bound) == 1
 
 
+def test_language_learns_every_trigram(spark):
+    rnd = random.Random(1)
+    texts = {"zh": "".join(chr(rnd.randrange(0x4E00, 0x9000)) for _ in range(60_000)), "en": "plain words of a small alphabet"}
+    df = spark.createDataFrame([(k, t, n, "s", len(t)) for k, (n, t) in enumerate(texts.items())], DOCS).repartition(2)
+    total = []
+    for name in sorted(texts):
+        raw = texts[name].encode()
+        code, _, _ = language_id.trigrams(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        assert name == "en" or len(np.unique(code)) > 50_000
+        total.append(sum(language_id.trigram_vectors(code[at : at + 4096]).sum(axis=0, dtype=np.float64) for at in range(0, len(code), 4096)))
+    unit = np.array([x / np.linalg.norm(x) for x in total])
+    want = unit - unit.mean(axis=0)
+    got = language_id.learn(df, F.lit(True))
+    assert got["langs"] == ["en", "zh"]
+    assert np.allclose(got["prototypes"], want / np.linalg.norm(want, axis=1, keepdims=True), atol=1e-5)
+
+
 # --- tokens ----------------------------------------------------------------------
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
