@@ -30,8 +30,9 @@ def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The places of all pieces in training sequences."""
-    return packing.pack(spark, docs, public_tokenizers.path("word_bpe_49k.json"), 1)
+    """All pieces with their ids and places; the training sequences themselves are written to the shared folder."""
+    pieces = packing.pack(spark, docs, public_tokenizers.path("word_bpe_49k.json"), 1, keep_ids=True)
+    return packing.placed_pieces(spark, packing.write_sequences(spark, pieces, shared_dir(spark)))
 
 
 STAGES = [("quality_rules", quality), ("simhash_near_dedup", near_dedup), ("suffix_dedup", repeats), ("decontamination", benchmark_free), ("packing", pack)]

@@ -280,3 +280,16 @@ def sequences(packed: DataFrame) -> DataFrame:
     """(sequence_id, ids, spans): the packed rows themselves, from pieces that kept their ids."""
     rows = packed.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "length", "doc_id", "piece", "ids"))).alias("p"))
     return rows.select("sequence_id", F.expr("aggregate(p, CAST('' AS BINARY), (s, x) -> concat(s, x.ids))").alias("ids"), F.transform("p", lambda x: F.struct(x["offset"].alias("offset"), x["length"].alias("length"), x["doc_id"].alias("doc_id"), x["piece"].alias("piece"))).alias("spans"))
+
+
+def write_sequences(spark: SparkSession, packed: DataFrame, folder: str) -> str:
+    """Writes the training sequences and gives the path of their table."""
+    sequences(packed).write.option("compression", "zstd").parquet(f"{folder}/sequences")
+    return f"{folder}/sequences"
+
+
+def placed_pieces(spark: SparkSession, path: str, length: int = LENGTH) -> DataFrame:
+    """The rows of ``pack``, with ids, read from written sequences."""
+    rows = spark.read.parquet(path).select("sequence_id", "ids", F.explode("spans").alias("s"))
+    ids = F.substring("ids", (F.col("s.offset") * 4 + 1).cast("int"), (F.col("s.length") * 4).cast("int"))
+    return rows.select("s.doc_id", "s.piece", (F.col("s.piece").cast("bigint") * length).alias("start"), "s.length", F.crc32(ids).alias("ids_crc32"), ids.alias("ids"), "sequence_id", "s.offset")

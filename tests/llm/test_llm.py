@@ -468,6 +468,20 @@ def test_pipeline(spark, docs):
     assert {r.doc_id for r in got} <= left and len({r.doc_id for r in got}) > 0.5 * len(left)
 
 
+def test_pipeline_packs_ids(spark, docs, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    monkeypatch.setattr(corpus_pipeline, "shared_dir", lambda spark: str(tmp_path / "made"))
+    some = docs.limit(40).cache()
+    got = corpus_pipeline.pack(spark, some, SF).collect()
+    plain = packing.pack(spark, some, public_tokenizers.path("word_bpe_49k.json"), 1)
+    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in plain.collect())
+    assert all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in got)
+    whole = {r.sequence_id: r.ids for r in spark.read.parquet(str(tmp_path / "made" / "sequences")).collect()}
+    assert {r.sequence_id for r in got} == set(whole) and sum(map(len, whole.values())) == 4 * sum(r.length for r in got)
+    assert all(whole[r.sequence_id][4 * r.offset : 4 * (r.offset + r.length)] == r.ids for r in got)
+
+
 def test_pipeline_odd(spark, odd):
     import corpus_pipeline
 
