@@ -21,7 +21,8 @@ block one broadcast of bounded size and one pass over the documents; hits of
 all blocks are united before they are counted.
 
 Defined results: null or wordless texts have no words and no hits; wordless or
-null items have no window; items with equal item_id count once; repeated
+null items have no window; items with equal item_id count once; items with a
+null item_id count as one item, which items_sha256 leaves out; repeated
 doc_ids are judged one by one; an empty benchmark leaves every document clean.
 """
 
@@ -138,7 +139,7 @@ class Matcher:
     """All length classes over one block of items."""
 
     def __init__(self, items: list[tuple[object, str | None]], window: int = WINDOW):
-        self.ids = [str(i) for i, _ in items]
+        self.ids = [None if i is None else str(i) for i, _ in items]
         found = patterns_of(items, window)
         self.classes, low = [], 0
         for high in CLASSES:
@@ -191,8 +192,8 @@ def _hits(batches: Iterator[pa.RecordBatch], items, window: int) -> Iterator[tup
             yield batch, a, b, count, base, found, matcher.ids
 
 
-def digest(ids: set[str]) -> str:
-    return hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
+def digest(ids: set[str | None]) -> str:
+    return hashlib.sha256(",".join(sorted(i for i in ids if i is not None)).encode()).hexdigest()
 
 
 def _covered(count: np.ndarray, base: np.ndarray, found: list) -> tuple[np.ndarray, dict[int, set[int]]]:
@@ -235,7 +236,7 @@ def _spans(batches, items, window):
             got = spans.get(d, [])
             starts.append([x for x, _, _ in got])
             ends.append([x + w for x, w, _ in got])
-            names.append(sorted({ids[k] for _, _, of in got for k in of}))
+            names.append(list({ids[k] for _, _, of in got for k in of}))
         yield pa.RecordBatch.from_arrays(
             [batch.column("uid").slice(a, b - a), batch.column("doc_id").slice(a, b - a), pa.array(count.astype(np.int64)), pa.array(starts, pa.list_(pa.int32())), pa.array(ends, pa.list_(pa.int32())), pa.array(names, pa.list_(pa.string()))],
             names=["uid", "doc_id", "n_words", "starts", "ends", "items"],
@@ -259,7 +260,7 @@ def _unite(batches):
 def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[object, str]]]:
     """The benchmark's items in blocks of bounded size, one block on the driver at a time."""
     block, size = [], 0
-    for r in benchmark.select("item_id", "text").where("text IS NOT NULL AND item_id IS NOT NULL").toLocalIterator():
+    for r in benchmark.select("item_id", "text").where("text IS NOT NULL").toLocalIterator():
         block.append((r["item_id"], r["text"]))
         size += len(r["text"]) * 4
         if size >= block_bytes:

@@ -264,6 +264,16 @@ def test_decontamination(spark, docs, odd, block):
     assert decontaminate.decontaminate(spark, empty(spark), benchmark).count() == 0
 
 
+@pytest.mark.parametrize("block", [1 << 25, 1])
+def test_decontamination_null_item(spark, block):
+    benchmark = spark.createDataFrame([(None, "alpha beta"), (None, "gamma delta"), (7, "beta gamma"), (None, None)], "item_id bigint, text string")
+    df = spark.createDataFrame([(1, "an Alpha beta here"), (2, "alpha beta gamma delta"), (3, "clean")], "doc_id bigint, text string")
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    got = sorted(map(tuple, decontaminate.decontaminate(spark, df, benchmark, block_bytes=block).collect()))
+    assert got == [(1, 4, 2, 1, sha(""), True), (2, 4, 4, 2, sha("7"), True), (3, 1, 0, 0, sha(""), False)]
+    assert [r.doc_id for r in decontaminate.drop_contaminated(spark, df, benchmark, block_bytes=block).collect()] == [3]
+
+
 # --- licenses ------------------------------------------------------------------------
 
 def test_licenses(spark, docs, odd):
