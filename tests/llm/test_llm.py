@@ -447,6 +447,17 @@ def test_stage_keeps_one_of_similar(spark, crowd):
     assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, df, SF).collect()) == sorted(want)
 
 
+def test_stage_keeps_one_row(spark):
+    import corpus_pipeline
+
+    base = " ".join(f"w{k}" for k in range(100))
+    rows = [(1, base), (1, base), (1, "another text of its own here"), (1, base + " tail"), (2, base), (None, base), (None, "only without an id"), (None, "only without an id"), (None, "lone")]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS).repartition(3)
+    got = pairs(corpus_pipeline.near_dedup(spark, df, SF))
+    first = min((base, base + " tail"), key=lambda t: hashlib.md5(t.encode()).hexdigest())
+    assert sorted(got, key=str) == sorted([(1, first), (1, "another text of its own here"), (None, "only without an id"), (None, "lone")], key=str)
+
+
 # --- SQL ---------------------------------------------------------------------------
 
 def test_against_sql(spark):
