@@ -5,24 +5,29 @@ into pieces. Packing works on the histogram of piece lengths, which has at
 most ``LENGTH`` entries at any input size, so the plan is made on the driver
 and is bounded; only its application to rows is distributed.
 
-1. Lengths are rounded up to multiples of ``STEP``, and all patterns of at most
-   ``PARTS`` such lengths that fill a sequence are enumerated.
-2. Non-negative least squares fits repeat counts of patterns to the rounded
-   histogram; counts are rounded down and cut back where they ask for more
-   pieces than there are.
-3. In each use of a pattern the longest lengths of the rounded class go first;
-   the room that rounding leaves is kept.
+1. Lengths are rounded to the nearest of ``UNITS`` equal steps, and all
+   patterns of at most ``PARTS`` such lengths that fill a sequence are
+   enumerated. Lengths that round to nothing are left as fillers.
+2. Non-negative least squares (active sets, so no more patterns are in use than
+   there are steps) fits repeat counts of patterns to the rounded histogram;
+   counts are rounded down.
+3. Each use of a pattern takes pieces of its rounded lengths such that rounding
+   errors cancel out: all parts but two are the lengths nearest to the running
+   sum that the pattern aims at, and the last two are the pair that leaves the
+   least room. A pattern is used as often as asked for and as pieces last.
 4. Residual pieces, longest first, go to the fullest sequence with room for
    them (best fit), whole classes of equal sequences at a time, and then to new
    sequences.
 
 A plan is a list of (number of equal sequences, lengths in them). The piece of
 rank r among pieces of its length takes the r-th place for that length. Ranks
-are counted within salted groups on top of the sums of the groups before, so
-a length that a third of all pieces share is not ranked in one task.
+are counted within salted groups on top of the sums of the groups before; a
+length has so many groups that each holds about ``RANKED`` pieces, so a length
+that a third of all pieces share is not ranked in one task at any size.
 
 Defined results: a null or empty text is one piece of its end id; rows with
-equal or null doc_ids are packed like others; an empty table gives no rows.
+equal or null doc_ids are packed like others; columns other than doc_id and
+text are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -40,12 +45,10 @@ from ._bytes import flat_text
 from .encode import encoded_groups
 
 LENGTH = 4096
-STEP = 64
-PARTS = 3
-#: Shares of the fitted repeats that are tried.
-SHARES = (1.0, 0.5, 0.2)
-#: Ranks are counted in this many groups for each length.
-SALTS = 64
+UNITS = 32
+PARTS = 12
+#: Aim for the pieces of one group in which ranks are counted.
+RANKED = 1_000_000
 
 
 def enumerate_patterns(units: int, parts: int) -> list[tuple[int, ...]]:
@@ -67,46 +70,55 @@ def enumerate_patterns(units: int, parts: int) -> list[tuple[int, ...]]:
     return out
 
 
-def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 400) -> np.ndarray:
-    """x >= 0 with small |ax - b|, by accelerated projected gradients."""
-    gram, target = a.T @ a, a.T @ b
-    step = 1.0 / max(np.linalg.norm(gram, 2), 1e-12)
-    x = y = np.zeros(a.shape[1])
-    t = 1.0
-    for _ in range(rounds):
-        new = np.maximum(0.0, y - step * (gram @ y - target))
-        t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        y = new + (t - 1) / t_new * (new - x)
-        x, t = new, t_new
+def nnls(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """x >= 0 with least |ax - b|, by active sets: at most as many positive entries as rows."""
+    x, used = np.zeros(a.shape[1]), []
+    for _ in range(3 * max(a.shape)):
+        slope = a.T @ (b - a[:, used] @ x[used])
+        slope[used] = -np.inf
+        new = int(slope.argmax())
+        if slope[new] <= 1e-9 * max(1.0, float(np.abs(b).max())):
+            break
+        used.append(new)
+        while True:
+            best = np.linalg.lstsq(a[:, used], b, rcond=None)[0]
+            if best.min() > 0:
+                break
+            # As far towards it as all entries stay positive; those that reach zero leave.
+            old = x[used]
+            share = np.divide(old, np.maximum(old - best, 1e-300), out=np.full(len(old), np.inf), where=best <= 0)
+            moved = np.where(share <= share.min(), 0.0, old + share.min() * (best - old))
+            x[:] = 0.0
+            x[used] = moved
+            used = [k for k, v in zip(used, moved, strict=True) if v > 0]
+        x[:] = 0.0
+        x[used] = best
     return x
 
 
 Plan = list[tuple[int, list[tuple[int, int]]]]
 
 
-def plan(histogram: dict[int, int], length: int = LENGTH, step: int = STEP, parts: int = PARTS) -> Plan:
-    """[(sequences, [(piece length, how many in each)])], placing every piece of the histogram.
+def unit_of(n: int, length: int) -> int:
+    return (2 * n * UNITS + length) // (2 * length)
+
 
-    Patterns fitted to all pieces use up the short ones that would fill the
-    room which rounding leaves, so plans that realise smaller shares of the
-    fitted repeats are made as well and the one of fewest sequences is taken.
-    """
+def plan(histogram: dict[int, int], length: int = LENGTH, parts: int = PARTS) -> Plan:
+    """[(sequences, [(piece length, how many in each)])], placing every piece of the histogram."""
     left = {n: c for n, c in histogram.items() if c > 0}
     if not left:
         return []
-    patterns, repeats = fit(left, length, step, parts)
-    made = [_realise(left, patterns, np.floor(repeats * share + 1e-6).astype(np.int64), length, step) for share in SHARES]
-    return min(made, key=lambda p: sum(c for c, _ in p))
+    groups = by_patterns(left, length, parts)
+    return _best_fit(groups, left, length)
 
 
-def fit(left: dict[int, int], length: int, step: int, parts: int) -> tuple[list[tuple[int, ...]], np.ndarray]:
+def fit(histogram: dict[int, int], length: int, parts: int) -> tuple[list[tuple[int, ...]], np.ndarray]:
     """The patterns and their repeats by non-negative least squares."""
-    units = -(-length // step)
-    held = np.zeros(units + 1, np.int64)
-    for n, c in left.items():
-        held[-(-n // step)] += c
-    patterns = enumerate_patterns(units, parts)
-    a = np.zeros((units, len(patterns)))
+    held = np.zeros(UNITS + 1, np.int64)
+    for n, c in histogram.items():
+        held[unit_of(n, length)] += c
+    patterns = enumerate_patterns(UNITS, parts)
+    a = np.zeros((UNITS, len(patterns)))
     for j, p in enumerate(patterns):
         for k in p:
             a[k - 1, j] += 1
@@ -115,44 +127,79 @@ def fit(left: dict[int, int], length: int, step: int, parts: int) -> tuple[list[
     return patterns, nnls(a * weight[:, None], held[1:] * weight)
 
 
-def _realise(left: dict[int, int], patterns: list[tuple[int, ...]], repeats: np.ndarray, length: int, step: int) -> Plan:
-    """Uses each pattern as often as asked and as pieces last, then packs the residual pieces by best fit."""
-    units = -(-length // step)
-    held = np.zeros(units + 1, np.int64)
-    for n, c in left.items():
-        held[-(-n // step)] += c
-    # Longest first inside each rounded class.
-    stock = {u: [[n, left[n]] for n in sorted((n for n in left if -(-n // step) == u), reverse=True)] for u in range(1, units + 1)}
-    groups: list[tuple[int, list[int]]] = []
-    for j in np.argsort(-repeats, kind="stable"):
-        need = np.bincount(patterns[j], minlength=units + 1)
-        uses = int(min([repeats[j], *(held[k] // need[k] for k in np.flatnonzero(need))]))
-        while uses > 0:
-            # As many uses as can take exactly the same lengths.
-            chosen: list[int] = []
-            same, at = uses, {}
-            for k in patterns[j]:
-                i = at.get(k, 0)
-                taken = sum(1 for q in chosen if q == stock[k][i][0])
-                if stock[k][i][1] - taken < 1:
-                    i += 1
-                at[k] = i
-                chosen.append(stock[k][i][0])
-            for k in set(patterns[j]):
-                for n, c in stock[k][: at[k] + 1]:
-                    m = chosen.count(n)
-                    if m:
-                        same = min(same, c // m)
-            same = max(1, same)
-            for k in set(patterns[j]):
-                for entry in stock[k][: at[k] + 1]:
-                    entry[1] -= same * chosen.count(entry[0])
-                stock[k] = [e for e in stock[k] if e[1] > 0]
-                held[k] -= same * need[k]
+class _Stock:
+    """Pieces that are left, by rounded length."""
+
+    def __init__(self, left: dict[int, int], length: int):
+        self.left, self.length = left, length
+        self.of: list[list[int]] = [[] for _ in range(UNITS + 1)]
+        for n in sorted(left):
+            self.of[unit_of(n, length)].append(n)
+
+    def free(self, n: int, taken: list[int]) -> bool:
+        return self.left[n] > taken.count(n)
+
+    def nearest(self, unit: int, aim: float, taken: list[int]) -> int | None:
+        return min((n for n in self.of[unit] if self.free(n, taken)), key=lambda n: abs(n - aim), default=None)
+
+    def longest(self, unit: int, room: int, taken: list[int]) -> int | None:
+        held = self.of[unit]
+        for at in range(bisect.bisect_right(held, room) - 1, -1, -1):
+            if self.free(held[at], taken):
+                return held[at]
+        return None
+
+    def fill(self, pattern: tuple[int, ...]) -> list[int] | None:
+        """Lengths for one use of a pattern, or None if pieces do not last."""
+        taken: list[int] = []
+        aim = 0.0
+        for unit in pattern[:-2]:
+            aim += unit * self.length / UNITS
+            n = self.nearest(unit, aim - sum(taken), taken)
+            if n is None:
+                return None
+            taken.append(n)
+        room = self.length - sum(taken)
+        if len(pattern) == 1:
+            n = self.longest(pattern[0], room, taken)
+            return None if n is None else [n]
+        ends = []
+        for n in self.of[pattern[-2]]:
+            if n < room and self.free(n, taken):
+                m = self.longest(pattern[-1], room - n, [*taken, n])
+                if m is not None:
+                    ends.append((room - n - m, n, m))
+        return [*taken, *min(ends)[1:]] if ends else None
+
+    def take(self, chosen: list[int], times: int) -> None:
+        for n in chosen:
+            self.left[n] -= times
+        for n in set(chosen):
+            if not self.left[n]:
+                self.of[unit_of(n, self.length)].remove(n)
+                del self.left[n]
+
+
+def by_patterns(left: dict[int, int], length: int = LENGTH, parts: int = PARTS) -> list[tuple[int, list[int]]]:
+    """(uses, lengths) of the fitted patterns, few parts first; ``left`` keeps the residual pieces."""
+    patterns, repeats = fit(left, length, parts)
+    whole = np.floor(repeats + 1e-6).astype(np.int64)
+    stock = _Stock(left, length)
+    groups = []
+    for j in sorted(np.flatnonzero(whole), key=lambda j: (len(patterns[j]), patterns[j])):
+        uses = int(whole[j])
+        while uses and (chosen := stock.fill(patterns[j])):
+            # As many uses at once as can take exactly these lengths.
+            same = min(uses, *(left[n] // chosen.count(n) for n in chosen))
+            stock.take(chosen, same)
             groups.append((same, chosen))
             uses -= same
+    return groups
+
 
-    rest = sorted(((n, c) for u in stock.values() for n, c in u), reverse=True)
+def _best_fit(groups: list[tuple[int, list[int]]], left: dict[int, int], length: int) -> Plan:
+    """The groups and the residual pieces: into the least room that holds them, then into new sequences."""
+    rest = sorted(left.items(), reverse=True)
     # Open sequences by room; a group that takes a piece moves to its new room.
     rooms: dict[int, list[list]] = {}
     for count, chosen in groups:
@@ -257,19 +304,19 @@ def pack(spark: SparkSession, docs: DataFrame, path: str, end_id: int, length: i
     folder = shared_dir(spark)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.monotonically_increasing_id().alias("uid"))
     rows.mapInArrow(lambda it: _pieces(it, path, end_id, length, keep_ids), PIECES).write.option("compression", "zstd").parquet(f"{folder}/pieces")
-    pieces = spark.read.schema(PIECES).parquet(f"{folder}/pieces").withColumn("salt", F.pmod(F.xxhash64("uid", "piece"), F.lit(SALTS)).cast("int"))
+    pieces = spark.read.schema(PIECES).parquet(f"{folder}/pieces")
     if not keep_ids:
         pieces = pieces.drop("ids")
-    counts = pieces.groupBy("length", "salt").agg(F.count("*").alias("n"))
-    counts.write.parquet(f"{folder}/counts")
-    counts = spark.read.schema("length bigint, salt int, n bigint").parquet(f"{folder}/counts")
-    histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     where = places(plan(histogram, length))
+    groups = F.element_at(F.create_map(*(F.lit(x).cast("bigint") for n, c in histogram.items() if c > RANKED for x in (n, -(-c // RANKED)))), F.col("length")) if max(histogram.values(), default=0) > RANKED else F.lit(1)
+    pieces = pieces.withColumn("salt", F.pmod(F.xxhash64("uid", "piece"), F.coalesce(groups, F.lit(1))).cast("int"))
+    counts = pieces.groupBy("length", "salt").agg(F.count("*").alias("n"))
     along = Window.partitionBy("length").orderBy("salt")
     base = counts.select("length", "salt", (F.sum("n").over(along) - F.col("n")).alias("base"))
     within = F.row_number().over(Window.partitionBy("length", "salt").orderBy("uid", "piece")).cast("bigint") - 1
     ranked = pieces.withColumn("within", within)
-    # At most one row for each length and salt: a bounded table.
+    # At most a row for each length and for each RANKED pieces.
     ranked = ranked.join(F.broadcast(base), ["length", "salt"]).withColumn("rank", F.col("base") + F.col("within")).drop("base", "within")
     fields = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint" + (", ids binary" if keep_ids else "")
     ordered = ranked.select(*(c.split()[0] for c in fields.split(", ")), "rank")

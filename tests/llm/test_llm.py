@@ -200,7 +200,7 @@ def test_plan_places_everything():
     rnd = random.Random(4)
     for _ in range(20):
         histogram = {rnd.randint(1, 256): rnd.randint(1, 500) for _ in range(rnd.randint(1, 60))}
-        made = packing.plan(histogram, 256, 16, 3)
+        made = packing.plan(histogram, 256)
         placed = collections.Counter()
         for count, content in made:
             assert sum(n * m for n, m in content) <= 256
@@ -209,6 +209,42 @@ def test_plan_places_everything():
         assert placed == collections.Counter(histogram)
 
 
+def test_patterns_place_most_pieces():
+    import duckdb
+
+    texts = [t for (t,) in duckdb.sql("SELECT text FROM '/root/testdata/sf0.01/documents.parquet'").fetchall()]
+    histogram = collections.Counter()
+    for ids in library_ids("word_bpe_49k.json", texts, 1):
+        for k in range(0, len(ids), packing.LENGTH):
+            histogram[min(packing.LENGTH, len(ids) - k)] += 1
+    bound = -(-sum(n * c for n, c in histogram.items()) // packing.LENGTH)
+    assert sum(c for c, _ in packing.plan(histogram)) <= bound * 1.001 + 1
+    by_patterns = packing.by_patterns(dict(histogram))
+    assert sum(uses * len(lengths) for uses, lengths in by_patterns) > 0.7 * sum(histogram.values())
+    assert all(sum(lengths) <= packing.LENGTH for _, lengths in by_patterns)
+    # The plan grows with the lengths that there are, not with the pieces.
+    assert len(packing.plan({n: c * 10**9 for n, c in histogram.items()})) < 6 * packing.LENGTH
+
+
+def test_nnls():
+    rnd = np.random.default_rng(3)
+    for _ in range(20):
+        a, x = rnd.integers(0, 3, (8, 30)).astype(float), np.zeros(30)
+        x[rnd.choice(30, 5, False)] = rnd.uniform(1, 9, 5)
+        got = packing.nnls(a, a @ x)
+        assert (got >= 0).all() and np.allclose(a @ got, a @ x, atol=1e-6) and (got > 0).sum() <= 8
+
+
+def test_packing_salts(spark, docs, monkeypatch):
+    monkeypatch.setattr(packing, "RANKED", 1)
+    got = packing.pack(spark, docs.unionByName(docs), public_tokenizers.path("word_bpe_49k.json"), 1, 256).collect()
+    assert len({(r.sequence_id, r.offset) for r in got}) == len(got)
+    room = collections.Counter()
+    for r in got:
+        room[r.sequence_id] += r.length
+    assert max(room.values()) <= 256 and all(r.offset + r.length <= room[r.sequence_id] for r in got)
+
+
 # --- chat --------------------------------------------------------------------------
 
 def test_chat(spark):
