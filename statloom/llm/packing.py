@@ -22,8 +22,8 @@ and is bounded; only its application to rows is distributed.
 A plan is a list of (number of equal sequences, lengths in them). The piece of
 rank r among pieces of its length takes the r-th place for that length. Ranks
 are counted within salted groups on top of the sums of the groups before; a
-length has so many groups that each holds about ``RANKED`` pieces, so a length
-that a third of all pieces share is not ranked in one task at any size.
+length has groups in proportion to its pieces, so a length that a third of all
+pieces share is not ranked in one task at any size.
 
 Defined results: a null or empty text is one piece of its end id; rows with
 equal or null doc_ids are packed like others; columns other than doc_id and
@@ -47,8 +47,9 @@ from .encode import encoded_groups
 LENGTH = 4096
 UNITS = 32
 PARTS = 12
-#: Aim for the pieces of one group in which ranks are counted.
-RANKED = 1_000_000
+#: Pieces of one group in which ranks are counted: so many, or more where that would make more than ``GROUPS`` groups.
+RANKED = 256
+GROUPS = 65_536
 
 
 def enumerate_patterns(units: int, parts: int) -> list[tuple[int, ...]]:
@@ -309,14 +310,16 @@ def pack(spark: SparkSession, docs: DataFrame, path: str, end_id: int, length: i
         pieces = pieces.drop("ids")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     where = places(plan(histogram, length))
-    groups = F.element_at(F.create_map(*(F.lit(x).cast("bigint") for n, c in histogram.items() if c > RANKED for x in (n, -(-c // RANKED)))), F.col("length")) if max(histogram.values(), default=0) > RANKED else F.lit(1)
-    pieces = pieces.withColumn("salt", F.pmod(F.xxhash64("uid", "piece"), F.coalesce(groups, F.lit(1))).cast("int"))
+    each = max(RANKED, sum(histogram.values()) // GROUPS)
+    many = [F.lit(x).cast("bigint") for n, c in histogram.items() if c > each for x in (n, -(-c // each))]
+    groups = F.coalesce(F.element_at(F.create_map(*many), F.col("length")), F.lit(1)) if many else F.lit(1)
+    pieces = pieces.withColumn("salt", F.pmod(F.xxhash64("uid", "piece"), groups).cast("int"))
     counts = pieces.groupBy("length", "salt").agg(F.count("*").alias("n"))
     along = Window.partitionBy("length").orderBy("salt")
     base = counts.select("length", "salt", (F.sum("n").over(along) - F.col("n")).alias("base"))
     within = F.row_number().over(Window.partitionBy("length", "salt").orderBy("uid", "piece")).cast("bigint") - 1
     ranked = pieces.withColumn("within", within)
-    # At most a row for each length and for each RANKED pieces.
+    # At most a row for each length and GROUPS more: a bounded table.
     ranked = ranked.join(F.broadcast(base), ["length", "salt"]).withColumn("rank", F.col("base") + F.col("within")).drop("base", "within")
     fields = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint" + (", ids binary" if keep_ids else "")
     ordered = ranked.select(*(c.split()[0] for c in fields.split(", ")), "rank")
