@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import xxhash
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from statloom.llm import chat, components, decontaminate, encode, language_id, licenses, near_copies, packing, quality_rules, queries, simhash, site_quality, suffix_dedup, token_files
-from statloom.session import shared_dir, table
+from statloom.session import Scratch, shared_dir, table
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -80,22 +81,87 @@ def test_repeats_odd(spark, odd):
     assert sorted(map(tuple, suffix_dedup.repeated_bytes(spark, one).collect()), key=str) == brute_repeats(sorted(rows))
     assert suffix_dedup.repeated_bytes(spark, odd).count() == odd.count()
     assert suffix_dedup.repeated_bytes(spark, empty(spark)).count() == 0
-    kept = suffix_dedup.remove_repeats(spark, odd.withColumn("part", F.lit("mine")).withColumn("row", F.lit(1)))
+    assert not spark.catalog.listTables(pattern="statloom_parts_*")
+    scratch, other = Scratch(spark), Scratch(spark)
+    kept = suffix_dedup.remove_repeats(spark, odd.withColumn("part", F.lit("mine")).withColumn("row", F.lit(1)), scratch=scratch)
+    suffix_dedup.remove_repeats(spark, odd, scratch=other)
     assert kept.columns == [*odd.columns, "part", "row"] and {r.part for r in kept.collect()} == {"mine"}
     assert [r.n_chars == len(r.text) for r in kept.where("text IS NOT NULL AND n_chars > 1").collect()].count(False) == 0
-    assert spark.catalog.listTables(pattern="statloom_parts_*")
-    suffix_dedup.drop_staged(spark)
+    # A run's handle drops its own table and no other.
+    scratch.drop()
+    assert [t.name for t in spark.catalog.listTables(pattern="statloom_parts_*")] == other.tables
+    other.drop()
     assert not spark.catalog.listTables(pattern="statloom_parts_*")
 
 
-def test_lpf():
-    for data in (b"", b"a", b"aaaaaa", b"mississippi", bytes(random.Random(1).choices(b"ab", k=90))):
-        n = len(data)
-        assert list(suffix_dedup.lpf_array(data)) == [max([0] + [k for q in range(p) for k in range(1, n - p + 1) if data[q : q + k] == data[p : p + k]]) for p in range(n)]
-    text = np.frombuffer(bytes(random.Random(2).choices(b"ab", k=400)), np.uint8)
-    starts = np.arange(0, 380)
-    raw = text.tobytes()
-    assert list(suffix_dedup.earlier_copy(text, starts, 12)) == [raw[p : p + 12] in {raw[q : q + 12] for q in range(p)} for p in starts]
+def shared_bytes(x, y):
+    return next((k for k, (a, b) in enumerate(zip(x, y, strict=False)) if a != b), min(len(x), len(y)))
+
+
+@pytest.mark.parametrize("width", [8, 12, 16, 100])
+def test_previous_factors(width):
+    for seed, kind in enumerate((b"a", b"ab", b"abc", bytes(range(256)))):
+        raw = bytes(random.Random(seed).choices(kind, k=150)) * 2 + bytes(random.Random(seed + 9).choices(kind, k=150))
+        starts = np.array(sorted(random.Random(seed).sample(range(len(raw) - width + 1), 120)))
+        want = [max([0, *(shared_bytes(raw[p : p + width], raw[q : q + width]) for q in starts[:k])]) for k, p in enumerate(starts)]
+        assert suffix_dedup.previous_factors(np.frombuffer(raw, np.uint8), starts, width).tolist() == want
+
+
+def test_repeats_go_by_factors(spark, docs, monkeypatch):
+    """Windows that meet in contexts of their own go by their LPF alone."""
+    seen = []
+
+    def counted(text, starts, width=100, real=suffix_dedup.previous_factors):
+        seen.append(int((real(text, starts, width) >= width).sum()))
+        return real(text, starts, width)
+
+    monkeypatch.setattr(suffix_dedup, "previous_factors", counted)
+    passage = "".join(random.Random(3).choices("abcdefgh ", k=130))
+    texts = ["".join(random.Random(k).choices("ijklmnop ", k=300)) for k in range(30)]
+    block = []
+    for k, t in enumerate(texts):
+        data = np.frombuffer((t[:149] + chr(65 + k) + passage + chr(65 + k) + t[151:]).encode(), np.uint8)
+        key, start, own, _ = suffix_dedup.anchors(data, np.array([0, len(data)]))
+        for a, s, o in zip(key.view(np.int64).tolist(), start.tolist(), own.tolist(), strict=True):
+            block.append((0, a, k, 0, k, s, o, o + 99, data[s : s + o + 99].tobytes()))
+    rows = pa.Table.from_pylist([dict(zip((f.split()[0] for f in suffix_dedup.CONTEXTS.split(", ")), r, strict=True)) for r in block])
+    spans = suffix_dedup._repeats(rows).to_pylist()
+    assert 0 < sum(seen) <= 31 * 29
+    for k in range(30):
+        mine = [(s["start"], s["end"]) for s in spans if s["row"] == k]
+        assert (min((a for a, _ in mine), default=None), max((b for _, b in mine), default=None)) == ((None, None) if k == 0 else (150, 280))
+
+
+def test_repeats_of_a_long_text(spark):
+    """9 MB in one document, read in many pieces, and the same bytes again in two others."""
+    long = np.random.default_rng(1).integers(97, 123, 9 << 20, np.uint8).tobytes().decode()
+    rows = [(1, long), (2, "x" + long[5_000_000:5_000_400] + "y"), (3, long[: 3 << 20])]
+    got = {r.doc_id: r for r in suffix_dedup.repeated_bytes(spark, spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)).collect()}
+    assert (got[1].n_removed, got[2].n_removed, got[2].n_spans, got[3].n_removed, got[3].n_spans) == (0, 400, 1, 3 << 20, 1)
+    assert got[1].kept_sha256 == hashlib.sha256(long.encode()).hexdigest() and got[2].kept_sha256 == hashlib.sha256(b"xy").hexdigest()
+
+
+def test_repeats_shuffle_rows(spark, monkeypatch):
+    """Shuffled rows grow with the text, not with parts times blocks."""
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 1 << 14)
+    monkeypatch.setattr(suffix_dedup, "BYTES_A_BLOCK", 1 << 12)
+    rows = {}
+    for times in (1, 4):
+        rnd = np.random.default_rng(times)
+        texts = [(k, rnd.integers(97, 123, 4000, np.uint8).tobytes().decode()) for k in range(30 * times)]
+        scratch = Scratch(spark)
+        staged, size = suffix_dedup._stage(spark, spark.createDataFrame([*texts, *((k + 1000, t) for k, t in texts)], "doc_id bigint, text string").repartition(2), [], scratch)
+        keys = staged.select("text", "part").mapInArrow(suffix_dedup._screen, "part int, key bigint, n int").count()
+        rows[times] = keys, suffix_dedup._spans(staged, size, 4096).count()
+        scratch.drop()
+    for small, large in zip(*rows.values(), strict=True):
+        assert 0 < small and 3 * small < large < 5 * small
+
+
+def test_part_labels(spark):
+    labels = suffix_dedup.part_labels(50)
+    found = [r[0] for r in spark.createDataFrame([(k,) for k in labels], "k int").select(F.pmod(F.hash("k"), F.lit(50))).collect()]
+    assert sorted(found) == list(range(50))
 
 
 # --- language ID -----------------------------------------------------------------
