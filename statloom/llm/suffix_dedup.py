@@ -68,7 +68,8 @@ HOT = 4096
 BYTES_A_BLOCK = 4 << 20
 #: Context bytes that are sorted at once; contexts of one key stay together.
 SORT_BYTES = 1 << 20
-PIECE = 1 << 20
+#: Text that is hashed at once; longer documents are read in overlapping pieces of it.
+PIECE = 1 << 18
 #: Aim for the text of one part, and the most buckets of the staged table; beyond it a bucket holds several parts.
 PART_BYTES = 8 << 20
 MAX_BUCKETS = 50_000
@@ -190,7 +191,7 @@ def anchors(buf: np.ndarray, off: np.ndarray, width: int = WIDTH, gram: int = GR
 
 def _stretches(buf: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
     """(first document, bytes, offsets, position in that document): short documents together, long ones in overlapping pieces."""
-    for a, b in groups(off):
+    for a, b in groups(off, PIECE):
         if b - a == 1 and off[b] - off[a] > PIECE:
             for at in range(int(off[a]), int(off[b]) - WIDTH + 1, PIECE):
                 to = min(int(off[b]), at + PIECE + WIDTH - 1)
@@ -252,6 +253,12 @@ def _table(schema: str, columns: list) -> pa.Table:
     return pa.Table.from_arrays([c.cast(kinds[k]) if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c).cast(kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
 
 
+def _lean(table: pa.Table) -> pa.Table:
+    """The table, with memory that Arrow holds in reserve given back: workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    return table
+
+
 def _ordered(docs: pa.Table) -> pa.Table:
     """Rows in the order that decides what is earlier."""
     return docs.take(pc.sort_indices(docs, sort_keys=[("doc_key", "ascending"), ("row", "ascending")]))
@@ -318,7 +325,7 @@ def _contexts(docs: pa.Table, marks: pa.Table, blocks: int) -> pa.Table:
     doc, start, end = _merged(np.concatenate(settled, axis=1))
     none = np.zeros(len(doc), np.int64)
     out.append(_table(CONTEXTS, [none + part % blocks, none, none, none + part, row[doc], start, none, end - start, pa.nulls(len(doc), pa.binary())]))
-    return pa.concat_tables(out)
+    return _lean(pa.concat_tables(out))
 
 
 def _merged(spans: np.ndarray) -> np.ndarray:
@@ -366,7 +373,7 @@ def _repeats(rows: pa.Table) -> pa.Table:
             found.append(np.stack([part[some][of], row[some][of], at[some][of] + start, end - start]))
             low = high
     part, row, start, size = np.concatenate(found, axis=1)
-    return _table(SPANS, [part, row, start, start + size])
+    return _lean(_table(SPANS, [part, row, start, start + size]))
 
 
 def _removals(docs: pa.Table, spans: pa.Table) -> Iterator[tuple[int, bytes, list[tuple[int, int]]]]:
