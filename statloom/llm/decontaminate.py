@@ -22,8 +22,10 @@ all blocks are united before they are counted.
 
 Defined results: null or wordless texts have no words and no hits; wordless or
 null items have no window; items with equal item_id count once; items with a
-null item_id count as one item, which items_sha256 leaves out; repeated
-doc_ids are judged one by one; an empty benchmark leaves every document clean.
+null item_id count as one item, which items_sha256 leaves out; repeated and
+null doc_ids are judged one by one; words of any length are searched; an empty
+benchmark leaves every document clean; ``decontaminate`` reads doc_id and text
+only and ``drop_contaminated`` gives all columns back, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,12 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
 from ._bytes import LOWER, PLAIN, flat_text, groups, per_doc, word_spans
 
 WINDOW = 10
 BLOCK_BYTES = 32 << 20
 #: Upper ends of the pattern length classes, in bytes.
 CLASSES = (8, 24, 1 << 30)
+MOST_HEAD = 1024
 HASH_BITS = 22
 STRETCH = 512
 SEP = 1  # between documents; no pattern has this byte
@@ -75,7 +79,8 @@ class Searcher:
 
     def __init__(self, patterns: list[bytes]):
         self.patterns = patterns
-        self.m = min(map(len, patterns))
+        # Heads of at most MOST_HEAD bytes: shifts stay small numbers whatever the words' lengths.
+        self.m = min(MOST_HEAD, min(map(len, patterns)))
         # The longer the block, the fewer of the text's blocks are in any pattern.
         self.block = min(self.m, max(3, 2 + (2 * self.m * len(patterns)).bit_length() // 4))
         heads = np.frombuffer(b"".join(p[: self.m] for p in patterns), np.uint8).reshape(-1, self.m)
@@ -183,8 +188,22 @@ class Matcher:
         return count, base, found
 
 
+_held: dict[tuple, Matcher] = {}
+
+
+def _matcher(items, window: int) -> Matcher:
+    """The tables of one block; a worker builds them once and keeps those of the last block."""
+    if not hasattr(items, "value"):
+        return Matcher(items, window)
+    key = (items._path, items.value is not None and len(items.value), window)
+    if key not in _held:
+        _held.clear()
+        _held[key] = Matcher(items.value, window)
+    return _held[key]
+
+
 def _hits(batches: Iterator[pa.RecordBatch], items, window: int) -> Iterator[tuple[pa.RecordBatch, int, int, np.ndarray, np.ndarray, list]]:
-    matcher = Matcher(items.value if hasattr(items, "value") else items, window)
+    matcher = _matcher(items, window)
     for batch in batches:
         buf, off, _ = flat_text(batch.column("text"))
         for a, b in groups(off):
@@ -278,7 +297,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
         items = blocks[0] if blocks else []
         return frame.mapInArrow(lambda it: _single(it, items, window), RESULT)
     rows = frame.withColumn("uid", F.monotonically_increasing_id())
-    kept = f"{_shared(spark)}/blocks"
+    kept = f"{shared_dir(spark)}/blocks"
     schema = "uid bigint, doc_id bigint, n_words bigint, starts array<int>, ends array<int>, items array<string>"
     for k, items in enumerate(blocks):
         rows.mapInArrow(lambda it, items=items: _spans(it, items, window), schema).write.mode("append").parquet(kept)
@@ -286,12 +305,6 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
     return united.drop("uid").mapInArrow(_unite, RESULT)
 
 
-def _shared(spark: SparkSession) -> str:
-    from ..session import shared_dir
-
-    return shared_dir(spark)
-
-
 def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents in which no window occurs, with the columns they came with."""
     kept = docs
@@ -299,7 +312,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame
         items = spark.sparkContext.broadcast(block)
 
         def clean(batches, items=items):
-            matcher = Matcher(items.value, window)
+            matcher = _matcher(items, window)
             for batch in batches:
                 buf, off, _ = flat_text(batch.column("text"))
                 for a, b in groups(off):
