@@ -42,7 +42,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._bytes import flat_text
-from .encode import encoded_groups
+from ..session import Scratch
+from .encode import encoded_groups, encoder
 
 LENGTH = 4096
 UNITS = 32
@@ -266,6 +267,7 @@ PIECES = "doc_id bigint, uid bigint, piece int, start bigint, length bigint, ids
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, end_id: int, length: int, keep_ids: bool) -> Iterator[pa.RecordBatch]:
+    width = encoder(path).width
     for batch in batches:
         buf, off, _ = flat_text(batch.column("text"))
         for a, b, ids, begin in encoded_groups(path, buf, off, end_id):
@@ -275,10 +277,12 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, end_id: int, length: i
             piece = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
             start = piece * length
             size = np.minimum(length, n[doc] - start)
-            raw, at = memoryview(ids.astype("<u4").tobytes()), (begin[:-1][doc] + start) * 4
-            cuts = [raw[s : s + 4 * z] for s, z in zip(at.tolist(), size.tolist(), strict=True)]
+            at = (begin[:-1][doc] + start).tolist()
+            wide, kept = (memoryview(ids.astype(kind).tobytes()) for kind in ("<u4", f"<u{width}"))
+            cuts = [wide[4 * s : 4 * (s + z)] for s, z in zip(at, size.tolist(), strict=True)]
+            bodies = [bytes(kept[width * s : width * (s + z)]) for s, z in zip(at, size.tolist(), strict=True)] if keep_ids else [None] * len(at)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(a, b - a).take(pa.array(doc)), batch.column("uid").slice(a, b - a).take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array([zlib.crc32(c) for c in cuts], pa.int64()), pa.array([bytes(c) for c in cuts] if keep_ids else [None] * len(cuts), pa.binary())],
+                [batch.column("doc_id").slice(a, b - a).take(pa.array(doc)), batch.column("uid").slice(a, b - a).take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array([zlib.crc32(c) for c in cuts], pa.int64()), pa.array(bodies, pa.binary())],
                 names=[c.split()[0] for c in PIECES.split(", ")],
             )
 
@@ -298,14 +302,16 @@ def _place(batches: Iterator[pa.RecordBatch], where: dict) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(sequence), pa.array(offset)], names=[*names, "sequence_id", "offset"])
 
 
-def pack(spark: SparkSession, docs: DataFrame, path: str, end_id: int, length: int = LENGTH, keep_ids: bool = False) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids as <u4 if kept)."""
-    from ..session import shared_dir
+def pack(spark: SparkSession, docs: DataFrame, path: str, end_id: int, length: int = LENGTH, keep_ids: bool = False, scratch: Scratch | None = None) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
-    folder = shared_dir(spark)
+    If kept, ids are unsigned little-endian numbers as wide as the vocabulary
+    needs; the checksum is over 32-bit ones. Pieces are read from the scratch
+    folder when rows are used: pass a ``scratch`` to drop it after that.
+    """
+    scratch = scratch or Scratch(spark)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.monotonically_increasing_id().alias("uid"))
-    rows.mapInArrow(lambda it: _pieces(it, path, end_id, length, keep_ids), PIECES).write.option("compression", "zstd").parquet(f"{folder}/pieces")
-    pieces = spark.read.schema(PIECES).parquet(f"{folder}/pieces")
+    pieces = scratch.written(rows.mapInArrow(lambda it: _pieces(it, path, end_id, length, keep_ids), PIECES), "pieces")
     if not keep_ids:
         pieces = pieces.drop("ids")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
@@ -328,18 +334,13 @@ def pack(spark: SparkSession, docs: DataFrame, path: str, end_id: int, length: i
 
 def sequences(packed: DataFrame) -> DataFrame:
     """(sequence_id, ids, spans): the packed rows themselves, from pieces that kept their ids."""
-    rows = packed.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "length", "doc_id", "piece", "ids"))).alias("p"))
-    return rows.select("sequence_id", F.expr("aggregate(p, CAST('' AS BINARY), (s, x) -> concat(s, x.ids))").alias("ids"), F.transform("p", lambda x: F.struct(x["offset"].alias("offset"), x["length"].alias("length"), x["doc_id"].alias("doc_id"), x["piece"].alias("piece"))).alias("spans"))
+    place = ("offset", "length", "doc_id", "piece", "ids_crc32")
+    rows = packed.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct(*place, "ids"))).alias("p"))
+    return rows.select("sequence_id", F.expr("aggregate(p, CAST('' AS BINARY), (s, x) -> concat(s, x.ids))").alias("ids"), F.transform("p", lambda x: F.struct(*(x[c].alias(c) for c in place))).alias("spans"))
 
 
-def write_sequences(spark: SparkSession, packed: DataFrame, folder: str) -> str:
-    """Writes the training sequences and gives the path of their table."""
-    sequences(packed).write.option("compression", "zstd").parquet(f"{folder}/sequences")
-    return f"{folder}/sequences"
-
-
-def placed_pieces(spark: SparkSession, path: str, length: int = LENGTH) -> DataFrame:
-    """The rows of ``pack``, with ids, read from written sequences."""
-    rows = spark.read.parquet(path).select("sequence_id", "ids", F.explode("spans").alias("s"))
-    ids = F.substring("ids", (F.col("s.offset") * 4 + 1).cast("int"), (F.col("s.length") * 4).cast("int"))
-    return rows.select("s.doc_id", "s.piece", (F.col("s.piece").cast("bigint") * length).alias("start"), "s.length", F.crc32(ids).alias("ids_crc32"), ids.alias("ids"), "sequence_id", "s.offset")
+def placed_pieces(written: DataFrame, width: int, length: int = LENGTH) -> DataFrame:
+    """The rows of ``pack``, with ids, from written sequences of ids of ``width`` bytes."""
+    rows = written.select("sequence_id", "ids", F.explode("spans").alias("s"))
+    ids = F.substring("ids", (F.col("s.offset") * width + 1).cast("int"), (F.col("s.length") * width).cast("int"))
+    return rows.select("s.doc_id", "s.piece", (F.col("s.piece").cast("bigint") * length).alias("start"), "s.length", "s.ids_crc32", ids.alias("ids"), "sequence_id", "s.offset")

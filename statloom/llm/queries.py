@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import shared_dir, table
+from ..session import Scratch, shared_dir, table
 from . import chat, decontaminate, language_id, licenses, packing, quality_rules, simhash, site_quality, sql, suffix_dedup, token_files
 
 
@@ -20,7 +20,8 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1)
+    scratch = Scratch(spark)
+    return scratch.kept(packing.pack(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1, scratch=scratch), "pieces")
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
