@@ -17,7 +17,9 @@ the global log-odds. Counts per site are partial sums over all documents.
 Defined results: a null or empty text has no evidence of its own and takes its
 site's; null host or path values are a site of their own; without labels of
 both kinds a score is 0 everywhere and every document has probability 1/2 of
-that kind, is not toxic and is kept; repeated doc_ids are judged one by one.
+that kind, is not toxic and is kept; repeated and null doc_ids are judged one by
+one; only doc_id, text and the two site columns are read, so other columns may
+have any names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import Scratch
 from ._bytes import BYTE_CODE, LOWER, PLAIN, U64, Rolling, flat_text, groups, word_spans
 from .quality_rules import BUCKETS, ngram_buckets
 
@@ -155,19 +158,14 @@ def _shrunk(sites: DataFrame, n: str, total: str, above: Column, strength: Colum
 
 
 def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang") -> DataFrame:
-    """(doc_id, quality_prob, toxic_prob, toxic, kept) of every document."""
-    from ..session import shared_dir
-
-    model, folder = fit(docs, labels), shared_dir(spark)
+    """(doc_id, quality_prob, toxic_prob, toxic, kept) of every document; written here, so that nothing else is left."""
+    model, scratch = fit(docs, labels), Scratch(spark)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"), F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"), "text")
     names = ["doc_id", "host", "path"]
-    rows.mapInArrow(lambda it: _evidence(it, model, names), "doc_id bigint, host string, path string, q double, t double").write.parquet(f"{folder}/evidence")
-    docs_odds = spark.read.schema("doc_id bigint, host string, path string, q double, t double").parquet(f"{folder}/evidence")
+    docs_odds = scratch.written(rows.mapInArrow(lambda it: _evidence(it, model, names), "doc_id bigint, host string, path string, q double, t double"), "evidence")
 
     p = {c: _chance(F.col(c)) for c in "qt"}
-    paths = docs_odds.groupBy("host", "path").agg(F.count("*").alias("n"), *(F.sum(p[c]).alias(c) for c in "qt"))
-    paths.write.parquet(f"{folder}/paths")
-    paths = spark.read.schema("host string, path string, n bigint, q double, t double").parquet(f"{folder}/paths")
+    paths = scratch.written(docs_odds.groupBy("host", "path").agg(F.count("*").alias("n"), *(F.sum(p[c]).alias(c) for c in "qt")), "paths")
     hosts = paths.groupBy("host").agg(F.sum("n").alias("hn"), *(F.sum(c).alias(f"h{c}") for c in "qt"))
     world = hosts.agg(F.sum("hn").alias("gn"), *(F.sum(f"h{c}").alias(f"s{c}") for c in "qt"), *(F.var_pop(F.col(f"h{c}") / F.col("hn")).alias(f"v{c}") for c in "qt"), F.avg(1 / F.col("hn")).alias("thin")).first()
     joined = paths.join(hosts, "host")
@@ -185,4 +183,4 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, host: str
     has_q, has_t = model["q"] != (0.0, 0.0), model["t"] != (0.0, 0.0)
     is_toxic = (toxic >= 0.5) if has_t else F.lit(False)
     good = (quality >= 0.5) if has_q else F.lit(True)
-    return final.select("doc_id", quality.alias("quality_prob"), toxic.alias("toxic_prob"), is_toxic.alias("toxic"), (good & ~is_toxic).alias("kept"))
+    return scratch.kept(final.select("doc_id", quality.alias("quality_prob"), toxic.alias("toxic_prob"), is_toxic.alias("toxic"), (good & ~is_toxic).alias("kept")), "verdicts")
