@@ -1,13 +1,20 @@
-"""Near copies by exact shingle similarity: every pair of texts with Jaccard >= ``SIMILARITY``.
+"""Near copies: every pair of texts whose shingle sets have a Jaccard similarity of ``SIMILARITY`` or more.
 
 Texts are sets of XXH64 hashes of ``SHINGLE``-word shingles; texts of equal sets
-are one node. Two sets of similarity s share a shingle among the first
-n - ceil(s n) + 1 of each, in any order that both follow. So nodes are entered
-under those shingles only, and nodes of one shingle and fitting sizes are
-compared, first by the counts of their hashes in buckets, whose distance is at
-most that of the sets, and if these do not rule the pair out on whole sets. SimHash distances alone cannot do this: at
-similarity 0.8 they spread around 10 of 64 bits, and no radius holds every pair
-without holding most other pairs as well.
+are one node. Pairs come from two searches, and every pair is verified on whole
+sets before it links:
+
+1. *SimHash* (``simhash``): fingerprints of the same shingles within its radius,
+   found by the grid range join of their segment popcounts. This settles the
+   close copies, large groups of them included, with few comparisons.
+2. *Prefix filter*, for what lies beyond that radius: at similarity 0.8
+   fingerprints differ in some 10 of 64 bits, and no radius holds every pair
+   without holding most other pairs as well. Two sets of similarity s share a
+   shingle among the first n - ceil(s n) + 1 of each, in any order that both
+   follow. So nodes are entered under those shingles only, and nodes of one
+   shingle, of fitting sizes and not joined yet are compared, first by the
+   counts of their hashes in buckets, whose distance is at most that of the
+   sets, and if these do not rule the pair out on whole sets.
 
 The order puts shingles that are common in a sample last and goes by hash value
 otherwise. The sample decides how many pairs are compared, never which are found.
@@ -20,8 +27,9 @@ are compared with all of it.
 
 Defined results: texts that are null or have no word are equal to each other;
 a text with fewer words than a shingle has one shingle, its whole word
-sequence. One row of a component is kept: least doc_id, null last, then least
-MD5 of the text, and of rows that agree in both the least row.
+sequence; an empty table gives no rows; columns keep their names and values,
+whatever they are called. One row of a component is kept: least doc_id, null
+last, then least MD5 of the text, and of rows that agree in both the least row.
 """
 
 from __future__ import annotations
@@ -35,10 +43,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import Scratch
 from ._bytes import flat_text, groups
 from .components import connected_components
-from .simhash import SEED, shingle_hashes
-from .token_files import _shuffles_dropped
+from .simhash import SEED, bit_majorities, shingle_hashes
+from .simhash import links as simhash_links
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -55,25 +64,26 @@ def digest() -> Column:
     return F.coalesce(F.md5("text"), F.lit(""))
 
 
-def _sets(buf: np.ndarray, off: np.ndarray, shingle: int, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct hashes of each document, common ones last; offsets)."""
-    value, doc = shingle_hashes(buf, off, shingle)
+def _sets(value: np.ndarray, doc: np.ndarray, n: int, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct hashes of each of n documents, common ones last; offsets)."""
     late = np.isin(value, common)
     order = np.lexsort((value, late, doc))
     value, doc = value[order], doc[order]
     new = np.ones(len(value), bool)
     new[1:] = (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])
-    return value[new], np.concatenate([[0], np.cumsum(np.bincount(doc[new], minlength=len(off) - 1))])
+    return value[new], np.concatenate([[0], np.cumsum(np.bincount(doc[new], minlength=n))])
 
 
-def _documents(batch: pa.RecordBatch, shingle: int, common: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(row, node, set) of each document."""
+def _documents(batch: pa.RecordBatch, shingle: int, common: np.ndarray, prints: bool = False) -> Iterator[tuple[int, np.ndarray, int]]:
+    """(node, set, fingerprint if asked for) of each document, in order."""
     buf, off, _ = flat_text(batch.column("text"))
     for a, b in groups(off):
-        value, cut = _sets(buf[off[a] : off[b]], off[a : b + 1] - off[a], shingle, common)
+        value, doc = shingle_hashes(buf[off[a] : off[b]], off[a : b + 1] - off[a], shingle)
+        bits = (bit_majorities(value, doc, b - a) if prints else np.zeros(b - a, np.uint64)).view(np.int64).tolist()
+        value, cut = _sets(value, doc, b - a, common)
         for k in range(b - a):
             own = value[cut[k] : cut[k + 1]]
-            yield a + k, xxhash.xxh64_intdigest(own.tobytes(), SEED) - (1 << 63), own
+            yield xxhash.xxh64_intdigest(own.tobytes(), SEED) - (1 << 63), own, bits[k]
 
 
 def _sketch(own: np.ndarray) -> bytes:
@@ -94,7 +104,7 @@ def _common(docs: DataFrame, shingle: int) -> np.ndarray:
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, own in _documents(batch, shingle, np.zeros(0, np.uint64)):
+            for _, own, _ in _documents(batch, shingle, np.zeros(0, np.uint64)):
                 yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64))], names=["shingle"])
 
     some = docs.select("text", F.xxhash64("doc_id", "text").alias("h")).where((F.shiftrightunsigned("h", 33) / F.lit(float(1 << 31))) < share).select("text")
@@ -103,36 +113,31 @@ def _common(docs: DataFrame, shingle: int) -> np.ndarray:
 
 
 def _prints(docs: DataFrame, shingle: int, share: Fraction, common: np.ndarray) -> DataFrame:
-    """(doc_id, digest, node, n, first, sketch); the last two are null where the task has entered the node already."""
+    """(doc_id, digest, node, fp, n, first, sketch); the last two are null where the task has entered the node already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            node, n, first, sketch = [], [], [], []
-            for _, name, own in _documents(batch, shingle, common):
+            node, fp, n, first, sketch = [], [], [], [], []
+            for name, own, bits in _documents(batch, shingle, common, prints=True):
                 node.append(name)
+                fp.append(bits)
                 n.append(len(own))
                 first.append(None if name in seen else own[: len(own) - -(-len(own) * share.numerator // share.denominator) + 1].view(np.int64) if len(own) else [])
                 sketch.append(None if name in seen else _sketch(own))
                 seen.add(name)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), pa.array(node, pa.int64()), pa.array(n, pa.int64()), pa.array(first, pa.list_(pa.int64())), pa.array(sketch, pa.binary())], names=["doc_id", "digest", "node", "n", "first", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), pa.array(node, pa.int64()), pa.array(fp, pa.int64()), pa.array(n, pa.int64()), pa.array(first, pa.list_(pa.int64())), pa.array(sketch, pa.binary())], names=["doc_id", "digest", "node", "fp", "n", "first", "sketch"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), digest().alias("digest"), "text")
-    return rows.mapInArrow(run, "doc_id bigint, digest string, node bigint, n bigint, first array<bigint>, sketch binary")
+    return rows.mapInArrow(run, "doc_id bigint, digest string, node bigint, fp bigint, n bigint, first array<bigint>, sketch binary")
 
 
-def _written(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
-    with _shuffles_dropped(spark):
-        rows.write.parquet(path)
-    return spark.read.parquet(path)
-
-
-def _verified(spark: SparkSession, pairs: DataFrame, prints: DataFrame, docs: DataFrame, shingle: int, share: Fraction, common: np.ndarray, folder: str) -> DataFrame:
+def _verified(scratch: Scratch, pairs: DataFrame, prints: DataFrame, docs: DataFrame, shingle: int, share: Fraction, common: np.ndarray, name: str) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar."""
-    pairs = _written(spark, pairs, f"{folder}/pairs")
+    pairs = scratch.written(pairs, f"{name}_pairs")
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     sketches = prints.where("sketch IS NOT NULL").select("node", "n", "sketch").join(ends, "node", "left_semi").groupBy("node").agg(F.min("n").alias("n"), F.min("sketch").alias("sketch"))
-    sketches = _written(spark, sketches, f"{folder}/sketches")
+    sketches = scratch.written(sketches, f"{name}_sketches")
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,20 +148,20 @@ def _verified(spark: SparkSession, pairs: DataFrame, prints: DataFrame, docs: Da
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
     both = pairs.join(sketches.select(F.col("node").alias("a"), "n", F.col("sketch").alias("x")), "a").join(sketches.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y")), "b")
-    pairs = _written(spark, both.mapInArrow(near, _PAIR), f"{folder}/near")
+    pairs = scratch.written(both.mapInArrow(near, _PAIR), f"{name}_near")
     used = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     texts = prints.join(used, "node", "left_semi").groupBy("node").agg(F.min("digest").alias("digest")).select("digest")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            for _, node, own in _documents(batch, shingle, common):
+            for node, own, _ in _documents(batch, shingle, common):
                 if node not in seen:
                     seen.add(node)
                     yield pa.RecordBatch.from_arrays([pa.array([node], pa.int64()), pa.array([np.sort(own).tobytes()], pa.binary())], names=["node", "own"])
 
     held = docs.select("text", digest().alias("digest")).join(texts, "digest", "left_semi").select("text").mapInArrow(sets, "node bigint, own binary")
-    held = _written(spark, held.groupBy("node").agg(F.first("own").alias("own")), f"{folder}/sets")
+    held = scratch.written(held.groupBy("node").agg(F.first("own").alias("own")), f"{name}_sets")
     both = pairs.join(held.select(F.col("node").alias("a"), F.col("own").alias("x")), "a").join(held.select(F.col("node").alias("b"), F.col("own").alias("y")), "b")
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,39 +175,50 @@ def _verified(spark: SparkSession, pairs: DataFrame, prints: DataFrame, docs: Da
             keep = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
-    return _written(spark, both.mapInArrow(similar, _PAIR), f"{folder}/links")
+    return scratch.written(both.mapInArrow(similar, _PAIR), f"{name}_links")
 
 
-def _labels(spark: SparkSession, links: DataFrame, folder: str) -> DataFrame:
-    return _written(spark, connected_components(spark, links), f"{folder}/labels")
+def _labels(scratch: Scratch, links: DataFrame, name: str) -> DataFrame:
+    return scratch.written(connected_components(scratch.spark, links), f"{name}_labels")
 
 
-def components(spark: SparkSession, docs: DataFrame, shingle: int, similarity: float, crowd: int) -> tuple[DataFrame, DataFrame]:
-    """(prints of all rows, (node, component) of the nodes that have a link)."""
-    from ..session import shared_dir
+def _close(spark: SparkSession, prints: DataFrame, crowd: int) -> DataFrame:
+    """Pairs (a, b) of nodes whose fingerprints are linked, spanning: the least nodes of two fingerprints, and of one fingerprint with its others."""
+    nodes = prints.where("n > 0").select("fp", "node").distinct()
+    least = nodes.groupBy("fp").agg(F.min("node").alias("least"))
+    linked = simhash_links(spark, least.select("fp"), crowd)
+    of = lambda c: least.select(F.col("fp").alias(c), F.col("least").alias(f"{c}_node"))
+    apart = linked.join(of("a"), "a").join(of("b"), "b").select("a_node", "b_node")
+    same = nodes.join(least, "fp").where("node != least").select("least", "node")
+    return apart.unionByName(same.toDF("a_node", "b_node")).select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).where("a != b").distinct()
 
-    folder, share = shared_dir(spark), Fraction(str(similarity))
+
+def components(spark: SparkSession, docs: DataFrame, shingle: int, similarity: float, crowd: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(prints of all rows, (node, component) of the nodes that have a link)."""
+    share = Fraction(str(similarity))
     common = _common(docs, shingle)
-    prints = _written(spark, _prints(docs, shingle, share, common), f"{folder}/prints")
+    prints = scratch.written(_prints(docs, shingle, share, common), "prints")
+    links = _verified(scratch, _close(spark, prints, crowd), prints, docs, shingle, share, common, "close")
+    label = _labels(scratch, links, "close")
 
     rows = prints.select("node", "n", F.explode("first").alias("shingle")).repartition("shingle").groupBy("shingle", "node", "n").agg(F.lit(1).alias("one")).drop("one")
     held = rows.groupBy("shingle").agg(F.count("*").alias("size"), F.min("node").alias("least"), F.max("node").alias("most"), F.bit_xor(F.xxhash64("node")).alias("mix"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("mix2")).where("size > 1")
     # Shingles of the same nodes give the same pairs: one of them is enough.
     held = held.groupBy("size", "least", "most", "mix", "mix2").agg(F.min("shingle").alias("shingle")).select("shingle", "size")
-    placed = _written(spark, rows.join(held, "shingle"), f"{folder}/placed")
+    placed = scratch.written(rows.join(label, "node", "left").select("shingle", "node", "n", F.coalesce("component", "node").alias("group")).join(held, "shingle"), "placed")
     fits = (F.col("n") * share.numerator <= F.col("m") * share.denominator) & (F.col("m") * share.numerator <= F.col("n") * share.denominator)
 
     few = placed.where(F.col("size") <= crowd)
-    other = few.select("shingle", F.col("node").alias("b"), F.col("n").alias("m"))
-    pairs = few.withColumnRenamed("node", "a").join(other, "shingle").where("a < b").where(fits).select("a", "b").distinct()
-    links = _verified(spark, pairs, prints, docs, shingle, share, common, f"{folder}/few")
+    other = few.select("shingle", F.col("node").alias("b"), F.col("n").alias("m"), F.col("group").alias("other"))
+    pairs = few.withColumnRenamed("node", "a").join(other, "shingle").where("a < b AND group != other").where(fits).select("a", "b").distinct()
+    links = links.unionByName(_verified(scratch, pairs, prints, docs, shingle, share, common, "few"))
 
     # Crowded shingles, on what is not joined yet.
-    many = placed.where(F.col("size") > crowd)
+    many = placed.where(F.col("size") > crowd).drop("group")
     if many.isEmpty():
-        return prints, _labels(spark, links, f"{folder}/all")
+        return prints, _labels(scratch, links, "all")
     for k, pivots in enumerate((*PIVOTS, None)):
-        label = _labels(spark, links, f"{folder}/{k}")
+        label = _labels(scratch, links, f"round{k}")
         named = many.join(label, "node", "left").select("shingle", "size", "node", "n", F.coalesce("component", "node").alias("group"))
         open_ = named.groupBy("shingle").agg(F.min("group").alias("g"), F.max("group").alias("z")).where("g != z").select("shingle")
         left = named.join(open_, "shingle")
@@ -214,13 +230,13 @@ def components(spark: SparkSession, docs: DataFrame, shingle: int, similarity: f
         elif pivots:
             pivot = pivot.where(F.pmod(F.xxhash64("a"), "size") < pivots)
         pairs = left.drop("size").join(pivot.drop("size"), "shingle").where("group != other").where(fits).select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        links = links.unionByName(_verified(spark, pairs, prints, docs, shingle, share, common, f"{folder}/pivot{k}"))
-    return prints, _labels(spark, links, f"{folder}/all")
+        links = links.unionByName(_verified(scratch, pairs, prints, docs, shingle, share, common, f"pivot{k}"))
+    return prints, _labels(scratch, links, "all")
 
 
-def keep_first(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, crowd: int = CROWD) -> DataFrame:
-    """One row of each component."""
-    prints, label = components(spark, docs, shingle, similarity, crowd)
+def keep_first(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, crowd: int = CROWD, scratch: Scratch | None = None) -> DataFrame:
+    """One row of each component. What was written on the way is read when the rows are used: pass a ``scratch`` to drop it after that."""
+    prints, label = components(spark, docs, shingle, similarity, crowd, scratch or Scratch(spark))
     named = prints.join(label, "node", "left").select("doc_id", "digest", F.coalesce("component", "node").alias("group"))
     chosen = named.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "digest")).alias("row")).select(F.col("row.doc_id").alias("id_"), F.col("row.digest").alias("digest_"))
     copies = prints.groupBy("doc_id", "digest").count().where("count > 1").select(F.col("doc_id").alias("id_"), F.col("digest").alias("digest_"))

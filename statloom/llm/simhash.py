@@ -22,7 +22,10 @@ Documents with equal fingerprints are one node. Defined results: a text that
 is null or has no word has fingerprint zero and links like any other; a text
 with fewer words than a shingle has one shingle, its whole word sequence;
 rows with a null doc_id keep a null component of their own; repeated doc_ids
-are rows of their own.
+are rows of their own; columns other than doc_id and text are ignored, whatever
+their names; an empty table gives no rows. The pipeline's near-dedup stage
+(``near_copies``) uses the same fingerprints and links on five-word shingles
+and verifies pairs on whole texts.
 """
 
 from __future__ import annotations
@@ -35,6 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import Scratch
 from ._bytes import LOWER, VISIBLE, flat_text, groups, word_spans
 from .components import connected_components
 
@@ -71,8 +75,11 @@ def shingle_hashes(buf: np.ndarray, off: np.ndarray, shingle: int = SHINGLE) ->
 
 
 def fingerprints(buf: np.ndarray, off: np.ndarray, shingle: int = SHINGLE) -> np.ndarray:
-    values, doc = shingle_hashes(buf, off, shingle)
-    n = len(off) - 1
+    return bit_majorities(*shingle_hashes(buf, off, shingle), len(off) - 1)
+
+
+def bit_majorities(values: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+    """The fingerprint of each of n documents from its hashes, which are in document order."""
     ones, total = np.zeros((n, 64), np.int64), np.bincount(doc, minlength=n)
     for at in range(0, len(values), BLOCK):
         some, of = values[at : at + BLOCK], doc[at : at + BLOCK]
@@ -147,13 +154,9 @@ def links(spark: SparkSession, prints: DataFrame, crowd: int = CROWD) -> DataFra
     return pairs.unionByName(stars).distinct()
 
 
-def components(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, crowd: int = CROWD) -> DataFrame:
+def components(spark: SparkSession, docs: DataFrame, shingle: int, crowd: int, scratch: Scratch) -> DataFrame:
     """(doc_id, fp, component_id): the least doc_id that links reach."""
-    from ..session import shared_dir
-
-    folder = shared_dir(spark)
-    with_fingerprints(docs, shingle).write.parquet(f"{folder}/prints")
-    prints = spark.read.parquet(f"{folder}/prints")
+    prints = scratch.written(with_fingerprints(docs, shingle), "prints")
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least")).where("least IS NOT NULL")
     found = connected_components(spark, links(spark, nodes, crowd))
     named = nodes.join(found, nodes.fp == found.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("group"))
@@ -163,13 +166,7 @@ def components(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, cro
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, crowd: int = CROWD) -> DataFrame:
-    """(doc_id, fingerprint, component_id) with the fingerprint as 16 lowercase hex digits."""
-    rows = components(spark, docs, shingle, crowd)
-    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_first(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, crowd: int = CROWD) -> DataFrame:
-    """One document of each component, the one with the least doc_id; rows without a doc_id stay."""
-    chosen = components(spark, docs, shingle, crowd).where("doc_id = component_id").select("doc_id").distinct()
-    first = docs.join(chosen, "doc_id", "left_semi")
-    return first.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    """(doc_id, fingerprint, component_id) with the fingerprint as 16 lowercase hex digits; written here, so that nothing else is left."""
+    scratch = Scratch(spark)
+    rows = components(spark, docs, shingle, crowd, scratch)
+    return scratch.kept(rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"), "components")

@@ -258,7 +258,7 @@ def test_packing(spark, request, which):
         assert [o for o, _ in placed] == [sum(n for _, n in placed[:k]) for k in range(len(placed))] and sum(n for _, n in placed) <= 512
     assert len(room) <= 1.03 * sum(r.length for r in got) / 512 + 2
     whole = packing.sequences(spark.createDataFrame(got)).collect()
-    assert sum(len(r.ids) for r in whole) == 4 * sum(r.length for r in got)
+    assert sum(len(r.ids) for r in whole) == 2 * sum(r.length for r in got)
     assert packing.pack(spark, empty(spark), public_tokenizers.path("word_bpe_49k.json"), 1).count() == 0
 
 
@@ -335,6 +335,18 @@ def test_chat(spark):
 
 # --- decontamination ------------------------------------------------------------
 
+def test_decontamination_long_words(spark):
+    """Windows of over 32,767 bytes, and a text of 6 MB around one."""
+    words = [chr(97 + k) * 4000 for k in range(10)]
+    item = " ".join(words)
+    bench = spark.createDataFrame([(1, item), (2, "x" * 70_000)], "item_id bigint, text string")
+    filler = "lorem ipsum " * 500_000
+    df = spark.createDataFrame([(1, f"a {item.upper()}, b"), (2, " ".join(words[:9])), (3, filler + item), (4, "y " + "x" * 70_000), (None, item)], "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_hit, r.n_items) for r in decontaminate.decontaminate(spark, df, bench).collect()}
+    assert got == {1: (10, 1), 2: (0, 0), 3: (10, 1), 4: (1, 1), None: (10, 1)}
+    assert {r.doc_id for r in decontaminate.drop_contaminated(spark, df, bench).collect()} == {2}
+
+
 def brute_hits(rows, items, size=10):
     windows = {}
     for i, t in items:
@@ -472,7 +484,6 @@ def test_simhash(spark, odd, crowd):
     assert {i: r.fingerprint for i, r in got.items()} == {i: f"{p:016x}" for i, p in prints.items()}
     want = brute_components([i for i in prints if i is not None], prints)
     assert {i: r.component_id for i, r in got.items() if i is not None} == want and got[None].component_id is None
-    assert {r.doc_id for r in simhash.keep_first(spark, df, crowd=crowd).collect()} == {*want.values(), None}
     assert simhash.near_duplicates(spark, empty(spark)).count() == 0
 
 
@@ -591,18 +602,38 @@ def test_pipeline(spark, docs):
     assert {r.doc_id for r in got} <= left and len({r.doc_id for r in got}) > 0.5 * len(left)
 
 
-def test_pipeline_packs_ids(spark, docs, tmp_path, monkeypatch):
+def test_pipeline_packs_ids(spark, docs):
     import corpus_pipeline
 
-    monkeypatch.setattr(corpus_pipeline, "shared_dir", lambda spark: str(tmp_path / "made"))
     some = docs.limit(40).cache()
+    plain = packing.pack(spark, some, public_tokenizers.path("word_bpe_49k.json"), 1).collect()
     got = corpus_pipeline.pack(spark, some, SF).collect()
-    plain = packing.pack(spark, some, public_tokenizers.path("word_bpe_49k.json"), 1)
-    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in plain.collect())
-    assert all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in got)
-    whole = {r.sequence_id: r.ids for r in spark.read.parquet(str(tmp_path / "made" / "sequences")).collect()}
-    assert {r.sequence_id for r in got} == set(whole) and sum(map(len, whole.values())) == 4 * sum(r.length for r in got)
-    assert all(whole[r.sequence_id][4 * r.offset : 4 * (r.offset + r.length)] == r.ids for r in got)
+    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in plain)
+    assert all(len(r.ids) == 2 * r.length and zlib.crc32(np.frombuffer(r.ids, "<u2").astype("<u4").tobytes()) == r.ids_crc32 for r in got)
+
+
+def test_pipeline_writes_sequences(spark, docs):
+    import corpus_pipeline
+
+    some = docs.limit(40).cache()
+    rows = corpus_pipeline.pack(spark, some, SF)
+    got = rows.collect()
+    whole = {r.sequence_id: r.ids for r in spark.read.parquet(*rows.inputFiles()).collect()}
+    assert {r.sequence_id for r in got} == set(whole) and sum(map(len, whole.values())) == 2 * sum(r.length for r in got)
+    assert all(whole[r.sequence_id][2 * r.offset : 2 * (r.offset + r.length)] == r.ids for r in got)
+
+
+def test_pipeline_drops_scratch(spark):
+    import os
+
+    import corpus_pipeline
+
+    base = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(base))
+    corpus_pipeline.run(spark, SF).count()
+    made = [f for f in os.listdir(base) if f not in before and f.startswith("statloom-")]
+    assert sorted(sorted(os.listdir(f"{base}/{f}")) for f in made) == [["decontamination", "packing", "quality_rules", "simhash_near_dedup", "suffix_dedup"], ["sequences"]]
+    assert not spark.catalog.listTables(pattern="statloom_parts_*")
 
 
 def test_pipeline_odd(spark, odd):
