@@ -19,11 +19,12 @@ sets before it links:
 The order puts shingles that are common in a sample last and goes by hash value
 otherwise. The sample decides how many pairs are compared, never which are found.
 
-Nodes of a shingle with more than ``CROWD`` of them are compared with some
-first, with more in each round (``PIVOTS``). Pairs that verified links join
-already need no comparison of their own; all others are compared after that, so
-components are exact. Nodes of a large group that are just not similar to it
-are compared with all of it.
+Nodes of a shingle with more than ``CROWD`` of them, as far as verified links
+do not join them already, are entered once more, under their rarest shingles by
+exact counts among themselves. So a passage that many documents share brings
+two of them together only where nearly all of their text is as common as that.
+Shingles that are crowded even then are compared with some nodes first, with
+more in each round (``PIVOTS``), and what is still not joined with all.
 
 Defined results: texts that are null or have no word are equal to each other;
 a text with fewer words than a shingle has one shingle, its whole word
@@ -40,7 +41,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import Scratch
@@ -201,39 +202,94 @@ def components(spark: SparkSession, docs: DataFrame, shingle: int, similarity: f
     links = _verified(scratch, _close(spark, prints, crowd), prints, docs, shingle, share, common, "close")
     label = _labels(scratch, links, "close")
 
-    rows = prints.select("node", "n", F.explode("first").alias("shingle")).repartition("shingle").groupBy("shingle", "node", "n").agg(F.lit(1).alias("one")).drop("one")
-    held = rows.groupBy("shingle").agg(F.count("*").alias("size"), F.min("node").alias("least"), F.max("node").alias("most"), F.bit_xor(F.xxhash64("node")).alias("mix"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("mix2")).where("size > 1")
-    # Shingles of the same nodes give the same pairs: one of them is enough.
-    held = held.groupBy("size", "least", "most", "mix", "mix2").agg(F.min("shingle").alias("shingle")).select("shingle", "size")
-    placed = scratch.written(rows.join(label, "node", "left").select("shingle", "node", "n", F.coalesce("component", "node").alias("group")).join(held, "shingle"), "placed")
-    fits = (F.col("n") * share.numerator <= F.col("m") * share.denominator) & (F.col("m") * share.numerator <= F.col("n") * share.denominator)
-
-    few = placed.where(F.col("size") <= crowd)
-    other = few.select("shingle", F.col("node").alias("b"), F.col("n").alias("m"), F.col("group").alias("other"))
-    pairs = few.withColumnRenamed("node", "a").join(other, "shingle").where("a < b AND group != other").where(fits).select("a", "b").distinct()
+    rows = prints.select("node", "n", F.posexplode("first").alias("pos", "shingle")).repartition("shingle").groupBy("shingle", "node", "n").agg(F.min("pos").alias("pos"))
+    placed = scratch.written(_shared(rows), "placed")
+    pairs = _pairs(placed.where(F.col("size") <= crowd), label, share)
     links = links.unionByName(_verified(scratch, pairs, prints, docs, shingle, share, common, "few"))
 
-    # Crowded shingles, on what is not joined yet.
-    many = placed.where(F.col("size") > crowd).drop("group")
+    # Nodes of crowded shingles that are not joined yet are entered again, in the order of their own shingles' counts.
+    many = placed.where(F.col("size") > crowd).select("shingle", "node")
     if many.isEmpty():
         return prints, _labels(scratch, links, "all")
+    label = _labels(scratch, links, "few")
+    some = scratch.written(_open(many, label).select("node").distinct(), "crowded")
+    if some.isEmpty():
+        return prints, label
+    placed = scratch.written(_shared(_rarest(scratch, some, prints, docs, shingle, share, common)), "placed_again")
+    pairs = _pairs(placed.where(F.col("size") <= crowd), label, share)
+    links = links.unionByName(_verified(scratch, pairs, prints, docs, shingle, share, common, "again"))
+    many = placed.where(F.col("size") > crowd)
     for k, pivots in enumerate((*PIVOTS, None)):
         label = _labels(scratch, links, f"round{k}")
-        named = many.join(label, "node", "left").select("shingle", "size", "node", "n", F.coalesce("component", "node").alias("group"))
-        open_ = named.groupBy("shingle").agg(F.min("group").alias("g"), F.max("group").alias("z")).where("g != z").select("shingle")
-        left = named.join(open_, "shingle")
+        left = _open(many, label)
         if left.isEmpty():
             return prints, label
-        pivot = left.select("shingle", F.col("node").alias("a"), F.col("n").alias("m"), F.col("group").alias("other"), "size")
+        pivot = left
         if pivots == 1:
-            pivot = pivot.groupBy("shingle").agg(F.min_by(F.struct("a", "m", "other"), F.xxhash64("a")).alias("p")).select("shingle", "p.*")
+            pivot = left.groupBy("shingle").agg(F.min_by(F.struct("node", "n", "pos", "group"), F.xxhash64("node")).alias("p")).select("shingle", "p.*")
         elif pivots:
-            pivot = pivot.where(F.pmod(F.xxhash64("a"), "size") < pivots)
-        pairs = left.drop("size").join(pivot.drop("size"), "shingle").where("group != other").where(fits).select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        links = links.unionByName(_verified(scratch, pairs, prints, docs, shingle, share, common, f"pivot{k}"))
+            pivot = left.where(F.pmod(F.xxhash64("node"), "size") < pivots)
+        links = links.unionByName(_verified(scratch, _joined(left, pivot, share), prints, docs, shingle, share, common, f"pivot{k}"))
     return prints, _labels(scratch, links, "all")
 
 
+def _shared(rows: DataFrame) -> DataFrame:
+    """(shingle, node, n, pos, size) of entries under shingles of more than one node."""
+    held = rows.groupBy("shingle").agg(F.count("*").alias("size"), F.min("node").alias("least"), F.max("node").alias("most"), F.bit_xor(F.xxhash64("node")).alias("mix"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("mix2"), F.sum("pos").alias("at")).where("size > 1")
+    # Shingles of the same nodes give the same pairs: the one that comes first in all of them is enough.
+    held = held.groupBy("size", "least", "most", "mix", "mix2").agg(F.min(F.struct("at", "shingle")).alias("first")).select("first.shingle", "size")
+    return rows.join(held, "shingle").select("shingle", "node", "n", "pos", "size")
+
+
+def _grouped(placed: DataFrame, label: DataFrame) -> DataFrame:
+    return placed.join(label, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
+
+
+def _open(placed: DataFrame, label: DataFrame) -> DataFrame:
+    """The entries, with their groups, under shingles whose nodes are not all joined."""
+    named = _grouped(placed, label)
+    return named.join(named.groupBy("shingle").agg(F.min("group").alias("g"), F.max("group").alias("z")).where("g != z").select("shingle"), "shingle")
+
+
+def _joined(left: DataFrame, right: DataFrame, share: Fraction) -> DataFrame:
+    """Pairs (a, b) of entries under one shingle that are not joined and that their sizes and places do not rule out."""
+    other = right.select("shingle", F.col("node").alias("node_"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("group").alias("group_"))
+    fits = (F.col("n") * share.numerator <= F.col("m") * share.denominator) & (F.col("m") * share.numerator <= F.col("n") * share.denominator)
+    # Two sets share nothing before the first shingle that they share, and at most what comes after it.
+    most = F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("at"))
+    fits &= most * (share.numerator + share.denominator) >= (F.col("n") + F.col("m")) * share.numerator
+    return left.join(other, "shingle").where("group != group_").where(fits).select(F.least("node", "node_").alias("a"), F.greatest("node", "node_").alias("b")).distinct()
+
+
+def _pairs(placed: DataFrame, label: DataFrame, share: Fraction) -> DataFrame:
+    named = _grouped(placed, label)
+    return _joined(named, named, share)
+
+
+def _rarest(scratch: Scratch, some: DataFrame, prints: DataFrame, docs: DataFrame, shingle: int, share: Fraction, common: np.ndarray) -> DataFrame:
+    """(shingle, node, n, pos) of the prefixes of these nodes, with the shingles that fewest of them have first.
+
+    A shingle has a row for each node, so none holds more than a small share of the rows.
+    """
+    texts = prints.join(some, "node", "left_semi").groupBy("node").agg(F.min("digest").alias("digest")).select("digest")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            for node, own, _ in _documents(batch, shingle, common):
+                if node not in seen:
+                    seen.add(node)
+                    yield pa.RecordBatch.from_arrays([pa.array([node], pa.int64()), pa.array([own.view(np.int64)], pa.list_(pa.int64()))], names=["node", "own"])
+
+    held = docs.select("text", digest().alias("digest")).join(texts, "digest", "left_semi").select("text").mapInArrow(sets, "node bigint, own array<bigint>")
+    rows = held.groupBy("node").agg(F.first("own").alias("own")).select("node", F.size("own").cast("bigint").alias("n"), F.explode("own").alias("shingle"))
+    rows = rows.withColumn("df", F.count("*").over(Window.partitionBy("shingle"))).where("df > 1")
+    # Shingles of one node alone come before all others.
+    along = Window.partitionBy("node")
+    rows = rows.withColumn("pos", F.col("n") - F.count("*").over(along) + F.row_number().over(along.orderBy("df", "shingle")) - 1)
+    return rows.where(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * share.numerator / share.denominator)).select("shingle", "node", "n", "pos")
+
+
 def keep_first(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, crowd: int = CROWD, scratch: Scratch | None = None) -> DataFrame:
     """One row of each component. What was written on the way is read when the rows are used: pass a ``scratch`` to drop it after that."""
     prints, label = components(spark, docs, shingle, similarity, crowd, scratch or Scratch(spark))
