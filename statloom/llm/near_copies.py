@@ -1,20 +1,18 @@
 """Near copies: every pair of texts whose shingle sets have a Jaccard similarity of ``SIMILARITY`` or more.
 
 Texts are sets of XXH64 hashes of ``SHINGLE``-word shingles; texts of equal sets
-are one node. Pairs come from two searches, and every pair is verified on whole
-sets before it links:
+are one node. Pairs come from two searches, and every pair is verified before it
+links, by the counts of hashes in buckets, whose distance is at most that of the
+sets, and if these do not rule it out on whole sets:
 
 1. *SimHash* (``simhash``): fingerprints of the same shingles within its radius,
-   found by the grid range join of their segment popcounts. This settles the
-   close copies, large groups of them included, with few comparisons.
+   found by the grid range join of their segment popcounts.
 2. *Prefix filter*, for what lies beyond that radius: at similarity 0.8
    fingerprints differ in some 10 of 64 bits, and no radius holds every pair
    without holding most other pairs as well. Two sets of similarity s share a
    shingle among the first n - ceil(s n) + 1 of each, in any order that both
    follow. So nodes are entered under those shingles only, and nodes of one
-   shingle, of fitting sizes and not joined yet are compared, first by the
-   counts of their hashes in buckets, whose distance is at most that of the
-   sets, and if these do not rule the pair out on whole sets.
+   shingle are compared if their sizes and the shingle's places allow it.
 
 The order puts shingles that are common in a sample last and goes by hash value
 otherwise. The sample decides how many pairs are compared, never which are found.
@@ -23,8 +21,8 @@ Nodes of a shingle with more than ``CROWD`` of them, as far as verified links
 do not join them already, are entered once more, under their rarest shingles by
 exact counts among themselves. So a passage that many documents share brings
 two of them together only where nearly all of their text is as common as that.
-Shingles that are crowded even then are compared with some nodes first, with
-more in each round (``PIVOTS``), and what is still not joined with all.
+Under shingles that are crowded even then, nodes are compared with some
+``PIVOTS`` of them first, and what is still not joined with all.
 
 Defined results: texts that are null or have no word are equal to each other;
 a text with fewer words than a shingle has one shingle, its whole word
@@ -53,8 +51,8 @@ from .simhash import links as simhash_links
 SHINGLE = 5
 SIMILARITY = 0.8
 CROWD = 48
-#: About so many nodes of a crowded shingle are compared with all others, round by round, before it lists its pairs.
-PIVOTS = (1, 8, 64)
+#: About so many nodes of a crowded shingle are compared with all others before it lists its pairs.
+PIVOTS = 16
 #: Sampled documents, and how many of them make a shingle common.
 SAMPLE, COMMON = 5_000, 5
 
@@ -199,38 +197,28 @@ def components(spark: SparkSession, docs: DataFrame, shingle: int, similarity: f
     share = Fraction(str(similarity))
     common = _common(docs, shingle)
     prints = scratch.written(_prints(docs, shingle, share, common), "prints")
-    links = _verified(scratch, _close(spark, prints, crowd), prints, docs, shingle, share, common, "close")
-    label = _labels(scratch, links, "close")
-
+    verified = lambda pairs, name: _verified(scratch, pairs.distinct(), prints, docs, shingle, share, common, name)
     rows = prints.select("node", "n", F.posexplode("first").alias("pos", "shingle")).repartition("shingle").groupBy("shingle", "node", "n").agg(F.min("pos").alias("pos"))
     placed = scratch.written(_shared(rows), "placed")
-    pairs = _pairs(placed.where(F.col("size") <= crowd), label, share)
-    links = links.unionByName(_verified(scratch, pairs, prints, docs, shingle, share, common, "few"))
+    named = placed.withColumn("group", F.col("node"))
+    few = named.where(F.col("size") <= crowd)
+    links = verified(_close(spark, prints, crowd).unionByName(_joined(few, few, share)), "few")
+    label = _labels(scratch, links, "few")
 
     # Nodes of crowded shingles that are not joined yet are entered again, in the order of their own shingles' counts.
-    many = placed.where(F.col("size") > crowd).select("shingle", "node")
-    if many.isEmpty():
-        return prints, _labels(scratch, links, "all")
-    label = _labels(scratch, links, "few")
-    some = scratch.written(_open(many, label).select("node").distinct(), "crowded")
+    some = scratch.written(_open(placed.where(F.col("size") > crowd).select("shingle", "node"), label).select("node").distinct(), "crowded")
     if some.isEmpty():
         return prints, label
-    placed = scratch.written(_shared(_rarest(scratch, some, prints, docs, shingle, share, common)), "placed_again")
-    pairs = _pairs(placed.where(F.col("size") <= crowd), label, share)
-    links = links.unionByName(_verified(scratch, pairs, prints, docs, shingle, share, common, "again"))
-    many = placed.where(F.col("size") > crowd)
-    for k, pivots in enumerate((*PIVOTS, None)):
-        label = _labels(scratch, links, f"round{k}")
-        left = _open(many, label)
-        if left.isEmpty():
-            return prints, label
-        pivot = left
-        if pivots == 1:
-            pivot = left.groupBy("shingle").agg(F.min_by(F.struct("node", "n", "pos", "group"), F.xxhash64("node")).alias("p")).select("shingle", "p.*")
-        elif pivots:
-            pivot = left.where(F.pmod(F.xxhash64("node"), "size") < pivots)
-        links = links.unionByName(_verified(scratch, _joined(left, pivot, share), prints, docs, shingle, share, common, f"pivot{k}"))
-    return prints, _labels(scratch, links, "all")
+    placed = scratch.written(_shared(_rarest(some, prints, docs, shingle, share, common)), "placed_again")
+    few, many = _grouped(placed.where(F.col("size") <= crowd), label), placed.where(F.col("size") > crowd)
+    left = _open(many, label)
+    pivot = left.where(F.pmod(F.xxhash64("node"), "size") < PIVOTS)
+    links = links.unionByName(verified(_joined(few, few, share).unionByName(_joined(left, pivot, share)), "again"))
+    label = _labels(scratch, links, "again")
+    left = scratch.written(_open(many, label), "left")
+    if left.isEmpty():
+        return prints, label
+    return prints, _labels(scratch, links.unionByName(verified(_joined(left, left, share), "rest")), "all")
 
 
 def _shared(rows: DataFrame) -> DataFrame:
@@ -261,12 +249,7 @@ def _joined(left: DataFrame, right: DataFrame, share: Fraction) -> DataFrame:
     return left.join(other, "shingle").where("group != group_").where(fits).select(F.least("node", "node_").alias("a"), F.greatest("node", "node_").alias("b")).distinct()
 
 
-def _pairs(placed: DataFrame, label: DataFrame, share: Fraction) -> DataFrame:
-    named = _grouped(placed, label)
-    return _joined(named, named, share)
-
-
-def _rarest(scratch: Scratch, some: DataFrame, prints: DataFrame, docs: DataFrame, shingle: int, share: Fraction, common: np.ndarray) -> DataFrame:
+def _rarest(some: DataFrame, prints: DataFrame, docs: DataFrame, shingle: int, share: Fraction, common: np.ndarray) -> DataFrame:
     """(shingle, node, n, pos) of the prefixes of these nodes, with the shingles that fewest of them have first.
 
     A shingle has a row for each node, so none holds more than a small share of the rows.
