@@ -31,12 +31,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of whole texts that JVM and Python workers hand to each other at once.
+BATCH_ROWS = "2000"
+
+
+def lean_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches than the default, where nobody has chosen a size: rows here hold whole texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder under spark.checkpoint.dir.
 
     Where nobody has set it, a local session gets a temporary folder; a cluster
     has no folder that all its machines share unless it names one.
     """
+    lean_batches(spark)
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         held = spark.sparkContext.getCheckpointDir()
