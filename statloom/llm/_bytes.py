@@ -7,6 +7,7 @@ from one document to the next. Nulls have length zero.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -80,6 +81,19 @@ def flat_text(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return buf[offs[0] : offs[-1]], offs - offs[0], null
 
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):  # another C library
+    _trim = None
+
+
+def give_back() -> None:
+    """Gives memory that is free to the system: workers live on between tasks, and what they hold in reserve with them."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def groups(off: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Runs of whole documents of about this many bytes; a longer document is its own run."""
     at, n = 0, len(off) - 1
@@ -87,6 +101,7 @@ def groups(off: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
         to = max(at + 1, int(np.searchsorted(off, off[at] + limit, "right")) - 1)
         yield at, min(to, n)
         at = min(to, n)
+    give_back()
 
 
 def per_doc(flags: np.ndarray, off: np.ndarray) -> np.ndarray:

@@ -14,7 +14,7 @@ import json
 import os
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 
 from ._bytes import BYTE_CODE, Rolling, groups
 
@@ -49,6 +49,11 @@ WORD_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _encoders: dict[str, Encoder] = {}
 
 
+def forget() -> None:
+    """Drops the worker's word tables; other work does not need them."""
+    _encoders.clear()
+
+
 def encoder(path: str) -> Encoder:
     """The worker's encoder for this file; its word table lives as long as the worker."""
     if path not in _encoders:
@@ -142,11 +147,13 @@ class Encoder:
         if not len(text):
             return np.zeros(0, np.uint32), np.zeros(n, np.int64)
         start, end, doc = self._words(text, off)
-        code, keys = pd.factorize(Rolling(BYTE_CODE[text]).spans(start, end))
-        if len(self.of) + len(keys) > TABLE_WORDS:
-            self._reset()
+        found = pa.array(Rolling(BYTE_CODE[text]).spans(start, end)).dictionary_encode()
+        code, keys = np.asarray(found.indices), np.asarray(found.dictionary)
         index = np.array([self.of.get(k, -1) for k in keys.tolist()], np.int64)
         missing = np.flatnonzero(index < 0)
+        if len(self.of) + len(missing) > TABLE_WORDS:
+            self._reset()
+            index[:], missing = -1, np.arange(len(keys))
         if len(missing):
             raw = text.tobytes().decode("latin-1")
             first = np.empty(len(keys), np.int64)

@@ -45,6 +45,7 @@ from pyspark.sql import functions as F
 from ..session import Scratch
 from ._bytes import flat_text, groups
 from .components import connected_components
+from .encode import forget
 from .simhash import SEED, bit_majorities, shingle_hashes
 from .simhash import links as simhash_links
 
@@ -76,7 +77,7 @@ def _sets(value: np.ndarray, doc: np.ndarray, n: int, common: np.ndarray) -> tup
 def _documents(batch: pa.RecordBatch, shingle: int, common: np.ndarray, prints: bool = False) -> Iterator[tuple[int, np.ndarray, int]]:
     """(node, set, fingerprint if asked for) of each document, in order."""
     buf, off, _ = flat_text(batch.column("text"))
-    for a, b in groups(off):
+    for a, b in groups(off, 1 << 18):
         value, doc = shingle_hashes(buf[off[a] : off[b]], off[a : b + 1] - off[a], shingle)
         bits = (bit_majorities(value, doc, b - a) if prints else np.zeros(b - a, np.uint64)).view(np.int64).tolist()
         value, cut = _sets(value, doc, b - a, common)
@@ -116,6 +117,7 @@ def _prints(docs: DataFrame, shingle: int, share: Fraction, common: np.ndarray)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        forget()
         for batch in batches:
             node, fp, n, first, sketch = [], [], [], [], []
             for name, own, bits in _documents(batch, shingle, common, prints=True):

@@ -93,7 +93,7 @@ def _print_batches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[
     for batch in batches:
         buf, off, _ = flat_text(batch.column("text"))
         rest = [batch.column(c) for c in batch.schema.names if c != "text"]
-        for a, b in groups(off):
+        for a, b in groups(off, 1 << 18):
             prints = fingerprints(buf[off[a] : off[b]], off[a : b + 1] - off[a], shingle)
             yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in rest), pa.array(prints.view(np.int64))], names=[*(c for c in batch.schema.names if c != "text"), "fp"])
 

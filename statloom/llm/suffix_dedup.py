@@ -59,7 +59,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import Scratch
-from ._bytes import BYTE_CODE, U64, Rolling, flat_text, groups, mix64
+from ._bytes import BYTE_CODE, U64, Rolling, flat_text, give_back, groups, mix64
 
 WIDTH = 100
 GRAM = 50
@@ -255,7 +255,7 @@ def _table(schema: str, columns: list) -> pa.Table:
 
 def _lean(table: pa.Table) -> pa.Table:
     """The table, with memory that Arrow holds in reserve given back: workers live on between tasks."""
-    pa.default_memory_pool().release_unused()
+    give_back()
     return table
 
 
