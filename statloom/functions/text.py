@@ -6,7 +6,6 @@ import hashlib
 import html
 import json
 import re
-import unicodedata
 from urllib.parse import urljoin
 
 import pandas as pd
@@ -20,8 +19,11 @@ CODE = r"^[A-Z]{2}[0-9]{4}\z"
 CODE_IN_TEXT = r"(?<![A-Za-z0-9])([A-Za-z]{2}[0-9]{4})(?![A-Za-z0-9])"
 # Fixed value: a year inside a text.
 YEAR_IN_TEXT = r"(?<![0-9])((?:19|20)[0-9]{2})(?![0-9])"
-# Fixed value: links that are taken for documents.
+# Fixed value: links of crawled pages that are taken for documents.
 DOCUMENT_FILE = r"(?iu)\.(pdf|docx?|xlsx?)(\?|$)|/download/|getFile|urn\.kb\.se|metadata\.scb\.se|kvalitetsdeklaration"
+# Path endings, path part and host of links that are taken for documents.
+DOCUMENT_ENDINGS = (".pdf", ".doc", ".docx", ".xls", ".xlsx", ".csv", ".zip", ".txt", ".ppt", ".pptx")
+DOCUMENT_PART, DOCUMENT_HOST = "/contentassets/", "metadata.scb.se"
 # Ordered document classes with the pattern that decides each.
 KINDS = [
     ("metaplus", r"(?iu)metadata\.scb\.se|metaplus"),
@@ -33,11 +35,21 @@ KINDS = [
 ]
 # Heading words that decide where file name and text do not.
 HEADINGS = [("framst", "statistikens framställning"), ("kvalitet", "kvalitetsdeklaration"), ("mikrodata", "metaplus")]
-# Change kinds and their patterns.
+# Change kinds and their patterns, for texts in lower case.
 CHANGES = [
-    ("new_product", r"(?iu)\bny(tt|a)?\s+(produkt|unders[öo]kning|statistik)"), ("name", r"(?iu)namn|ben[äa]mning"), ("content", r"(?iu)inneh[åa]ll"), ("periodicity", r"(?iu)periodicitet"),
-    ("inactive", r"(?iu)vilande|inaktiv"), ("closed", r"(?iu)upph[öo]r|nedlagd|avslutad"), ("status", r"(?iu)status|officiell"), ("merge", r"(?iu)sammanslag|sl[åa]s\s+(ihop|samman)"),
+    ("new_product", r"ny produkt"),
+    ("name", r"produktnamn|namnändring"),
+    ("content", r"ändring av produkt[.: ]|variabel|redovisningsgrupp|tillägg av tabell"),
+    ("periodicity", r"periodicitet"),
+    ("inactive", r"produkten (?:bli[r]?|är) inaktiv"),
+    ("closed", r"avslutad produkt|produkten avslutas"),
+    ("status", r"produktstatus"),
+    ("merge", r"slås ihop|slogs.*ihop|gemensam produktsida|sammanslagning av produkter"),
 ]
+# What tells planned changes, changes in force, and the day of a change, in lower case.
+PLANNED = r"avsikt|avser att|föreslås|kommer att|planerar|vill "
+EFFECTIVE = r"ändringen gäller|(?:gäller |produkt )?fr\.?\s*o\.?\s*m\.?\s*\d{4}-\d{2}-\d{2}|produkten är inaktiv|avslutad produkt|är officiell statistik|har (?:utökats|lagts till|ändrats)"
+EFFECTIVE_DAY = r"(?:ändringen gäller\s*)?(?:fr\.?\s*o\.?\s*m\.?|från och med)\s*(\d{4}-\d{2}-\d{2})"
 # Words that say nothing about a product.
 STOP_WORDS = (
     "statistik", "statistiken", "och", "för", "med", "som", "inom", "efter", "per", "samt", "the", "and", "kvalitetsdeklaration", "statistikens", "framställning",
@@ -144,7 +156,12 @@ def absolute_url(base: pd.Series, href: pd.Series) -> pd.Series:
 
 
 def is_document_url(c: Column) -> Column:
-    return c.rlike(DOCUMENT_FILE) | url_path(c).rlike(r"(?i)/(dokument|contentassets)/")
+    """Whether an address is a document's: by its path's ending, a part of its path, or its host."""
+    path = F.lower(url_path(c))
+    found = path.contains(DOCUMENT_PART) | (url_host(c) == DOCUMENT_HOST)
+    for ending in DOCUMENT_ENDINGS:
+        found = found | path.endswith(ending)
+    return F.coalesce(found, F.lit(False))
 
 
 def target_kind(c: Column) -> Column:
@@ -227,32 +244,29 @@ def file_type(url: Column) -> Column:
 
 
 def change_kinds(text: Column) -> Column:
-    found = F.array_compact(F.array(*(F.when(text.rlike(p), name) for name, p in CHANGES)))
+    low = F.lower(text)
+    found = F.array_compact(F.array(*(F.when(low.rlike(f"(?dU){p}"), name) for name, p in CHANGES)))
     return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("other")))
 
 
 def timing(text: Column) -> Column:
-    planned, done = text.rlike(r"(?iu)planer|kommer\s+att|avser"), text.rlike(r"(?iu)fr\.?\s*o\.?\s*m\.?|fr[åa]n\s+och\s+med|har\s+")
+    planned, done = (F.lower(text).rlike(f"(?dU){p}") for p in (PLANNED, EFFECTIVE))
     return F.when(planned & done, "mixed").when(planned, "planned").when(done, "source_claimed_effective").otherwise("unclear")
 
 
 def effective_date(text: Column) -> Column:
-    return F.try_to_date(F.regexp_extract(text, r"(?iu)(?:fr\.?\s*o\.?\s*m\.?|fr[åa]n\s+och\s+med)\s+(\d{4}-\d{2}-\d{2})", 1), "yyyy-MM-dd")
+    """The first day that is tied to the change itself; NULL where that is no date."""
+    return F.try_to_date(F.regexp_extract(F.lower(text), f"(?dU){EFFECTIVE_DAY}", 1), "yyyy-MM-dd")
 
 
 # --- names ------------------------------------------------------------------
 
-ABBREVIATION = r"\s*\(([^()]+)\)\s*$"
+# Fixed value: an abbreviation at the end of a name.
+ABBREVIATION = r"\s*\(([^()]{1,15})\)\s*$"
 
 
 def abbreviation(c: Column) -> Column:
-    return F.nullif(F.regexp_extract(c, ABBREVIATION, 1), F.lit(""))
-
-
-@F.pandas_udf(T.StringType())
-def norm_name(s: pd.Series) -> pd.Series:
-    """NFC, without a trailing abbreviation in brackets, case-folded, collapsed."""
-    return s.map(lambda x: " ".join(re.sub(ABBREVIATION, "", unicodedata.normalize("NFC", x)).casefold().split()), na_action="ignore")
+    return F.nullif(F.trim(F.regexp_extract(c, ABBREVIATION, 1)), F.lit(""))
 
 
 @F.pandas_udf(T.StringType())
@@ -269,7 +283,8 @@ def slug(c: Column) -> Column:
 
 
 def split_names(c: Column) -> Column:
-    return F.filter(F.transform(F.split(c, ","), lambda x: F.trim(x)), lambda x: x != "")
+    """Names between comma and blank; a comma alone is part of a name."""
+    return F.filter(F.transform(F.split(c, ", "), lambda x: F.trim(x)), lambda x: x != "")
 
 
 # --- identity ----------------------------------------------------------------
@@ -305,5 +320,18 @@ def split_range(start: Column, end: Column, n: int) -> Column:
     return F.filter(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.struct(F.date_add(start, F.floor(days * k / n).cast("int")).alias("from"), F.date_add(start, F.floor(days * (k + 1) / n).cast("int") - 1).alias("to"))), lambda r: r["from"] <= r["to"])
 
 
-def source_status(retained_keys: Column, fresh_keys: Column, key: Column) -> Column:
-    return F.when(F.array_contains(fresh_keys, key), "fresh").when(F.array_contains(retained_keys, key), "retained").otherwise("legacy")
+def source_status(source: Column, state: dict) -> Column:
+    """fresh, retained or legacy, by a run's ``last_failures``, ``attempted_sources`` and ``selected_agencies``.
+
+    A source is a family, or family/agency. What failed, was not attempted or
+    was not among the selected agencies is what an earlier run left.
+    """
+    failed, attempted, selected = (list(state.get(k) or []) for k in ("last_failures", "attempted_sources", "selected_agencies"))
+    family, agency = F.substring_index(source, "/", 1), F.regexp_extract(source, r"^[^/]*/(.*)$", 1)
+    out = F.when(family.isin(*failed) | source.isin(*failed), "retained") if failed else F.when(F.lit(False), "retained")
+    if not attempted:
+        return out.otherwise("legacy")
+    out = out.when(~family.isin(*attempted), "retained")
+    if selected:
+        out = out.when((family == "sam") & ~agency.isin(*selected), "retained")
+    return out.otherwise("fresh")

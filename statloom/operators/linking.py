@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .pick import top1_or_null_on_tie
@@ -38,13 +38,22 @@ def unique_match(left: DataFrame, right: DataFrame, key: str, right_id: str) ->
 def overlap_match(items: DataFrame, refs: DataFrame, block: list[str], tokens: str, item_id: str, ref_id: str, threshold: float = 0.5) -> DataFrame:
     """Best reference per item by shared tokens over the reference's tokens, NULL on a tie.
 
-    Tokens are equi-joined within blocks and counted, so only pairs that share
-    a token are ever made.
+    An item that shares enough tokens of a reference shares one of its rarest
+    ones (all but as many as may be missing, and one), so pairs are made by
+    those, and counted on whole token lists after.
     """
-    i = items.select(*block, item_id, F.explode(F.array_distinct(tokens)).alias("_t"))
-    r = refs.select(*block, ref_id, F.size(F.array_distinct(tokens)).alias("_size"), F.explode(F.array_distinct(tokens)).alias("_t"))
-    shared = i.join(r, [*block, "_t"]).groupBy(item_id, ref_id).agg(F.count("*").alias("_shared"), F.first("_size").alias("_size"))
-    scored = shared.withColumn("overlap", F.col("_shared") / F.col("_size")).where(F.col("overlap") >= threshold)
+    i = items.select(*block, item_id, F.array_distinct(tokens).alias("_all"))
+    r = refs.select(*block, ref_id, F.array_distinct(tokens).alias("_ref")).withColumn("_size", F.size("_ref"))
+    held = i.select(*block, item_id, F.explode("_all").alias("_t"))
+    df = held.groupBy(*block, "_t").agg(F.count("*").alias("_df"))
+    each = r.select(*block, ref_id, "_size", F.explode("_ref").alias("_t")).join(df, [*block, "_t"])
+    # Tokens that no item has are the rarest of all: they use up places without making pairs.
+    along = Window.partitionBy(*block, ref_id)
+    each = each.withColumn("_place", F.col("_size") - F.count("*").over(along) + F.row_number().over(along.orderBy("_df", "_t")))
+    rare = each.where(F.col("_place") <= F.col("_size") - F.ceil(F.col("_size") * threshold) + 1)
+    pairs = held.join(rare.select(*block, "_t", ref_id), [*block, "_t"]).select(*block, item_id, ref_id).distinct()
+    scored = pairs.join(i, [*block, item_id]).join(r, [*block, ref_id])
+    scored = scored.withColumn("overlap", F.size(F.array_intersect("_all", "_ref")) / F.col("_size")).where(F.col("overlap") >= threshold)
     best = top1_or_null_on_tie(scored, [item_id], [F.desc("overlap"), F.desc("_size")], ref_id)
     return items.select(item_id).join(best, item_id, "left")
 

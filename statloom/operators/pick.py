@@ -26,6 +26,24 @@ def top1_or_null_on_tie(df: DataFrame, part: list[str], score: list[Column], val
     return ranked.groupBy(*part).agg(F.when(one, F.first(value)).alias(value))
 
 
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Numbers rows from 1 in order. No task gets more than its range of them.
+
+    Rows are sorted by ranges and written to the shared folder once, so that
+    the numbers within a range and the counts of the ranges are of one and the
+    same sort; there is one count a range.
+    """
+    from ..session import shared_dir
+
+    spark = df.sparkSession
+    df.orderBy(*order).withColumn("_m", F.monotonically_increasing_id()).write.parquet(path := shared_dir(spark))
+    rows = spark.read.parquet(path).withColumn("_range", F.shiftright("_m", 33))
+    counts = rows.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = counts.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))
+    placed = rows.join(F.broadcast(before), "_range")
+    return placed.withColumn(name, F.col("_before") + F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)) + 1).select(*df.columns, name)
+
+
 def occurrence(df: DataFrame, identity: list[str], order: list[Column], name: str = "occurrence", base: int = 1) -> DataFrame:
     """Numbers equal rows, so that duplicates stay apart."""
     n = F.row_number().over(Window.partitionBy(*identity).orderBy(*order))

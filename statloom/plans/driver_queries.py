@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import checks, claims, folds, linking, merge, multiset, nested, pick
 from ..session import table
+from ..sources import sinks
+from . import calendar, harvest, warehouse
 
 AS_OF = "1998-01-01"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,30 +44,100 @@ def _as_of() -> Column:
     return F.lit(AS_OF).cast("timestamp_ntz")
 
 
-# --- counts and rollups -------------------------------------------------------
+# --- the relational layer over orders (documents), parts (products) and lines (claims, entries) --
 
-@query(f"""
-WITH o AS (SELECT o_custkey, count(*) AS entries,
-    max(CASE WHEN o_orderdate <= TIMESTAMP '{AS_OF}' THEN o_orderdate END) AS l,
-    min(CASE WHEN o_orderdate > TIMESTAMP '{AS_OF}' THEN o_orderdate END) AS n,
-    count(DISTINCT CASE WHEN o_orderstatus = 'F' THEN o_orderkey END) AS f,
-    count(DISTINCT CASE WHEN o_orderstatus = 'O' THEN o_orderkey END) AS o FROM orders GROUP BY 1)
-SELECT c_custkey AS product_code, c_name AS name, n_name AS agency, o_custkey IS NOT NULL AS in_calendar,
-  coalesce(entries, 0) AS documents, coalesce(f, 0) AS kd_documents, coalesce(o, 0) AS staf_documents,
-  strftime(l, '%Y-%m-%d') AS last_publish_date, strftime(n, '%Y-%m-%d') AS next_publish_date
-FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN o ON o_custkey = c_custkey""")
+# Document classes by order number; the seventh has none.
+_CLASSES = ["kvalitetsdeklaration", "beskrivning av statistiken", "statistikens framställning", "scbdok", "metaplus", "kvalitetsdeklaration"]
+
+_LAYER = f"""
+WITH doc AS (SELECT CAST(o_orderkey AS VARCHAR) AS url, o_orderpriority AS title, ({_CLASSES!r})[o_orderkey % 7 + 1] AS doc_type, strftime(o_orderdate, '%Y') AS year FROM orders),
+claim AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS url, CAST(l_partkey AS VARCHAR) AS product_code, CASE l_returnflag WHEN 'N' THEN 'harvest_candidate' WHEN 'R' THEN 'harvest_filename' ELSE 'metaplus_query' END AS origin FROM lineitem),
+conf AS (SELECT * FROM claim JOIN doc USING (url) WHERE origin <> 'harvest_candidate'),
+entry AS (SELECT CAST(l_partkey AS VARCHAR) AS product_code, strftime(l_shipdate, '%Y-%m-%d') AS publish_date FROM lineitem),
+product AS (SELECT CAST(p_partkey AS VARCHAR) AS product_code, p_name AS name, p_size % 30 AS agency_id, p_size < 25 AS in_workbook, p_brand AS publication_status, p_type AS periodicity FROM part),
+counts AS (SELECT product_code, count(DISTINCT url) AS documents, {", ".join(f"count(DISTINCT CASE WHEN doc_type = '{c}' THEN url END) AS {n}_documents" for n, c in (("kd", _CLASSES[0]), ("bas", _CLASSES[1]), ("staf", _CLASSES[2]), ("scbdok", _CLASSES[3])))},
+ count(DISTINCT CASE WHEN doc_type = 'metaplus' OR origin = 'metaplus_query' THEN url END) AS metaplus_documents,
+ max(CASE WHEN doc_type = '{_CLASSES[0]}' THEN year END) AS kd_latest_year, max(CASE WHEN doc_type = '{_CLASSES[2]}' THEN year END) AS staf_latest_year FROM conf GROUP BY 1)
+"""
+
+
+def _documents(spark, d):
+    kind = F.get(F.array(*map(F.lit, _CLASSES)), (F.col("o_orderkey") % 7).cast("int"))
+    return table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("url"), F.col("o_orderpriority").alias("title"), kind.alias("doc_type"), F.date_format("o_orderdate", "yyyy").alias("year"))
+
+
+def _claims(spark, d):
+    flag = F.col("l_returnflag")
+    origin = F.when(flag == "N", warehouse.CANDIDATE).when(flag == "R", "harvest_filename").otherwise("metaplus_query")
+    return table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("url"), F.col("l_partkey").cast("string").alias("product_code"), origin.alias("origin")).distinct()
+
+
+def _entries(spark, d):
+    return table(spark, d, "lineitem").select(F.col("l_partkey").cast("string").alias("product_code"), _day("l_shipdate").alias("publish_date"))
+
+
+def _products(spark, d):
+    null = F.lit(None).cast("string")
+    return table(spark, d, "part").select(
+        F.col("p_partkey").cast("string").alias("product_code"), F.col("p_name").alias("name"), (F.col("p_size") % 30).alias("agency_id"), (F.col("p_size") < 25).alias("in_workbook"), F.col("p_brand").alias("publication_status"), F.col("p_type").alias("periodicity"),
+        null.alias("subject_area"), null.alias("statistics_area"), F.lit(True).alias("in_calendar"), F.lit(False).alias("has_product_page"), null.alias("next_publication_date"))
+
+
+def _agencies(spark, d):
+    n, r = table(spark, d, "nation"), table(spark, d, "region")
+    return n.join(r, n.n_regionkey == r.r_regionkey).select(F.col("n_nationkey").alias("agency_id"), F.col("n_name").alias("canonical_name"), F.col("r_name").alias("registry_org_nr"))
+
+
+def _counts(spark, d):
+    return warehouse.v_document_counts(_claims(spark, d), _documents(spark, d))
+
+
+@query(_LAYER + f"""
+SELECT product_code, name, n_name AS agency, in_workbook, publication_status, periodicity, CAST(NULL AS VARCHAR) AS subject_area, CAST(NULL AS VARCHAR) AS statistics_area, true AS in_calendar,
+ (SELECT max(publish_date) FROM entry e WHERE e.product_code = p.product_code AND publish_date <= '{AS_OF}') AS last_publish_date,
+ (SELECT min(publish_date) FROM entry e WHERE e.product_code = p.product_code AND publish_date > '{AS_OF}') AS next_publish_date, CAST(NULL AS VARCHAR) AS product_page_next_publication_date, false AS has_product_page,
+ {", ".join(f"coalesce({c}, 0) AS {c}" for c in ("documents", "kd_documents", "bas_documents", "staf_documents", "scbdok_documents", "metaplus_documents"))}, kd_latest_year, staf_latest_year
+FROM product p LEFT JOIN nation ON n_nationkey = agency_id LEFT JOIN counts USING (product_code)""")
 def product_overview(spark, d):
     """Products with agency, document counts and the dates around the report day."""
-    orders = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderdate")
-    counts = claims.conditional_counts(orders, ["o_custkey"], "o_orderkey", {"kd": F.col("o_orderstatus") == "F", "staf": F.col("o_orderstatus") == "O"})
-    around = pick.first_last_around(orders, "o_custkey", "o_orderdate", _as_of())
-    facts = counts.join(around, "o_custkey")
-    c, n = table(spark, d, "customer"), table(spark, d, "nation")
-    rows = c.join(n, c.c_nationkey == n.n_nationkey, "left").join(facts, c.c_custkey == facts.o_custkey, "left")
-    zero = lambda x: F.coalesce(F.col(x), F.lit(0)).cast("bigint")
-    return rows.select(F.col("c_custkey").alias("product_code"), F.col("c_name").alias("name"), F.col("n_name").alias("agency"), F.col("o_custkey").isNotNull().alias("in_calendar"), zero("entries").alias("documents"), zero("kd").alias("kd_documents"), zero("staf").alias("staf_documents"), _day("last_value").alias("last_publish_date"), _day("next_value").alias("next_publish_date"))
+    return warehouse.v_product_overview(_products(spark, d), _agencies(spark, d), _entries(spark, d), _counts(spark, d), F.lit(AS_OF))
+
+
+@query(_LAYER + "SELECT product_code, documents, kd_documents, kd_latest_year, bas_documents, staf_documents, staf_latest_year, scbdok_documents, metaplus_documents FROM counts")
+def document_counts(spark, d):
+    """Distinct documents per code in all and by kind, candidates left out."""
+    return _counts(spark, d)
 
 
+@query(_LAYER + """
+SELECT n_nationkey AS agency_id, n_name AS agency, r_name AS registry_org_nr, product_code, name, in_workbook, publication_status, (SELECT count(*) FROM entry e WHERE e.product_code = p.product_code) AS calendar_entries, coalesce(documents, 0) AS documents
+FROM nation JOIN region ON r_regionkey = n_regionkey JOIN product p ON agency_id = n_nationkey LEFT JOIN counts USING (product_code)""")
+def agency_products(spark, d):
+    return warehouse.v_agency_products(_products(spark, d), _agencies(spark, d), _entries(spark, d), _counts(spark, d))
+
+
+@query(_LAYER + """,
+g AS (SELECT product_code, doc_type, url, title, year, string_agg(DISTINCT origin, ',' ORDER BY origin) AS claim_origins FROM conf WHERE doc_type IS NOT NULL GROUP BY ALL)
+SELECT product_code, doc_type, url, title, year, claim_origins FROM (SELECT *, row_number() OVER (PARTITION BY product_code, doc_type ORDER BY CAST(year AS INT) DESC, url) AS n FROM g) WHERE n = 1""")
+def latest_with_origins(spark, d):
+    return warehouse.v_document_latest(_claims(spark, d), _documents(spark, d))
+
+
+@query(_LAYER + """
+SELECT url, title, count(DISTINCT product_code) AS distinct_codes, string_agg(DISTINCT product_code, ',' ORDER BY product_code) AS product_codes,
+ string_agg(DISTINCT product_code || ':' || origin, '; ' ORDER BY product_code || ':' || origin) AS claims FROM conf GROUP BY 1, 2 HAVING count(DISTINCT product_code) > 1""")
+def code_conflicts(spark, d):
+    return warehouse.v_document_code_conflicts(_claims(spark, d), _documents(spark, d))
+
+
+@query(_LAYER + """
+SELECT 'document_product_claim' AS table_name, 'product_code' AS column_name, 'conflicting_claim' AS issue, url AS raw_value, count(DISTINCT product_code) AS row_count FROM claim WHERE origin <> 'harvest_candidate' GROUP BY url HAVING count(DISTINCT product_code) > 1""")
+def claim_issues(spark, d):
+    return warehouse.claim_issues(_claims(spark, d))
+
+
+# --- counts and rollups -------------------------------------------------------
+
 @query("""
 SELECT o_custkey, string_agg(DISTINCT o_orderstatus, ',' ORDER BY o_orderstatus) AS statuses, """ + ", ".join(f"""
  count(*) FILTER (o_orderstatus = '{s}') AS n_{s.lower()}, strftime(max(o_orderdate) FILTER (o_orderstatus = '{s}'), '%Y-%m-%d') AS latest_{s.lower()},
@@ -80,19 +152,6 @@ def entity_rollup_pivot(spark, d):
     return table(spark, d, "orders").groupBy("o_custkey").agg(*aggs)
 
 
-@query("""
-SELECT l_partkey, count(DISTINCT l_orderkey) AS documents, count(DISTINCT CASE WHEN l_returnflag = 'R' THEN l_orderkey END) AS returned,
- count(DISTINCT CASE WHEN l_returnflag = 'A' THEN l_orderkey END) AS accepted, strftime(max(CASE WHEN l_returnflag = 'R' THEN l_shipdate END), '%Y') AS returned_latest_year
-FROM lineitem WHERE l_linestatus <> 'F' OR l_returnflag <> 'N' GROUP BY 1""")
-def document_counts(spark, d):
-    """Distinct documents per code in all and by kind, candidates left out."""
-    rows = table(spark, d, "lineitem").select("l_partkey", "l_orderkey", "l_returnflag", "l_linestatus", "l_shipdate").where("l_linestatus <> 'F' OR l_returnflag <> 'N'")
-    flag = F.col("l_returnflag")
-    counts = claims.conditional_counts(rows, ["l_partkey"], "l_orderkey", {"returned": flag == "R", "accepted": flag == "A"})
-    latest = rows.groupBy("l_partkey").agg(F.date_format(F.max(F.when(flag == "R", F.col("l_shipdate"))), "yyyy").alias("returned_latest_year"))
-    return counts.join(latest, "l_partkey").select("l_partkey", F.col("items").alias("documents"), "returned", "accepted", "returned_latest_year")
-
-
 # --- choosing rows -----------------------------------------------------------
 
 @query("""
@@ -103,14 +162,6 @@ def latest_per_group(spark, d):
     return pick.first_wins(rows, ["o_custkey", "o_orderpriority"], [F.desc("o_orderdate"), F.asc("o_orderkey")]).drop("o_orderdate")
 
 
-@query("""
-WITH g AS (SELECT l_partkey, l_orderkey, max(l_shipdate) AS s, string_agg(DISTINCT l_returnflag, ', ' ORDER BY l_returnflag) AS claim_origins FROM lineitem GROUP BY 1, 2)
-SELECT l_partkey, l_orderkey, strftime(s, '%Y-%m-%d') AS shipped, claim_origins FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY s DESC, l_orderkey) AS n FROM g) WHERE n = 1""")
-def latest_with_origins(spark, d):
-    grouped = table(spark, d, "lineitem").groupBy("l_partkey", "l_orderkey").agg(F.max("l_shipdate").alias("s"), claims.sorted_text("l_returnflag").alias("claim_origins"))
-    return pick.first_wins(grouped, ["l_partkey"], [F.desc("s"), F.asc("l_orderkey")]).select("l_partkey", "l_orderkey", _day("s").alias("shipped"), "claim_origins")
-
-
 @query("SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS n FROM events) WHERE n = 1")
 def first_wins_dedupe(spark, d):
     return pick.first_wins(table(spark, d, "events").select("user_id", "event_type", "event_id", "value", "ts"), ["user_id", "event_type"], [F.asc("ts"), F.asc("event_id")]).drop("ts")
@@ -170,13 +221,6 @@ def multiset_max_union(spark, d):
     return multiset.multiset_union(rows, ["user_id"], ["v"], ["event_type"])
 
 
-@query("""
-SELECT l_orderkey, count(DISTINCT l_suppkey) AS distinct_values, string_agg(DISTINCT CAST(l_suppkey AS VARCHAR), ', ' ORDER BY CAST(l_suppkey AS VARCHAR)) AS listed
-FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1 HAVING count(DISTINCT l_suppkey) > 1""")
-def code_conflicts(spark, d):
-    return claims.conflicts(table(spark, d, "lineitem").where("l_returnflag <> 'N'").select("l_orderkey", "l_suppkey"), ["l_orderkey"], "l_suppkey")
-
-
 @query("SELECT l_orderkey, bool_and(l_returnflag = 'N') AS candidate_only FROM lineitem GROUP BY 1")
 def candidate_only(spark, d):
     return claims.all_candidates(table(spark, d, "lineitem").select("l_orderkey", "l_returnflag"), ["l_orderkey"], "l_returnflag", "N")
@@ -203,15 +247,6 @@ def soft_link_issues(spark, d):
     return linking.issues(resolved, "orders", "o_custkey", "unknown_agency", "ambiguous_agency")
 
 
-@query("""
-WITH r AS (SELECT c_nationkey AS k, count(*) AS n, min(c_custkey) AS c_custkey FROM customer WHERE c_acctbal > 9800 GROUP BY 1)
-SELECT s_suppkey, s_nationkey, CASE WHEN n = 1 THEN c_custkey END AS c_custkey, CASE WHEN n IS NULL THEN 'no_match' WHEN n > 1 THEN 'ambiguous' ELSE 'matched' END AS match_state FROM supplier LEFT JOIN r ON k = s_nationkey""")
-def unique_match_only(spark, d):
-    left = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
-    right = table(spark, d, "customer").where("c_acctbal > 9800").select(F.col("c_nationkey").alias("s_nationkey"), "c_custkey")
-    return linking.unique_match(left, right, "s_nationkey", "c_custkey").select("s_suppkey", "s_nationkey", "c_custkey", "match_state")
-
-
 @query("""
 WITH k AS (SELECT p_partkey AS code, p_partkey - 1 AS alias_of FROM part WHERE p_size = 5)
 SELECT DISTINCT b.p_partkey AS code, a.p_partkey AS alias_of FROM part a JOIN part b USING (p_brand, p_type, p_size) WHERE a.p_partkey < b.p_partkey
@@ -252,40 +287,9 @@ def code_union_dimension(spark, d):
     return linking.code_union(parts, "code")
 
 
-@query("""
-WITH u AS (SELECT s_suppkey AS code, ' ' || upper(n_name) AS label, 'workbook' AS origin FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
- UNION ALL SELECT c_custkey, n_name || ' ', 'subject_page' FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal < 0
- UNION ALL SELECT n_nationkey, n_name, 'harvest' FROM nation)
-SELECT DISTINCT CAST(u.code AS BIGINT) AS code, lower(trim(label)) AS label, origin, r_name AS subject FROM u LEFT JOIN nation ON lower(n_name) = lower(trim(label)) LEFT JOIN region ON r_regionkey = n_regionkey""")
-def subject_claims_union(spark, d):
-    """Three sources mapped to one schema and joined on a computed key."""
-    s, c, n, r = (table(spark, d, t) for t in ("supplier", "customer", "nation", "region"))
-    u = s.join(n, s.s_nationkey == n.n_nationkey, "left").select(F.col("s_suppkey").cast("bigint").alias("code"), F.concat(F.lit(" "), F.upper("n_name")).alias("label"), F.lit("workbook").alias("origin"))
-    u = u.unionByName(c.where("c_acctbal < 0").join(n, c.c_nationkey == n.n_nationkey).select(F.col("c_custkey").cast("bigint").alias("code"), F.concat("n_name", F.lit(" ")).alias("label"), F.lit("subject_page").alias("origin")))
-    u = u.unionByName(n.select(F.col("n_nationkey").cast("bigint").alias("code"), F.col("n_name").alias("label"), F.lit("harvest").alias("origin")))
-    u = u.withColumn("label", F.lower(F.trim("label")))
-    areas = n.join(r, n.n_regionkey == r.r_regionkey, "left").select(F.lower("n_name").alias("label"), F.col("r_name").alias("subject"))
-    return u.join(areas, "label", "left").select("code", "label", "origin", "subject").distinct()
-
-
 _TOKENS = "list_distinct(list_transform(list_filter(string_split_regex(lower({0}), '[^a-z]+'), lambda x: len(x) >= 4), lambda x: x[1:6]))"
 
 
-@query(f"""
-WITH i AS (SELECT doc_id, unnest({_TOKENS.format("text")}) AS t FROM documents),
-r0 AS (SELECT item_id, {_TOKENS.format("text")} AS ts FROM benchmark), r AS (SELECT item_id, len(ts) AS size, unnest(ts) AS t FROM r0),
-p AS (SELECT doc_id, item_id, count(*) AS s, any_value(size) AS size FROM i JOIN r USING (t) GROUP BY ALL),
-q AS (SELECT *, rank() OVER (PARTITION BY doc_id ORDER BY s * 1.0 / size DESC, size DESC) AS k FROM p WHERE s * 1.0 / size >= 0.5),
-b AS (SELECT doc_id, CASE WHEN count(*) = 1 THEN min(item_id) END AS item_id FROM q WHERE k = 1 GROUP BY 1)
-SELECT d.doc_id, b.item_id FROM documents d LEFT JOIN b USING (doc_id)""")
-def token_overlap_match(spark, d):
-    """Best item per document by shared word stems of whole texts, NULL on a tie."""
-    stems = lambda c: F.array_distinct(F.transform(F.filter(F.split(F.lower(c), "[^a-z]+"), lambda w: F.length(w) >= 4), lambda w: F.substring(w, 1, 6)))
-    items = table(spark, d, "documents").select("doc_id", F.lit(0).alias("block"), stems(F.col("text")).alias("t"))
-    refs = table(spark, d, "benchmark").select("item_id", F.lit(0).alias("block"), stems(F.col("text")).alias("t"))
-    return linking.overlap_match(items, refs, ["block"], "t", "doc_id", "item_id", 0.5)
-
-
 @query("""
 WITH u AS (SELECT s_suppkey AS alias, s_suppkey AS id, 0 AS r FROM supplier UNION ALL SELECT CAST(s_nationkey AS BIGINT), s_suppkey, 1 FROM supplier)
 SELECT alias, id AS s_suppkey FROM (SELECT *, row_number() OVER (PARTITION BY alias ORDER BY id, r) AS n FROM u) WHERE n = 1""")
@@ -399,19 +403,6 @@ def sparse_json(spark, d):
     return table(spark, d, "orders").select("o_orderkey", nested.compact_json({"status": status, "customer": F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey"))}).alias("doc"))
 
 
-@query("SELECT event_id, CAST(props->>'$.k' AS BIGINT) AS k FROM events")
-def json_lift(spark, d):
-    return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("k"))
-
-
-@query("""
-WITH s AS (SELECT p_partkey, unnest(string_split(p_brand || ', ' || p_type || ',, ' || p_brand, ',')) AS x, generate_subscripts(string_split(p_brand || ', ' || p_type || ',, ' || p_brand, ','), 1) AS i FROM part)
-SELECT p_partkey, row_number() OVER (PARTITION BY p_partkey ORDER BY i) AS ordinal, trim(x) AS publisher FROM s WHERE trim(x) <> ''""")
-def split_publishers(spark, d):
-    names = F.concat("p_brand", F.lit(", "), "p_type", F.lit(",, "), "p_brand")
-    return nested.with_ordinals(table(spark, d, "part").select("p_partkey", X.split_names(names).alias("n")), "n", "publisher")
-
-
 # --- text ---------------------------------------------------------------------
 
 _MIXED = "upper(substr(url, 1, 12)) || substr(url, 13)"
@@ -438,19 +429,6 @@ def url_parts_class(spark, d):
     return table(spark, d, "pages").select("page_id", X.url_host(u).alias("host"), X.url_path(u).alias("path"), X.query_param(u, "id").alias("id"), kind.alias("kind"))
 
 
-@query(r"""
-WITH f AS (SELECT p_partkey, 'am' || lpad(CAST(p_partkey % 10000 AS VARCHAR), 4, '0') || '_kd_' || (2000 + p_size) || CASE WHEN p_partkey % 4 = 0 THEN '_be' || lpad(CAST(p_size AS VARCHAR), 4, '0') ELSE '' END || '.pdf' AS file FROM part),
-c AS (SELECT *, list_distinct(list_transform(regexp_extract_all(file, '(^|_)([a-z]{2}[0-9]{4})', 2), lambda x: upper(x))) AS l FROM f)
-SELECT p_partkey, array_to_string(list_sort(l), ',') AS codes, CASE WHEN len(l) = 1 THEN l[1] END AS code FROM c""")
-def text_codes(spark, d):
-    """All codes of a file name, and the code if there is only one."""
-    pad = lambda c: F.lpad(c.cast("string"), 4, "0")
-    size = F.col("p_size")
-    file = F.concat(F.lit("am"), pad(F.col("p_partkey") % 10000), F.lit("_kd_"), (size + 2000).cast("string"), F.when(F.col("p_partkey") % 4 == 0, F.concat(F.lit("_be"), pad(size))).otherwise(""), F.lit(".pdf"))
-    found = F.array_distinct(F.transform(F.regexp_extract_all(file, F.lit("(^|_)([a-z]{2}[0-9]{4})"), 2), F.upper))
-    return table(spark, d, "part").select("p_partkey", F.array_join(F.array_sort(found), ",").alias("codes"), F.when(F.size(found) == 1, F.get(found, F.lit(0))).alias("code"))
-
-
 @query(r"""
 WITH f AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'kd_1990_' || strftime(o_orderdate, '%Y') || '.pdf' ELSE 'kd.pdf' END AS file, CASE WHEN o_orderkey % 3 < 2 THEN 'avser ' || strftime(o_orderdate, '%Y') || ' till 2030' ELSE 'utan' END AS label FROM orders)
 SELECT o_orderkey, coalesce(regexp_extract_all(file, '((19|20)[0-9]{2})', 1)[-1], regexp_extract_all(label, '((19|20)[0-9]{2})', 1)[1]) AS year FROM f""")
@@ -462,21 +440,6 @@ def text_year(spark, d):
     return table(spark, d, "orders").select("o_orderkey", X.find_year(file, label).alias("year"))
 
 
-@query(r"""
-SELECT doc_id, CASE WHEN regexp_matches(text, '(?i)license') THEN 'license' WHEN regexp_matches(text, '!!') THEN 'shouting' WHEN regexp_matches(text, ' \| ') THEN 'table' WHEN regexp_matches(text, '@') THEN 'contact' END AS kind,
- CASE WHEN regexp_matches(text, '(?i)license') AND regexp_matches(text, '@') THEN 'mixed' WHEN regexp_matches(text, '(?i)license') THEN 'planned' WHEN regexp_matches(text, '@') THEN 'effective' ELSE 'unclear' END AS timing,
- concat_ws(',', CASE WHEN regexp_matches(text, '!!') THEN 'shouting' END, CASE WHEN regexp_matches(text, ' \| ') THEN 'table' END, CASE WHEN NOT regexp_matches(text, '!!') AND NOT regexp_matches(text, ' \| ') THEN 'other' END) AS labels FROM documents""")
-def kind_classifier(spark, d):
-    """Ordered first-match classes, a four-way state, and labels that may be several."""
-    t = F.col("text")
-    lic, shout, tab, at = t.rlike("(?i)license"), t.rlike("!!"), t.rlike(r" \| "), t.rlike("@")
-    labels = F.array_compact(F.array(F.when(shout, "shouting"), F.when(tab, "table")))
-    return table(spark, d, "documents").select(
-        "doc_id", F.when(lic, "license").when(shout, "shouting").when(tab, "table").when(at, "contact").alias("kind"),
-        F.when(lic & at, "mixed").when(lic, "planned").when(at, "effective").otherwise("unclear").alias("timing"),
-        F.array_join(F.when(F.size(labels) > 0, labels).otherwise(F.array(F.lit("other"))), ",").alias("labels"))
-
-
 @query(r"""
 WITH s AS (SELECT p_partkey, trim(regexp_replace(lower(p_brand || ' ' || p_type), '[^a-z0-9]+', '_', 'g'), '_') AS slug FROM part)
 SELECT p_partkey, slug || CASE WHEN row_number() OVER (PARTITION BY slug ORDER BY p_partkey) > 1 THEN '_' || row_number() OVER (PARTITION BY slug ORDER BY p_partkey) ELSE '' END AS slug FROM s""")
@@ -486,40 +449,6 @@ def slug_names(spark, d):
     return rows.select("p_partkey", F.when(F.col("_n") > 1, F.concat("slug", F.lit("_"), F.col("_n").cast("string"))).otherwise(F.col("slug")).alias("slug"))
 
 
-@query(r"""
-SELECT s_suppkey AS id, nfc_normalize(lower(trim(regexp_replace('  ' || s_name || '  X (ABC)', '\s*\([^()]+\)\s*$', '')))) AS norm, regexp_extract(s_name || ' (ABC)', '\(([^()]+)\)\s*$', 1) AS abbreviation FROM supplier""")
-def norm_names(spark, d):
-    name = F.concat(F.lit("  "), "s_name", F.lit("  X (ABC)"))
-    rows = table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), X.norm_name(name).alias("n"), X.abbreviation(F.concat("s_name", F.lit(" (ABC)"))).alias("abbreviation"))
-    return rows.select("id", F.regexp_replace("n", " x$", "  x").alias("norm"), "abbreviation")
-
-
-@query("SELECT count(*) AS total, count(DISTINCT user_id) AS users, round(sum(value), 2) AS value_sum, count(*) FILTER (event_type = 'error') AS errors FROM events")
-def parse_metrics(spark, d):
-    return table(spark, d, "events").agg(F.count("*").alias("total"), F.count_distinct("user_id").alias("users"), F.round(F.sum("value"), 2).alias("value_sum"), F.count_if(F.col("event_type") == "error").alias("errors"))
-
-
-@query("""
-SELECT table_name, n FROM (SELECT 'orders' AS table_name, count(*) AS n FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'documents', count(*) FROM documents UNION ALL SELECT 'pages', count(*) FROM pages)""")
-def build_report(spark, d):
-    """Row count of each table."""
-    out = None
-    for name in ("orders", "lineitem", "documents", "pages"):
-        one = table(spark, d, name).agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "n")
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
-@query("""
-SELECT a.n_name AS agency, r_name AS registry, s_suppkey AS product_code, s_name AS name, (SELECT count(*) FROM lineitem WHERE l_suppkey = s_suppkey) AS calendar_entries
-FROM nation a JOIN supplier ON s_nationkey = n_nationkey LEFT JOIN region ON r_regionkey = n_regionkey""")
-def agency_products(spark, d):
-    s, n, r = (table(spark, d, t) for t in ("supplier", "nation", "region"))
-    entries = table(spark, d, "lineitem").groupBy("l_suppkey").agg(F.count("*").alias("c"))
-    rows = n.join(s, s.s_nationkey == n.n_nationkey).join(r, r.r_regionkey == n.n_regionkey, "left").join(entries, entries.l_suppkey == s.s_suppkey, "left")
-    return rows.select(F.col("n_name").alias("agency"), F.col("r_name").alias("registry"), F.col("s_suppkey").alias("product_code"), F.col("s_name").alias("name"), F.coalesce("c", F.lit(0)).cast("bigint").alias("calendar_entries"))
-
-
 @query("""
 WITH a AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS p FROM orders WHERE o_orderstatus = 'F'), b AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS p FROM orders WHERE o_orderstatus = 'O')
 SELECT coalesce(a.o_custkey, b.o_custkey) AS o_custkey, coalesce(a.p, b.p) AS pos, a.o_orderkey AS left_key, b.o_orderkey AS right_key FROM a FULL JOIN b ON a.o_custkey = b.o_custkey AND a.p = b.p""")
@@ -575,3 +504,177 @@ def line_clusters(spark, d):
     """Words of a page as lines of cells, folded page by page; a supplier's rows are a page."""
     rows = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("page"), F.col("l_returnflag").alias("text"), F.col("l_quantity").alias("x0"), (F.col("l_orderkey") * 1.5).cast("double").alias("top"))
     return folds.cluster_lines(rows, ["page"], [0.0, 20.0, 40.0])
+
+
+# --- library plans and expressions ---------------------------------------------------
+
+@query("""
+WITH t AS (SELECT CAST(n_nationkey AS VARCHAR) AS subject_code, n_name AS title FROM nation),
+w AS (SELECT CAST(s_suppkey AS VARCHAR) AS product_code, ' ' || upper(n_name) || ' ' AS a, s_name AS area FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey)
+SELECT DISTINCT product_code, subject_code, a AS subject, area, 'workbook' AS origin FROM w LEFT JOIN t ON lower(trim(a)) = lower(title)
+UNION SELECT CAST(c_custkey AS VARCHAR), subject_code, title, c_mktsegment, 'subject_page' FROM customer JOIN t ON subject_code = CAST(c_nationkey AS VARCHAR)
+UNION SELECT CAST(r_regionkey AS VARCHAR), subject_code, r_name, r_name, 'harvest' FROM region LEFT JOIN t ON lower(r_name) = lower(title)""")
+def subject_claims_union(spark, d):
+    """Three sources mapped to one schema and joined on a computed key."""
+    s, c, n, r = (table(spark, d, t) for t in ("supplier", "customer", "nation", "region"))
+    text = lambda c: F.col(c).cast("string")
+    workbook = s.join(n, s.s_nationkey == n.n_nationkey, "left").select(text("s_suppkey").alias("product_code"), F.concat(F.lit(" "), F.upper("n_name"), F.lit(" ")).alias("subject_area"), F.col("s_name").alias("statistics_area"))
+    cards = c.select(text("c_custkey").alias("product_code"), text("c_nationkey").alias("subject_code"), F.col("c_mktsegment").alias("area_label"))
+    rows = r.select(text("r_regionkey").alias("product_code"), F.col("r_name").alias("subject_area"), F.col("r_name").alias("statistics_area"))
+    return warehouse.subject_claims(workbook, cards, rows, n.select(text("n_nationkey").alias("subject_code"), F.col("n_name").alias("title")))
+
+
+@query("""
+WITH r AS (SELECT floor(c_acctbal / 5) AS k, count(*) AS n, min(c_custkey) AS c_custkey FROM customer GROUP BY 1)
+SELECT s_suppkey, CASE WHEN n = 1 THEN c_custkey END AS c_custkey, CASE WHEN n IS NULL THEN 'no_match' WHEN n > 1 THEN 'ambiguous' ELSE 'matched' END AS match_state FROM supplier LEFT JOIN r ON k = floor(s_acctbal / 5)""")
+def unique_match_only(spark, d):
+    """Suppliers to customers of about the same balance, whole tables."""
+    band = lambda c: F.floor(F.col(c) / 5).alias("band")
+    left, right = table(spark, d, "supplier").select("s_suppkey", band("s_acctbal")), table(spark, d, "customer").select(band("c_acctbal"), "c_custkey")
+    return linking.unique_match(left, right, "band", "c_custkey").select("s_suppkey", "c_custkey", "match_state")
+
+
+_WORDS = "list_distinct(list_transform(list_filter(string_split(regexp_replace(lower({0}), '[^a-zåäö0-9]+', ' ', 'g'), ' '), lambda x: len(x) >= 4 AND NOT list_contains(" + repr(list(X.STOP_WORDS)) + ", x) AND NOT regexp_matches(x, '^[0-9]+$')), lambda x: x[1:6]))"
+
+
+@query(f"""
+WITH i AS (SELECT doc_id, unnest({_WORDS.format("text")}) AS t FROM documents),
+r0 AS (SELECT item_id, {_WORDS.format("text")} AS ts FROM benchmark), r AS (SELECT item_id, len(ts) AS size, unnest(ts) AS t FROM r0),
+p AS (SELECT doc_id, item_id, count(*) AS s, any_value(size) AS size FROM i JOIN r USING (t) GROUP BY ALL),
+q AS (SELECT *, rank() OVER (PARTITION BY doc_id ORDER BY s * 1.0 / size DESC, size DESC) AS k FROM p WHERE s * 1.0 / size >= 0.5),
+b AS (SELECT doc_id, CASE WHEN count(*) = 1 THEN min(item_id) END AS item_id FROM q WHERE k = 1 GROUP BY 1)
+SELECT d.doc_id, b.item_id FROM documents d LEFT JOIN b USING (doc_id)""")
+def token_overlap_match(spark, d):
+    """Best item per document by shared word stems of whole texts, NULL on a tie."""
+    items = table(spark, d, "documents").select("doc_id", X.tokens(F.col("text")).alias("t"))
+    refs = table(spark, d, "benchmark").select("item_id", X.tokens(F.col("text")).alias("t"))
+    return linking.overlap_match(items, refs, [], "t", "doc_id", "item_id", 0.5)
+
+
+@query("SELECT event_id, props->>'$.k' AS k, CAST(NULL AS VARCHAR) AS town FROM events")
+def json_lift(spark, d):
+    fields = F.transform(F.map_entries(F.from_json("props", "map<string,string>")), lambda e: F.struct(e["key"].alias("label"), e["value"].alias("value")))
+    return table(spark, d, "events").withColumn("f", fields).select("event_id", *nested.lift_labels("f", {"k": "k", "Ort": "town"}))
+
+
+@query("""
+WITH s AS (SELECT p_partkey, string_split(p_brand || ', ' || p_type || ',x, , ' || p_brand, ', ') AS l FROM part), u AS (SELECT p_partkey, unnest(l) AS x, generate_subscripts(l, 1) AS i FROM s)
+SELECT p_partkey, row_number() OVER (PARTITION BY p_partkey ORDER BY i) AS ordinal, trim(x) AS publisher FROM u WHERE trim(x) <> ''""")
+def split_publishers(spark, d):
+    names = F.concat("p_brand", F.lit(", "), "p_type", F.lit(",x, , "), "p_brand")
+    return calendar.publishers(table(spark, d, "part").select(F.col("p_partkey").alias("entry_id"), names.alias("published_at"))).select(F.col("entry_id").alias("p_partkey"), "ordinal", F.col("name").alias("publisher"))
+
+
+@query(r"""
+WITH f AS (SELECT p_partkey, 'am' || lpad(CAST(p_partkey % 10000 AS VARCHAR), 4, '0') || '_kd_' || (2000 + p_size) || CASE WHEN p_partkey % 4 = 0 THEN '_be' || lpad(CAST(p_size AS VARCHAR), 4, '0') ELSE '' END || '.pdf' AS file FROM part),
+c AS (SELECT *, list_distinct(list_transform(regexp_extract_all(file, '(^|_)([a-z]{2}[0-9]{4})', 2), lambda x: upper(x))) AS l FROM f)
+SELECT p_partkey, array_to_string(list_sort(l), ',') AS codes, CASE WHEN len(l) = 1 THEN l[1] END AS code FROM c""")
+def text_codes(spark, d):
+    """All codes of a file name, and the code if there is only one."""
+    pad = lambda c: F.lpad(c.cast("string"), 4, "0")
+    size = F.col("p_size")
+    file = F.concat(F.lit("am"), pad(F.col("p_partkey") % 10000), F.lit("_kd_"), (size + 2000).cast("string"), F.when(F.col("p_partkey") % 4 == 0, F.concat(F.lit("_be"), pad(size))).otherwise(""), F.lit(".pdf"))
+    return table(spark, d, "part").select("p_partkey", F.array_join(F.array_sort(X.codes_in(file)), ",").alias("codes"), X.find_code(F.concat(F.lit("https://x.se/files/"), file), F.lit("BE0101")).alias("code"))
+
+
+_NOTICES = [
+    "Ny produkt införs från och med 2024-01-01.", "Variabel tas bort, vi vill avveckla den", "Produkten är inaktiv fr.o.m. 2023-05-01", "Avslutad produkt", "Produkten upphör", "Undersökningen har en period",
+    "Namnändring: produktnamn ändras, gäller fr. o. m. 2022-02-30", "Tabellerna slogs 2020 ihop; periodicitet ändras och vi planerar mer", "Ändringen gäller fr.o.m.2021-03-04 och har utökats", "Produktstatus: är officiell statistik", "ÄNDRING AV PRODUKT. Kommer att flyttas", "",
+]
+
+
+@query(f"""
+WITH t AS (SELECT o_orderkey, lower(({_NOTICES!r})[o_orderkey % {len(_NOTICES)} + 1]) AS t FROM orders),
+k AS (SELECT *, list_filter([{", ".join(f"CASE WHEN regexp_matches(t, '{p}') THEN '{name}' END" for name, p in X.CHANGES)}], lambda x: x IS NOT NULL) AS l, regexp_matches(t, '{X.PLANNED}') AS p, regexp_matches(t, '{X.EFFECTIVE}') AS e FROM t)
+SELECT o_orderkey, CASE WHEN len(l) = 0 THEN 'other' ELSE array_to_string(l, ',') END AS kinds, CASE WHEN p AND e THEN 'mixed' WHEN p THEN 'planned' WHEN e THEN 'source_claimed_effective' ELSE 'unclear' END AS timing,
+ CAST(try_cast(nullif(regexp_extract(t, '{X.EFFECTIVE_DAY}', 1), '') AS DATE) AS VARCHAR) AS effective FROM k""")
+def kind_classifier(spark, d):
+    """Kinds of a change, which may be several, a four-way state, and the day of the change."""
+    t = F.get(F.array(*map(F.lit, _NOTICES)), (F.col("o_orderkey") % len(_NOTICES)).cast("int"))
+    return table(spark, d, "orders").select("o_orderkey", F.array_join(X.change_kinds(t), ",").alias("kinds"), X.timing(t).alias("timing"), X.effective_date(t).cast("string").alias("effective"))
+
+
+_FILES = [("kd_am0101_2020.pdf", "Kvalitet", "kvalitetsdeklaration"), ("x.pdf", "Beskrivning av statistiken", "beskrivning av statistiken"), ("staf.pdf", "", "statistikens framställning"), ("do_2020.pdf", "", "scbdok"), ("y.pdf", "MetaPlus", "metaplus"), ("z.pdf", "Kvalitetsrapport", "kvalitetsrapport"), ("w.pdf", "Tabell", None)]
+
+
+@query(f"""
+SELECT p_partkey, {[k or "" for _, _, k in _FILES]!r}[p_partkey % 7 + 1] AS kind, CASE WHEN p_partkey % 7 = 6 THEN 'statistikens framställning' ELSE {[k or "" for _, _, k in _FILES]!r}[p_partkey % 7 + 1] END AS with_heading FROM part""")
+def document_kinds(spark, d):
+    """The class of a document by file name and text, and by its heading where these do not tell."""
+    at = (F.col("p_partkey") % 7).cast("int")
+    url, text = (F.get(F.array(*(F.lit(f[k]) for f in _FILES)), at) for k in (0, 1))
+    url = F.concat(F.lit("https://x.se/a/"), url)
+    return table(spark, d, "part").select("p_partkey", F.coalesce(X.kind(url, text), F.lit("")).alias("kind"), X.kind(url, text, F.lit("Framställning")).alias("with_heading"))
+
+
+_TAILS = [".PDF", ".csv?x=1", "/contentassets/b", "/dokument/c", ".html", "?f=a.pdf", ".pptx#p", ".zip", "#x.pdf", ""]
+
+
+@query(rf"""
+WITH u AS (SELECT page_id, regexp_replace(url, '[?#].*$', '') || ({_TAILS!r})[page_id % 10 + 1] AS url FROM pages),
+p AS (SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)) AS path, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) AS host FROM u)
+SELECT page_id, regexp_matches(path, '\.(pdf|docx?|xlsx?|csv|zip|txt|pptx?)$') OR contains(path, '/contentassets/') OR host = 'metadata.scb.se' AS document FROM p""")
+def document_urls(spark, d):
+    tail = F.get(F.array(*map(F.lit, _TAILS)), (F.col("page_id") % 10).cast("int"))
+    return table(spark, d, "pages").select("page_id", X.is_document_url(F.concat(F.regexp_replace("url", r"[?#].*$", ""), tail)).alias("document"))
+
+
+@query(r"""
+WITH s AS (SELECT s_suppkey AS id, CASE s_suppkey % 3 WHEN 0 THEN 'Statistikansvarig myndighet:  ' ELSE '  ' END || upper(s_name) || '  X' || CASE WHEN s_suppkey % 2 = 0 THEN ' (ABC)' ELSE ' (en alltför lång förkortning)' END AS n FROM supplier)
+SELECT id, trim(regexp_replace(regexp_replace(lower(regexp_replace(n, '\s*\([^()]{1,15}\)\s*$', '')), '^\s*statistikansvarig\s+myndighet\s*:\s*', ''), '\s+', ' ', 'g')) AS norm, nullif(regexp_extract(n, '\(([^()]{1,15})\)\s*$', 1), '') AS abbreviation FROM s""")
+def norm_names(spark, d):
+    name = F.concat(F.when(F.col("s_suppkey") % 3 == 0, "Statistikansvarig myndighet:  ").otherwise("  "), F.upper("s_name"), F.lit("  X"), F.when(F.col("s_suppkey") % 2 == 0, " (ABC)").otherwise(" (en alltför lång förkortning)"))
+    return table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), X.norm_agency(name).alias("norm"), X.abbreviation(name).alias("abbreviation"))
+
+
+@query("""
+SELECT count(*) AS documents, count(*) FILTER (value < 10) AS review_candidates, count(*) FILTER (event_type LIKE 'c%') AS scb, count(*) FILTER (event_type LIKE 'p%') AS siris, count(*) FILTER (event_type NOT LIKE 'c%' AND event_type NOT LIKE 'p%') AS sam, (SELECT count(*) FROM part) AS products FROM events""")
+def parse_metrics(spark, d):
+    kind = F.col("event_type")
+    source = F.concat(F.when(kind.startswith("c"), "scb").when(kind.startswith("p"), "siris").otherwise("sam/"), kind)
+    return harvest.metrics(table(spark, d, "events").select((F.col("value") < 10).alias("review_required"), source.alias("source")), table(spark, d, "part"))
+
+
+@query("""
+SELECT 'table' AS part, 'orders' AS name, count(*) AS n FROM orders UNION ALL SELECT 'table', 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'table', 'pages', count(*) FROM pages
+UNION ALL SELECT 'issue', o_orderpriority, count(*) FROM orders GROUP BY 2""")
+def build_report(spark, d):
+    """Row count of each table and the histogram of issues, as the report file has them."""
+    issues = table(spark, d, "orders").select(F.col("o_orderpriority").alias("issue"))
+    report = sinks.table_report({name: table(spark, d, name) for name in ("orders", "lineitem", "pages")}, issues)
+    rows = [("table", k, n) for k, n in report["tables"].items()] + [("issue", k, n) for k, n in report["issues"].items()]
+    return spark.createDataFrame(rows, "part string, name string, n bigint")
+
+
+@query("""
+WITH e AS (SELECT *, '[' || concat_ws(', ', to_json(strftime(DATE '2020-01-01' + p_size, '%Y-%m-%d')), CASE WHEN p_size % 3 = 0 THEN 'null' ELSE to_json('AM01' || lpad(CAST(p_size AS VARCHAR), 2, '0')) END, to_json(p_type || CASE WHEN p_partkey % 2 = 0 THEN '-x "y"' ELSE '' END),
+ 'null', to_json(p_brand), '[' || to_json(p_brand) || ', "Tabell"]', to_json(p_name), 'null', to_json('/p/' || p_partkey)) || ']' AS k FROM part)
+SELECT p_partkey, row_number() OVER (ORDER BY k) AS entry_id, 1 AS occurrence FROM e""")
+def calendar_numbers(spark, d):
+    """Entries numbered in file order: by the JSON text of all fields."""
+    null = F.lit(None).cast("string")
+    rows = table(spark, d, "part").select(
+        F.date_format(F.date_add(F.lit("2020-01-01").cast("date"), F.col("p_size")), "yyyy-MM-dd").alias("publish_date"), F.when(F.col("p_size") % 3 != 0, F.concat(F.lit("AM01"), F.lpad(F.col("p_size").cast("string"), 2, "0"))).alias("product_code"),
+        F.concat("p_type", F.when(F.col("p_partkey") % 2 == 0, '-x "y"').otherwise("")).alias("product_name"), null.alias("reporting_round"), F.col("p_brand").alias("reference_period"), F.array("p_brand", F.lit("Tabell")).alias("forms"), F.col("p_name").alias("published_at"), null.alias("responsible_agency"), F.concat(F.lit("/p/"), "p_partkey").alias("product_url"))
+    return calendar.numbered(rows).select(F.substring("product_url", 4, 20).cast("bigint").alias("p_partkey"), "entry_id", "occurrence")
+
+
+@query("""
+WITH r AS (SELECT strftime(o_orderdate, '%Y') AS y, o_orderpriority AS h, o_orderstatus AS v, count(*) AS n FROM orders GROUP BY ALL), m AS (SELECT y, h, max(n) AS n FROM r GROUP BY ALL)
+SELECT y AS "from", y AS "to", CAST(1000 AS BIGINT) AS expected, CAST(sum(n) AS BIGINT) AS retrieved FROM m GROUP BY y HAVING sum(n) <> 1000""")
+def calendar_gaps(spark, d):
+    """Ranges whose stated total differs from their merged rows; three listings of each year."""
+    year = F.date_format("o_orderdate", "yyyy")
+    pages = table(spark, d, "orders").groupBy(year.alias("from"), year.alias("to"), (F.col("o_orderstatus") == "F").alias("newest_first"), F.ascii("o_orderstatus").alias("form")).agg(F.collect_list("o_orderpriority").alias("rows")).withColumn("total", F.lit(1000).cast("bigint"))
+    return calendar.gaps(pages)
+
+
+@query("""
+WITH s AS (SELECT DISTINCT CASE o_orderkey % 6 WHEN 0 THEN 'scb' WHEN 1 THEN 'siris' WHEN 2 THEN 'sam/A' WHEN 3 THEN 'sam/B' WHEN 4 THEN 'sam/C' ELSE 'other' END AS source FROM orders)
+SELECT source, CASE WHEN source IN ('siris', 'sam/C', 'other', 'sam/B') THEN 'retained' ELSE 'fresh' END AS status FROM s""")
+def source_states(spark, d):
+    """Whether a source's rows are of this run: failed, not attempted and not selected ones are retained."""
+    k = F.col("o_orderkey") % 6
+    source = F.when(k == 0, "scb").when(k == 1, "siris").when(k == 2, "sam/A").when(k == 3, "sam/B").when(k == 4, "sam/C").otherwise("other")
+    state = {"last_failures": ["siris", "sam/C"], "attempted_sources": ["scb", "siris", "sam"], "selected_agencies": ["A", "C"]}
+    return table(spark, d, "orders").select(source.alias("source")).distinct().select("source", X.source_status(F.col("source"), state).alias("status"))

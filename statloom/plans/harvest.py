@@ -59,7 +59,7 @@ def _all_tokens(*texts: Column) -> Column:
     return F.array_distinct(F.flatten(F.array(*(X.tokens(t) for t in texts))))
 
 
-def documents(fragments: DataFrame, calls: DataFrame, pages: DataFrame, sources: DataFrame, products: DataFrame, retained: list[str] = (), fresh: list[str] = ()) -> DataFrame:
+def documents(fragments: DataFrame, calls: DataFrame, pages: DataFrame, sources: DataFrame, products: DataFrame, state: dict | None = None) -> DataFrame:
     """The document table: all sources united, candidates split off, identities and names added."""
     names = products.select("product_code", "name", "agency")
     text = lambda: F.lit(None).cast("string")
@@ -92,7 +92,7 @@ def documents(fragments: DataFrame, calls: DataFrame, pages: DataFrame, sources:
     inferred = F.col("product_match").isin("name", "page")
     rows = rows.withColumn("candidate_product_code", F.when(inferred, F.col("product_code"))).withColumn("product_code", F.when(~inferred, F.col("product_code")))
     rows = rows.withColumn("review_required", F.col("candidate_product_code").isNotNull() | F.col("doc_type").isNull())
-    rows = rows.withColumn("source_status", F.when(F.col("source").isin(*fresh), "fresh").when(F.col("source").isin(*retained), "retained").otherwise("legacy"))
+    rows = rows.withColumn("source_status", X.source_status(F.col("source"), state or {}))
     identity = ["source", "source_url", "url", "title", "heading"]
     rows = pick.occurrence(rows, identity, [F.asc("_pos")], "_occurrence", 0)
     rows = rows.withColumn("document_id", X.row_key([*identity, "_occurrence"])).join(names.select("product_code", F.col("name").alias("product_name")), "product_code", "left")

@@ -1,7 +1,8 @@
 """New capture files, once each, into year partitions.
 
 A stream with an available-now trigger keeps track of the files that were
-read; each micro-batch goes through the same plans as a full rebuild.
+read, by name: new captures come in new files. Each micro-batch goes through
+the same plans as a full rebuild.
 """
 
 from __future__ import annotations
@@ -11,19 +12,32 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..plans import calendar
-from ..sources.sinks import replace_years
+from ..session import Scratch
+from ..sources.sinks import exists, replace_years
 
 
 def refresh_calendar(spark: SparkSession, folder: str, target: str, quarantine: str, checkpoint: str) -> None:
-    """Replaces the years that new capture files cover; other years stay as they are."""
+    """Replaces the days that the ranges of new capture files cover; all other days stay as they are.
 
-    def apply(batch: DataFrame, _: int) -> None:
-        span = batch.agg(F.min(F.substring("from", 1, 4)).cast("int"), F.max(F.substring("to", 1, 4)).cast("int")).first()
+    A batch that is run again writes the same rows to the same places.
+    """
+
+    def apply(batch: DataFrame, number: int) -> None:
+        ranges = batch.select("from", "to").distinct()
+        span = ranges.agg(F.min(F.substring("from", 1, 4)).cast("int"), F.max(F.substring("to", 1, 4)).cast("int")).first()
         if span[0] is None:
             return
+        scratch = Scratch(spark)
         good, bad = calendar.parsed(batch)
-        replace_years(good.withColumn("year", F.substring("publish_date", 1, 4).cast("int")), target, span[0], span[1])
-        bad.write.mode("append").json(quarantine)
+        rows = good.withColumn("year", F.substring("publish_date", 1, 4).cast("int"))
+        if exists(spark, target):
+            # Days outside of these ranges, of the years that are written anew.
+            old = spark.read.parquet(target).where(F.col("year").between(span[0], span[1]))
+            held = old.join(ranges, F.col("publish_date").between(F.col("from"), F.col("to")), "left_anti")
+            rows = rows.unionByName(held.select(*rows.columns))
+        replace_years(scratch.written(rows, "years"), target, span[0], span[1])
+        bad.write.mode("overwrite").json(f"{quarantine}/batch={number}")
+        scratch.drop()
 
     pages = spark.readStream.schema(schemas.CAPTURE).json(folder)
     stream = pages.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

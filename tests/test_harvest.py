@@ -26,7 +26,7 @@ def docs(spark, entries):
     links = [("https://a.se/kd_be0101_2020.pdf", "Kvalitetsdeklaration 2020"), ("https://a.se/kd.pdf", "Kvalitetsdeklaration"), ("https://a.se/kd.pdf", "Kvalitetsdeklaration"), ("https://a.se/page", "no document")]
     pages = spark.createDataFrame([("https://a.se/p", 0, 200, None, "f", "Our page", links, None)], schemas.CRAWLED).withColumn("_file", F.lit("aa"))
     sources = spark.createDataFrame([("aa", "A agency (AA)", None, None, None, None, None, None, None, None)], schemas.SOURCES)
-    return harvest.documents(fragments, calls, pages, sources, calendar.products(entries), fresh=["scb"]).cache()
+    return harvest.documents(fragments, calls, pages, sources, calendar.products(entries), {"attempted_sources": ["scb"]}).cache()
 
 
 def by_url(docs, end):

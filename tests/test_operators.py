@@ -92,8 +92,15 @@ def test_text(spark):
     assert one(X.leading_int(F.lit("2019/20"))) == 2019 and one(X.leading_int(F.lit("x"))) == 0 and one(X.leading_int(F.lit(None).cast("string"))) is None
     assert one(X.slug(F.lit("Ö-myndigheten för x (ÖX)"))) == "o_myndigheten_for_x"
     assert [r["from"].isoformat() for r in one(X.split_range(F.lit("2020-01-01").cast("date"), F.lit("2020-01-10").cast("date"), 3))] == ["2020-01-01", "2020-01-04", "2020-01-07"]
-    assert one(X.change_kinds(F.lit("Produkten upphör"))) == ["closed"] and one(X.timing(F.lit("Planeras fr.o.m. 2020"))) == "mixed"
-    assert str(one(X.effective_date(F.lit("gäller fr.o.m. 2020-02-30 eller från och med 2020-03-01")))) == "None"
+    assert one(X.change_kinds(F.lit("Produkten upphör"))) == ["other"] and one(X.change_kinds(F.lit("Avslutad produkt. Variabel tas bort"))) == ["content", "closed"]
+    assert [one(X.timing(F.lit(t))) for t in ("Planeras fr.o.m. 2020", "vi vill avveckla den", "Produkten är inaktiv, kommer att utgå", "gäller fr.o.m. 2020-01-01", "Undersökningen har en period")] == ["unclear", "planned", "mixed", "source_claimed_effective", "unclear"]
+    assert str(one(X.effective_date(F.lit("gäller fr.o.m. 2020-02-30 eller från och med 2020-03-01")))) == "None" and str(one(X.effective_date(F.lit("Från och med 2020-03-01")))) == "2020-03-01"
+    assert [one(X.is_document_url(F.lit(u))) for u in ("https://x.se/A.CSV?y", "https://metadata.scb.se/q", "https://x.se/contentassets/z", "https://x.se/dokument/kvalitetsdeklaration", "https://x.se/?f=a.pdf")] == [True, True, True, False, False]
+    assert one(X.split_names(F.lit("A, B,C, , D"))) == ["A", "B,C", "D"]
+    assert one(X.abbreviation(F.lit("Namn (SCB)"))) == "SCB" and one(X.abbreviation(F.lit("Namn (mer än femton tecken)"))) is None
+    assert one(X.calendar_code(F.lit("/kalender/am0101x/"))) == "AM0101X" and one(X.overlap(F.array(F.lit("a"), F.lit("b")), F.array(F.lit("a")))) == 1.0
+    assert one(X.related_codes(F.lit("AM0101 och be0101"), F.lit("AM0101"))) == ["BE0101"] and one(X.target_kind(F.lit("https://x/pxweb/y"))) == "pxweb_table"
+    assert [one(c) for c in X.pxweb_codes(F.lit("https://x/pxweb/START__AM__AM0101/"))] == ["AM", "AM0101"]
     digest = spark.createDataFrame([("é", 1)], "b string, a int").select(X.json_digest(F.struct("b", "a")).alias("x")).first().x
     assert digest == hashlib.sha256(json.dumps({"a": 1, "b": "é"}, ensure_ascii=False, sort_keys=True).encode()).hexdigest()
     assert one(X.tokens(F.lit("Gymnasieskolans elever och 2019 statistik"))) == ["gymnas", "elever"]
