@@ -6,23 +6,34 @@ followed by the end id; ``offsets/shard=K/`` with one file of little-endian
 64-bit numbers, the global position at which each document starts; and
 ``index``, a Parquet table of (shard, pos, doc_id). Shards follow each other in
 ascending doc_id order and so do the documents in a shard (nulls first, equal
-doc_ids in no fixed order). Both kinds of flat file can be memory-mapped:
-``read_document`` does so.
-
-Writing. Each text is encoded once. Shard bounds are doc_id quantiles, so a
-shard has a like number of documents; positions are per-shard running sums on
-top of the sums of the shards before. The bytes are written by Spark's text
-writer: the end id is the line separator, and so is the always-zero top byte of
-an offset. So any file system that Spark knows can hold the files, and lost or
-repeated tasks are settled by the commit protocol.
-
-Defined results: a null or empty text is its end id alone; other columns are
-ignored; an empty table gives a folder without shards and no rows.
+doc_ids in no fixed order). Both kinds of flat file are read memory-mapped
+(``read_back``, ``document``).
+
+Writing. Each text is encoded once. Documents are sorted by ranges, token counts
+are summed within ranges on top of the sums of the ranges before, and a shard
+takes the documents that start in its share of the positions. So shards are cut
+by size, also between rows of one doc_id, and only a document that is itself
+longer than a shard makes a longer one. Shards have about ``SHARD_TOKENS`` ids,
+and more where there would be more than ``MOST_SHARDS``, as the first row of each
+is what the tasks are told (at 100 TB of text that is some 250 million ids, 0.5
+GB, a shard). The bytes are written by Spark's text writer: the end id is the
+line separator, and so is the always-zero top byte of an offset. So any file
+system that Spark knows can hold the files, and lost or repeated tasks are
+settled by the commit protocol.
+
+Reading. Rows of the index are dealt over tasks as they come; each task maps the
+files of the shards that it meets and takes its documents from there, so no
+content is shuffled and a large shard is read by many tasks. Where the folder is
+not on a file system that the machines mount, whole files are read by Spark
+instead, a shard in one row.
+
+Defined results: a null or empty text is its end id alone; columns other than
+doc_id and text are ignored, whatever their names; an empty table gives a folder
+without shards and no rows; texts of any length.
 """
 
 from __future__ import annotations
 
-import contextlib
 import zlib
 from collections.abc import Iterator
 
@@ -31,45 +42,39 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import delete, shuffles_dropped
 from ._bytes import flat_text
 from .encode import encoded_groups, encoder
 
-#: Aim for the text of one shard.
-SHARD_TEXT_BYTES = 16 << 20
+SHARD_TOKENS = 4 << 20
 #: Shards are written in this many rounds, which divides the shuffle files that exist at once.
 ROUNDS = 2
-#: Quantiles that are asked for at most; beyond it shards grow.
-MAX_SHARDS = 20_000
+MOST_SHARDS = 100_000
+ENCODED = "doc_key bigint, doc_id bigint, uid bigint, n bigint, ids binary"
+INDEX = "shard int, pos bigint, doc_id bigint, start bigint"
 
 
-@contextlib.contextmanager
-def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
-    """Each write inside gives its shuffle files back when it is done, not when the driver collects garbage."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-
-
-def _encode(batches: Iterator[pa.RecordBatch], path: str, end_id: int, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
     width = encoder(path).width
     kind = "<u2" if width == 2 else "<u4"
     for batch in batches:
         buf, off, _ = flat_text(batch.column("text"))
-        ids_of = batch.column("doc_id")
-        null = np.asarray(ids_of.is_null())
-        shard = np.where(null, 0, np.searchsorted(bounds, np.asarray(ids_of.fill_null(0)), "left"))
         for a, b, ids, begin in encoded_groups(path, buf, off, end_id):
             raw = ids.astype(kind).tobytes()
             # The end id is left to the writer.
             body = [raw[s * width : (e - 1) * width] for s, e in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(shard[a:b], pa.int32()), ids_of.slice(a, b - a), batch.column("uid").slice(a, b - a), pa.array(np.diff(begin)), pa.array(body, pa.binary())],
-                names=["shard", "doc_id", "uid", "n", "ids"],
-            )
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in ("doc_key", "doc_id", "uid")), pa.array(np.diff(begin)), pa.array(body, pa.binary())], names=["doc_key", "doc_id", "uid", "n", "ids"])
+
+
+def _dealt(batches: Iterator[pa.RecordBatch], first: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(shard, doc_key, uid, ids): the last shard whose first (doc_key, uid) is not after the row's."""
+    for batch in batches:
+        key, uid = np.asarray(batch.column("doc_key")), np.asarray(batch.column("uid"))
+        low, high = np.searchsorted(first[0], key, "left"), np.searchsorted(first[0], key, "right")
+        shard = low - 1
+        for k in np.flatnonzero(high > low):
+            shard[k] = low[k] - 1 + np.searchsorted(first[1][low[k] : high[k]], uid[k], "right")
+        yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int32)), *(batch.column(c) for c in ("doc_key", "uid", "ids"))], names=["shard", "doc_key", "uid", "ids"])
 
 
 def _separator(value: int, width: int) -> str:
@@ -77,80 +82,106 @@ def _separator(value: int, width: int) -> str:
     return value.to_bytes(width, "little").decode("latin-1")
 
 
-def write_tokens(spark: SparkSession, docs: DataFrame, path: str, end_id: int, folder: str, shard_text_bytes: int = SHARD_TEXT_BYTES) -> dict:
-    """Encodes the documents and writes the format; returns its width, end id and shard count."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = int(min(MAX_SHARDS, 1 + size // shard_text_bytes))
-    cuts = [k / shards for k in range(1, shards)]
-    found = rows.agg(F.percentile_approx("doc_id", F.array(*map(F.lit, cuts)), 100 * shards)).first()[0] if cuts else None
-    bounds = np.unique(np.array(found or [], np.int64))
+def write_tokens(spark: SparkSession, docs: DataFrame, path: str, end_id: int, folder: str, shard_tokens: int = SHARD_TOKENS) -> dict:
+    """Encodes the documents and writes the format; returns its folder, width and end id."""
+    id_ = F.col("doc_id").cast("bigint")
+    rows = docs.select(F.coalesce(id_, F.lit(-(1 << 63))).alias("doc_key"), id_.alias("doc_id"), F.monotonically_increasing_id().alias("uid"), "text")
     width = encoder(path).width
-    schema = "shard int, doc_id bigint, uid bigint, n bigint, ids binary"
-    rows.withColumn("uid", F.monotonically_increasing_id()).mapInArrow(lambda it: _encode(it, path, end_id, bounds), schema).write.options(compression="zstd", **{"parquet.compression.codec.zstd.level": "6"}).parquet(f"{folder}/encoded")
-    encoded = spark.read.schema(schema).parquet(f"{folder}/encoded")
+    rows.mapInArrow(lambda it: _encode(it, path, end_id), ENCODED).write.options(compression="zstd", **{"parquet.compression.codec.zstd.level": "6"}).parquet(f"{folder}/encoded")
+    encoded = spark.read.schema(ENCODED).parquet(f"{folder}/encoded")
+
+    with shuffles_dropped(spark):
+        # Sorted once and written, as a second sort might deal its ranges otherwise.
+        encoded.drop("ids").orderBy("doc_key", "uid").withColumn("m", F.monotonically_increasing_id()).write.parquet(f"{folder}/sorted")
+        placed = spark.read.parquet(f"{folder}/sorted").withColumn("part", F.shiftright("m", 33))
+        # One row for each range.
+        totals = placed.groupBy("part").agg(F.sum("n").alias("total"))
+        base = totals.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("base"))
+        before = F.sum("n").over(Window.partitionBy("part").orderBy("m").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+        every = totals.agg(F.sum("total")).first()[0] or 0
+        each = max(shard_tokens, -(-every // MOST_SHARDS))
+        placed = placed.withColumn("before", before).join(F.broadcast(base), "part").withColumn("start", F.col("base") + F.col("before"))
+        placed.select((F.col("start") / each).cast("int").alias("shard"), "doc_key", "uid", "doc_id", "start").write.parquet(f"{folder}/starts")
+        starts = spark.read.schema("shard int, doc_key bigint, uid bigint, doc_id bigint, start bigint").parquet(f"{folder}/starts")
+        # Shards that begin inside a long document have no rows; the others are numbered as they come. At most MOST_SHARDS rows.
+        shards = sorted((r["f"]["doc_key"], r["f"]["uid"]) for r in starts.groupBy("shard").agg(F.min(F.struct("doc_key", "uid")).alias("f")).collect())
+        first = np.array(shards, np.int64).reshape(-1, 2).T.copy()
 
-    with _shuffles_dropped(spark):
-        order = [F.col("doc_id").asc_nulls_first(), F.col("uid").asc()]
         flat = {"encoding": "ISO-8859-1"}
+        dealt = encoded.select("doc_key", "uid", "ids").mapInArrow(lambda it: _dealt(it, first), "shard int, doc_key bigint, uid bigint, ids binary")
         for r in range(ROUNDS):
-            by_shard = encoded.where(F.col("shard") % ROUNDS == r).repartition(max(1, (len(bounds) + ROUNDS) // ROUNDS), "shard").sortWithinPartitions(F.col("shard"), *order)
+            by_shard = dealt.where(F.col("shard") % ROUNDS == r).repartition(max(1, (len(shards) + ROUNDS - 1) // ROUNDS), "shard").sortWithinPartitions("shard", "doc_key", "uid")
             by_shard.select(F.col("ids").cast("string").alias("value"), "shard").write.mode("append").partitionBy("shard").options(**flat, lineSep=_separator(end_id, width)).text(f"{folder}/tokens")
 
-        totals = encoded.groupBy("shard").agg(F.sum("n").alias("total"))
-        # One row for each shard: a bounded table.
-        base = totals.select("shard", (F.sum("total").over(Window.orderBy("shard")) - F.col("total")).alias("base"))
-        along = Window.partitionBy("shard").orderBy(*order)
-        before = F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
-        index = encoded.select("shard", "doc_id", "uid", "n").join(base, "shard").select("shard", "doc_id", (F.row_number().over(along) - 1).alias("pos"), (F.col("base") + before).alias("start"))
-        index.select("shard", "pos", "doc_id", "start").write.parquet(f"{folder}/index")
-        index = spark.read.schema("shard int, pos int, doc_id bigint, start bigint").parquet(f"{folder}/index")
+        numbered = starts.withColumn("ids", F.lit(None).cast("binary")).select("doc_key", "uid", "ids").mapInArrow(lambda it: _dealt(it, first), "shard int, doc_key bigint, uid bigint, ids binary").select("shard", "uid")
+        index = starts.drop("shard").join(numbered, "uid")
+        along = Window.partitionBy("shard").orderBy("start")
+        index.select("shard", (F.row_number().over(along) - 1).cast("bigint").alias("pos"), "doc_id", "start").write.parquet(f"{folder}/index")
+        index = spark.read.schema(INDEX).parquet(f"{folder}/index")
         hexed = F.lpad(F.hex("start"), 16, "0")
         low = F.unhex(F.concat(*(F.substring(hexed, 15 - 2 * k, 2) for k in range(7))))
-        index.repartition(max(1, len(bounds) + 1), "shard").sortWithinPartitions("shard", "pos").select(low.cast("string").alias("value"), "shard").write.partitionBy("shard").options(**flat, lineSep="\0").text(f"{folder}/offsets")
-    _delete(spark, f"{folder}/encoded")
-    return {"folder": folder, "width": width, "end_id": end_id, "shards": len(bounds) + 1}
+        index.repartition(max(1, len(shards)), "shard").sortWithinPartitions("shard", "pos").select(low.cast("string").alias("value"), "shard").write.partitionBy("shard").options(**flat, lineSep="\0").text(f"{folder}/offsets")
+    for made in ("encoded", "sorted", "starts"):
+        delete(spark, f"{folder}/{made}")
+    return {"folder": folder, "width": width, "end_id": end_id, "shards": len(shards)}
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+def document(ids: np.ndarray, offsets: np.ndarray, k: int) -> np.ndarray:
+    """The ids of the k-th document of a shard, with its end id."""
+    end = int(offsets[k + 1]) if k + 1 < len(offsets) else int(offsets[0]) + len(ids)
+    return ids[int(offsets[k]) - int(offsets[0]) : end - int(offsets[0])]
 
 
-def _files(spark: SparkSession, folder: str, kind: str) -> DataFrame:
-    """(shard, content) of one kind of flat file."""
-    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{folder}/{kind}")
-    return read.where("length > 0").select(F.regexp_extract("path", r"shard=(\d+)", 1).cast("int").alias("shard"), "content")
+def mapped(tokens_file: str, offsets_file: str, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, offsets) of one shard, memory-mapped."""
+    return np.memmap(tokens_file, f"<u{width}", "r"), np.memmap(offsets_file, "<i8", "r")
 
 
-def documents(ids: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
-    """The ids of each document of a shard, with its end id."""
-    for a, b in zip(offsets, np.append(offsets[1:], offsets[0] + len(ids)) if len(offsets) else offsets, strict=True):
-        yield ids[int(a - offsets[0]) : int(b - offsets[0])]
+READ = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
 
-def _read_shard(files: pa.Table, index: pa.Table, width: int) -> pa.Table:
-    ids = np.frombuffer(files.column("ids")[0].as_py(), "<u2" if width == 2 else "<u4")
-    offsets = np.frombuffer(files.column("offsets")[0].as_py(), "<i8")
-    index = index.sort_by("pos")
-    found = [(len(x), zlib.crc32(x.astype("<u4").tobytes())) for x in documents(ids, offsets)]
-    return pa.table({"doc_id": index.column("doc_id"), "start": pa.array(offsets), "n_tokens": pa.array([n for n, _ in found], pa.int64()), "ids_crc32": pa.array([c for _, c in found], pa.int64())})
+def _facts(doc_id: pa.Array, pos: np.ndarray, ids: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
+    found = [document(ids, offsets, k) for k in pos.tolist()]
+    return pa.RecordBatch.from_arrays([doc_id, pa.array(np.asarray(offsets[pos], np.int64)), pa.array([len(x) for x in found], pa.int64()), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in found], pa.int64())], names=[c.split()[0] for c in READ.split(", ")])
 
 
-def read_back(spark: SparkSession, made: dict) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document, from the files alone."""
-    folder, width = made["folder"], made["width"]
-    result = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
-    index = spark.read.schema("shard int, pos int, doc_id bigint, start bigint").parquet(f"{folder}/index")
-    if index.isEmpty():
-        return spark.createDataFrame([], result)
-    files = _files(spark, folder, "tokens").withColumnRenamed("content", "ids").join(_files(spark, folder, "offsets").withColumnRenamed("content", "offsets"), "shard")
-    return files.groupBy("shard").cogroup(index.select("shard", "pos", "doc_id").groupBy("shard")).applyInArrow(lambda a, b: _read_shard(a, b, width), result)
+def _read_mapped(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        shard, pos = np.asarray(batch.column("shard")), np.asarray(batch.column("pos"))
+        order = np.argsort(shard, kind="stable")
+        cut = np.flatnonzero(np.concatenate([[True], np.diff(shard[order]) != 0])) if len(order) else np.zeros(0, int)
+        for a, b in zip(cut, np.append(cut[1:], len(order)), strict=True):
+            some = order[a:b]
+            files = mapped(batch.column("tokens")[some[0]].as_py(), batch.column("offsets")[some[0]].as_py(), width)
+            yield _facts(batch.column("doc_id").take(pa.array(some)), pos[some], *files)
 
 
-def read_document(tokens_file: str, offsets_file: str, k: int, width: int = 2) -> np.ndarray:
-    """The k-th document of a shard on a local file system, memory-mapped."""
-    ids = np.memmap(tokens_file, "<u2" if width == 2 else "<u4", "r")
-    offsets = np.memmap(offsets_file, "<i8", "r")
-    end = offsets[k + 1] if k + 1 < len(offsets) else offsets[0] + len(ids)
-    return np.asarray(ids[int(offsets[k] - offsets[0]) : int(end - offsets[0])])
+def _read_whole(files: pa.Table, index: pa.Table, width: int) -> pa.Table:
+    ids, offsets = np.frombuffer(files.column("ids")[0].as_buffer(), f"<u{width}"), np.frombuffer(files.column("starts")[0].as_buffer(), "<i8")
+    return pa.Table.from_batches([_facts(index.column("doc_id").combine_chunks(), index.column("pos").to_numpy(), ids, offsets)])
+
+
+def _files(spark: SparkSession, folder: str, kind: str) -> DataFrame:
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{folder}/{kind}")
+    return read.where("length > 0").select(F.regexp_extract("path", r"shard=(\d+)", 1).cast("int").alias("shard"), F.col("path").alias(kind), F.col("content").alias({"tokens": "ids", "offsets": "starts"}[kind]))
+
+
+def read_back(spark: SparkSession, made: dict, mounted: bool | None = None) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of every document, from the files alone.
+
+    ``mounted`` says whether the machines can open the folder's files; by
+    default its address decides.
+    """
+    folder, width = made["folder"], made["width"]
+    index = spark.read.schema(INDEX).parquet(f"{folder}/index")
+    if index.isEmpty():
+        return spark.createDataFrame([], READ)
+    tokens, offsets = _files(spark, folder, "tokens"), _files(spark, folder, "offsets")
+    if folder.startswith(("file:", "/")) if mounted is None else mounted:
+        local = lambda c: F.regexp_replace(c, "^file:/*", "/")
+        # Addresses only, one row for each shard.
+        files = tokens.select("shard", local("tokens").alias("tokens")).join(offsets.select("shard", local("offsets").alias("offsets")), "shard")
+        rows = index.select("shard", "pos", "doc_id").join(F.broadcast(files), "shard")
+        return rows.mapInArrow(lambda it: _read_mapped(it, width), READ)
+    files = tokens.select("shard", "ids").join(offsets.select("shard", "starts"), "shard")
+    return files.groupBy("shard").cogroup(index.select("shard", "pos", "doc_id").groupBy("shard")).applyInArrow(lambda a, b: _read_whole(a, b, width), READ)

@@ -224,15 +224,34 @@ def library_ids(name, texts, end):
     return [np.array([*e.ids, end], "<u4") for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("mounted", [True, False])
 @pytest.mark.parametrize("which", ["docs", "odd"])
-def test_token_files(spark, request, which):
+def test_token_files(spark, request, which, mounted):
     df = request.getfixturevalue(which).where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    made = token_files.write_tokens(spark, df, public_tokenizers.path("byte_bpe_50k.json"), 0, shared_dir(spark), 1 << 16)
+    made = token_files.write_tokens(spark, df, public_tokenizers.path("byte_bpe_50k.json"), 0, shared_dir(spark), 1 << 13)
     rows, at, expected = sorted(pairs(df)), 0, []
     for (i, _), ids in zip(rows, library_ids("byte_bpe_50k.json", [t for _, t in rows], 0), strict=True):
         expected.append((i, at, len(ids), zlib.crc32(ids.tobytes())))
         at += len(ids)
-    assert sorted(map(tuple, token_files.read_back(spark, made).collect())) == expected
+    assert made["shards"] >= 2
+    assert sorted(map(tuple, token_files.read_back(spark, made, mounted).collect())) == expected
+
+
+def test_token_files_of_equal_ids(spark):
+    """Rows of one doc_id, or of none, are cut into shards as well."""
+    import glob
+    import os
+
+    rows = [(7, f"some words here {k} " * 40) for k in range(60)] + [(None, "no id " * k) for k in range(20)] + [(9, None), (8, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    made = token_files.write_tokens(spark, df, public_tokenizers.path("byte_bpe_50k.json"), 0, shared_dir(spark), 1 << 10)
+    got = token_files.read_back(spark, made).orderBy("start").collect()
+    assert collections.Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) == collections.Counter((i, len(x), zlib.crc32(x.tobytes())) for (i, _), x in zip(rows, library_ids("byte_bpe_50k.json", [t for _, t in rows], 0), strict=True))
+    assert [r.start for r in got] == [sum(r.n_tokens for r in got[:k]) for k in range(len(got))]
+    assert [r.doc_id for r in got] == sorted((i for i, _ in rows), key=lambda i: -1 if i is None else i)
+    sizes = [os.path.getsize(f) for f in glob.glob(made["folder"].removeprefix("file:") + "/tokens/shard=*/*.txt")]
+    longest = max(r.n_tokens for r in got)
+    assert made["shards"] == len(sizes) > 5 and max(sizes) <= 2 * ((1 << 10) + longest)
 
 
 def test_token_files_empty(spark):
