@@ -22,7 +22,8 @@ do not join them already, are entered once more, under their rarest shingles by
 exact counts among themselves. So a passage that many documents share brings
 two of them together only where nearly all of their text is as common as that.
 Under shingles that are crowded even then, nodes are compared with some
-``PIVOTS`` of them first, and what is still not joined with all.
+``PIVOTS`` of them first, with more in a second round, and what is still not
+joined with all.
 
 Defined results: texts that are null or have no word are equal to each other;
 a text with fewer words than a shingle has one shingle, its whole word
@@ -52,10 +53,10 @@ from .simhash import links as simhash_links
 SHINGLE = 5
 SIMILARITY = 0.8
 CROWD = 48
-#: About so many nodes of a crowded shingle are compared with all others before it lists its pairs.
-PIVOTS = 16
+#: About so many nodes of a crowded shingle are compared with all others, round by round, before it lists its pairs.
+PIVOTS = (4, 64)
 #: Sampled documents, and how many of them make a shingle common.
-SAMPLE, COMMON = 5_000, 5
+SAMPLE, COMMON = 20_000, 4
 
 _PAIR = "a bigint, b bigint"
 
@@ -213,10 +214,14 @@ def components(spark: SparkSession, docs: DataFrame, shingle: int, similarity: f
         return prints, label
     placed = scratch.written(_shared(_rarest(some, prints, docs, shingle, share, common)), "placed_again")
     few, many = _grouped(placed.where(F.col("size") <= crowd), label), placed.where(F.col("size") > crowd)
-    left = _open(many, label)
-    pivot = left.where(F.pmod(F.xxhash64("node"), "size") < PIVOTS)
-    links = links.unionByName(verified(_joined(few, few, share).unionByName(_joined(left, pivot, share)), "again"))
-    label = _labels(scratch, links, "again")
+    pairs = _joined(few, few, share)
+    for k, pivots in enumerate(PIVOTS):
+        left = scratch.written(_open(many, label), f"left{k}")
+        if k and left.isEmpty():
+            return prints, label
+        some = _joined(left, left.where(F.pmod(F.xxhash64("node"), "size") < pivots), share)
+        links = links.unionByName(verified(some if k else pairs.unionByName(some), f"again{k}"))
+        label = _labels(scratch, links, f"again{k}")
     left = scratch.written(_open(many, label), "left")
     if left.isEmpty():
         return prints, label
