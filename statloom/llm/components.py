@@ -1,16 +1,21 @@
 """Connected components by alternating large-star and small-star rounds.
 
-Every round is a grouped minimum and a join on (node, neighbour) rows, so a
-hub's neighbours are never gathered in one place. Rounds are cut with
-checkpoint(), and the number of rounds grows with the logarithm of the longest
-chain.
+Every round is a grouped minimum and a join on (node, neighbour) rows. A hub's
+rows meet its one minimum in the join and are streamed there, or are split by
+adaptive execution; no task holds them. Rounds are cut by a table written to the
+scratch folder, which also gives their shuffle files back, and the number of
+rounds grows with the logarithm of the longest chain.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import Scratch, delete
+
 
 def _star(pairs: DataFrame, larger: bool) -> DataFrame:
     """Ties each node's larger (or smaller and own) neighbours to its least neighbour."""
@@ -27,12 +32,15 @@ def _star(pairs: DataFrame, larger: bool) -> DataFrame:
     return out.where("a != b").distinct()
 
 
-def connected_components(spark: SparkSession, links: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(spark: SparkSession, links: DataFrame, max_rounds: int = 60, scratch: Scratch | None = None) -> DataFrame:
     """(node, component) for every node of ``links`` (columns a, b); component is the least node of it."""
-    pairs = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct().checkpoint()
-    before = None
-    for _ in range(max_rounds):
-        pairs = _star(_star(pairs, True), False).checkpoint()
+    pairs = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
+    scratch, run, before = scratch or Scratch(spark), uuid.uuid4().hex, None
+    pairs = scratch.written(pairs, f"{run}/links")
+    for k in range(max_rounds):
+        pairs = scratch.written(_star(_star(pairs, True), False), f"{run}/round{k}")
+        if k:
+            delete(spark, f"{scratch.path}/{run}/round{k - 1}")
         state = pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             break

@@ -181,7 +181,7 @@ def _verified(scratch: Scratch, pairs: DataFrame, prints: DataFrame, docs: DataF
 
 
 def _labels(scratch: Scratch, links: DataFrame, name: str) -> DataFrame:
-    return scratch.written(connected_components(scratch.spark, links), f"{name}_labels")
+    return scratch.written(connected_components(scratch.spark, links, scratch=scratch), f"{name}_labels")
 
 
 def _close(spark: SparkSession, prints: DataFrame, crowd: int) -> DataFrame:

@@ -158,7 +158,7 @@ def components(spark: SparkSession, docs: DataFrame, shingle: int, crowd: int, s
     """(doc_id, fp, component_id): the least doc_id that links reach."""
     prints = scratch.written(with_fingerprints(docs, shingle), "prints")
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least")).where("least IS NOT NULL")
-    found = connected_components(spark, links(spark, nodes, crowd))
+    found = connected_components(spark, links(spark, nodes, crowd), scratch=scratch)
     named = nodes.join(found, nodes.fp == found.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("group"))
     group = named.groupBy("group").agg(F.min("least").alias("component_id"))
     label = named.join(group, "group").select("fp", "component_id")
