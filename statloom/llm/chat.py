@@ -15,7 +15,8 @@ examples out.
 Defined results: turns are ordered by turn, then role and text, nulls first;
 null roles and texts are empty; a conversation without assistant turns has
 turns but no examples; rows with a null conv_id are one conversation; other
-columns are ignored. The digest of a conversation needs its turns in one row;
+columns are ignored, whatever their names; an empty table gives no rows. Reading
+back fails if the context of an example is not all turns before it. The digest of a conversation needs its turns in one row;
 formatting alone does not.
 """
 
@@ -82,12 +83,15 @@ def _joined(pieces: Column) -> Column:
 def read_back(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of each conversation, from the written files alone."""
     turns, examples = spark.read.parquet(f"{folder}/turns").alias("t"), spark.read.parquet(f"{folder}/examples").alias("e")
+    along = Window.partitionBy("conv_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    turns = turns.withColumn("ahead", F.sum(F.length("formatted").cast("bigint")).over(along) - F.length("formatted")).alias("t")
     rows = turns.join(examples, F.expr("t.conv_id <=> e.conv_id AND t.pos = e.example"), "left")
     parts = F.split("formatted", r"<\|(?:role|text|end)\|>")
     masked = F.substring(F.col("formatted"), F.col("mask_start") - F.col("start") + 1, F.col("mask_end") - F.col("mask_start"))
     rows = rows.select(
         "t.conv_id", "pos", "formatted", F.concat(unescape(F.get(parts, F.lit(1))), F.lit("\n"), unescape(F.get(parts, F.lit(2))), F.lit("\n")).alias("turn_text"),
-        F.when(F.col("mask_start").isNotNull(), unescape(masked)).alias("lost"),
+        # An example's context is all text before its turn, no more and no less.
+        F.when(F.col("context_end") != F.col("ahead"), F.raise_error(F.lit("an example's context is not the turns before it"))).when(F.col("mask_start").isNotNull(), unescape(masked)).alias("lost"),
     )
     found = rows.groupBy("conv_id").agg(
         F.count("*").alias("n_turns"),
