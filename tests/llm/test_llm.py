@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -178,11 +179,70 @@ def test_language(spark, docs, odd):
     assert {r.lang_pred for r in language_id.identify(odd.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
-def test_language_sum_is_bundle():
-    buf, off = np.frombuffer("ab c".encode(), np.uint8), np.array([0, 4])
-    code, doc, letters = language_id.trigrams(buf, off)
-    bound = [sum(np.roll(language_id.letter_vector(ord(x)), 2) * np.roll(language_id.letter_vector(ord(y)), 1) * language_id.letter_vector(ord(z)) for x, y, z in zip(" ab c", "ab c ", "b c  ", strict=False))]
-    assert np.array_equal(language_id.trigram_vectors(code[:4]).sum(axis=0), language_id.trigram_vectors(np.sort(code[:4])).sum(axis=0)) and letters[0] == 3 and len(bound) == 1
+def brute_grams(text):
+    low = [unicodedata.normalize("NFD", c.lower())[0] if len(c.lower()) > 1 else c.lower() for c in text]
+    line = re.sub(" +", " ", " " + "".join(x if c.isalpha() else " " for c, x in zip(text, low, strict=True)) + " ")
+    return collections.Counter(line[k : k + 3] for k in range(len(line) - 2))
+
+
+def test_language_against_brute_force(spark, docs):
+    """Every prediction, from letters bound and bundled one trigram at a time."""
+    vectors = {}
+
+    def bundle(grams):
+        total = np.zeros(language_id.DIM)
+        for g, n in grams.items():
+            if g not in vectors:
+                x, y, z = (language_id.letter_vector(ord(c)) for c in g)
+                vectors[g] = (np.roll(x, 2) * np.roll(y, 1) * z).astype(np.float64)
+            total += n * vectors[g]
+        return total / max(np.linalg.norm(total), 1e-12)
+
+    rows = docs.select("doc_id", "text", "lang").collect()
+    learned = collections.defaultdict(collections.Counter)
+    for r in rows:
+        if zlib.crc32(str(r.doc_id).encode()) % 4 != 2 and r.lang is not None and r.text is not None:
+            learned[r.lang].update(brute_grams(r.text))
+    langs = sorted(learned)
+    prototypes = np.array([bundle(learned[n]) for n in langs])
+    centre = prototypes.mean(axis=0)
+    cosine = lambda x, y: (x @ y) / (np.linalg.norm(x) * np.linalg.norm(y))
+    got = {r.doc_id: r for r in language_id.identify(docs).collect()}
+    for r in rows:
+        if not any(c.isalpha() for c in r.text or ""):
+            assert got[r.doc_id].lang_pred == "und"
+            continue
+        near = sorted(((cosine(bundle(brute_grams(r.text)) - centre, p - centre), n) for n, p in zip(langs, prototypes, strict=True)), reverse=True)
+        # Arithmetic of 32 bits may turn near-ties round.
+        assert got[r.doc_id].lang_pred in {n for c, n in near if near[0][0] - c < 1e-4}
+
+
+def test_sites_against_brute_force(spark, docs):
+    """Posteriors of every document from its own evidence and its site's, host and path counted one by one."""
+    labels = table(spark, SF, "labels")
+    rows = docs.withColumn("source", F.when(F.col("doc_id") % 7 != 0, F.col("source"))).cache()
+    model = site_quality.fit(rows, labels)
+    held = rows.select(F.col("doc_id"), F.coalesce("source", F.lit("")).alias("host"), F.coalesce("lang", F.lit("")).alias("path"), "text").toArrow()
+    seen = [r for b in site_quality._evidence(iter(held.to_batches()), model, ["doc_id", "host", "path"]) for r in b.to_pylist()]
+    chance = lambda x: 1 / (1 + np.exp(-x))
+    odds = lambda p: np.log((p := min(max(p, 1e-4), 1 - 1e-4)) / (1 - p))
+    want = {}
+    for c in "qt":
+        hosts, paths = collections.defaultdict(list), collections.defaultdict(list)
+        for r in seen:
+            hosts[r["host"]].append(chance(r[c]))
+            paths[r["host"], r["path"]].append(chance(r[c]))
+        mean = sum(map(sum, hosts.values())) / len(seen)
+        spread = max(np.var([np.mean(x) for x in hosts.values()]) - mean * (1 - mean) * np.mean([1 / len(x) for x in hosts.values()]), 1e-6)
+        strength = min(max(mean * (1 - mean) / spread - 1, 1.0), 1e4)
+        for r in seen:
+            h, p = hosts[r["host"]], paths[r["host"], r["path"]]
+            host = (sum(h) + strength * mean) / (len(h) + strength)
+            path = (sum(p) + strength * host) / (len(p) + strength)
+            want[r["doc_id"], c] = chance(r[c] + odds(path) - odds(mean))
+    for r in site_quality.classify(spark, rows, labels).collect():
+        assert abs(r.quality_prob - want[r.doc_id, "q"]) < 1e-6 and abs(r.toxic_prob - want[r.doc_id, "t"]) < 1e-6
+        assert r.toxic == (want[r.doc_id, "t"] >= 0.5) and r.kept == (want[r.doc_id, "q"] >= 0.5 and want[r.doc_id, "t"] < 0.5)
 
 
 def test_language_learns_every_trigram(spark):
