@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import Scratch, shared_dir, table
-from . import chat, decontaminate, language_id, licenses, packing, quality_rules, simhash, site_quality, sql, suffix_dedup, token_files
+from . import chat, decontaminate, language_id, licenses, packing, prefix_trie, quality_rules, simhash, site_quality, sql, suffix_dedup, token_files
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark)
+    return scratch.kept(prefix_trie.trie(spark, table(spark, sf_dir, "conversations"), scratch), "nodes")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_language_id": op2_language_id,
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_site_quality": op9_site_quality,
     "op10_simhash": op10_simhash,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_chat": chat.ORACLE, "op6_decontaminate": sql.HITS}
+ORACLE_SQL: dict[str, str] = {"op5_chat": chat.ORACLE, "op6_decontaminate": sql.HITS, "op13_prefix_trie": prefix_trie.ORACLE}

@@ -16,3 +16,9 @@ i AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
 """
+
+
+def crc32(text: str) -> str:
+    """The unsigned CRC-32 of an ASCII string, one bit a step."""
+    steps = f"flatten(list_transform(range(1, length({text}) + 1), lambda k: list_concat([ascii({text}[k])], [-1, -1, -1, -1, -1, -1, -1, -1])))"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {steps}), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295)"
