@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import Scratch, shared_dir, table
-from . import chat, decontaminate, language_id, licenses, packing, prefix_trie, quality_rules, simhash, site_quality, sql, suffix_dedup, token_files
+from . import alignment, chat, decontaminate, language_id, licenses, packing, prefix_trie, quality_rules, simhash, site_quality, sql, suffix_dedup, token_files
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), Scratch(spark))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
     return scratch.kept(prefix_trie.trie(spark, table(spark, sf_dir, "conversations"), scratch), "nodes")
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_site_quality": op9_site_quality,
     "op10_simhash": op10_simhash,
+    "op11_alignment": op11_alignment,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
