@@ -122,6 +122,9 @@ def classes(steps: DataFrame, lengths: DataFrame) -> DataFrame:
     return dealt.mapInArrow(_members, "conv_id bigint, length bigint, weight bigint, ends string")
 
 
+LEVEL = "depth bigint, conv_id bigint, parent bigint, n_convs bigint, k bigint, words bigint"
+
+
 def trie(spark: SparkSession, conversations: DataFrame, scratch: Scratch) -> DataFrame:
     """One row per node: conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256."""
     turns = scratch.written(placed_turns(scratch, conversations), "turns")
@@ -131,10 +134,10 @@ def trie(spark: SparkSession, conversations: DataFrame, scratch: Scratch) -> Dat
     # Only the turns that classes walk by; a level's rows lie together in each file.
     walk = scratch.written(steps.join(kinds.select("conv_id"), "conv_id", "left_semi").sortWithinPartitions("depth"), "walk")
 
-    top = kinds.agg(F.min("conv_id").alias("conv_id"), F.sum("weight").alias("n_convs"), F.count("*").alias("k")).where("k > 0")
-    levels = [top.select(F.lit(0).cast("bigint").alias("depth"), "conv_id", F.lit(None).cast("bigint").alias("parent"), "n_convs", "k", F.lit(0).cast("bigint").alias("words"))]
-    levels[0] = scratch.written(levels[0], "level-0")
-    live = [kinds.select("conv_id", "length", "weight", F.lit(0).alias("root")).join(levels[0].where("k > 1").select(F.lit(0).alias("root"), F.col("conv_id").alias("node")), "root").drop("root")]
+    # One row: the root.
+    top = kinds.agg(F.min("conv_id").alias("conv_id"), F.sum("weight").alias("n_convs"), F.count("*").alias("k")).first()
+    levels = [spark.createDataFrame([(0, top["conv_id"], None, top["n_convs"], top["k"], 0)] if top["k"] else [], LEVEL)]
+    live = [kinds.select("conv_id", "length", "weight", F.lit(top["conv_id"]).cast("bigint").alias("node"))]
     while not levels[-1].where("k > 1").isEmpty():
         d = len(levels)
         onward = live[-1].where(F.col("length") >= d).join(walk.where(F.col("depth") == d).drop("depth"), "conv_id")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import Scratch, shared_dir, table
-from . import alignment, chat, decontaminate, language_id, licenses, packing, prefix_trie, quality_rules, simhash, site_quality, sql, suffix_dedup, token_files
+from . import alignment, chat, decontaminate, language_id, language_model, licenses, packing, prefix_trie, quality_rules, simhash, site_quality, sql, suffix_dedup, token_files
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +58,10 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), Scratch(spark))
 
 
+def op12_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(spark, table(spark, sf_dir, "documents"), Scratch(spark))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
     return scratch.kept(prefix_trie.trie(spark, table(spark, sf_dir, "conversations"), scratch), "nodes")
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_site_quality": op9_site_quality,
     "op10_simhash": op10_simhash,
     "op11_alignment": op11_alignment,
+    "op12_language_model": op12_language_model,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
