@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import store_queries  # noqa: F401  (registers its queries)
 from .driver_queries import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
