@@ -269,12 +269,16 @@ def abbreviation(c: Column) -> Column:
     return F.nullif(F.trim(F.regexp_extract(c, ABBREVIATION, 1)), F.lit(""))
 
 
+# Fixed value: what pages put before the name of a responsible agency.
+AGENCY_PREFIX = r"(?i)^\s*statistikansvarig\s+myndighet\s*:\s*"
+
+
 @F.pandas_udf(T.StringType())
 def norm_agency(s: pd.Series) -> pd.Series:
     """An agency's name without prefix and abbreviation, NFC, case-folded; NULL if nothing is left."""
-    from ..plans.warehouse import norm
-
-    return s.map(lambda x: norm(x) or None, na_action="ignore")
+    bare = s.astype("string").str.normalize("NFC").str.replace(AGENCY_PREFIX, "", regex=True).str.replace(ABBREVIATION, "", regex=True)
+    bare = bare.str.casefold().str.split().str.join(" ")
+    return bare.mask(bare == "").astype("object").where(bare.notna(), None)
 
 
 def slug(c: Column) -> Column:

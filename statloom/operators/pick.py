@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,17 +28,19 @@ def top1_or_null_on_tie(df: DataFrame, part: list[str], score: list[Column], val
     return ranked.groupBy(*part).agg(F.when(one, F.first(value)).alias(value))
 
 
-def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+def numbered(df: DataFrame, order: list[Column], name: str, folder: str | None = None) -> DataFrame:
     """Numbers rows from 1 in order. No task gets more than its range of them.
 
     Rows are sorted by ranges and written to the shared folder once, so that
     the numbers within a range and the counts of the ranges are of one and the
-    same sort; there is one count a range.
+    same sort; there is one count a range. The rows stay in a new folder below
+    ``folder`` (a run's scratch folder, say) for as long as they are used.
     """
     from ..session import shared_dir
 
     spark = df.sparkSession
-    df.orderBy(*order).withColumn("_m", F.monotonically_increasing_id()).write.parquet(path := shared_dir(spark))
+    path = f"{folder}/numbered-{uuid.uuid4().hex}" if folder else shared_dir(spark)
+    df.orderBy(*order).withColumn("_m", F.monotonically_increasing_id()).write.parquet(path)
     rows = spark.read.parquet(path).withColumn("_range", F.shiftright("_m", 33))
     counts = rows.groupBy("_range").agg(F.count("*").alias("_n"))
     before = counts.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))
