@@ -14,16 +14,20 @@ sets, and if these do not rule it out on whole sets:
    follow. So nodes are entered under those shingles only, and nodes of one
    shingle are compared if their sizes and the shingle's places allow it.
 
-The order puts shingles that are common in a sample last and goes by hash value
-otherwise. The sample decides how many pairs are compared, never which are found.
-
-Nodes of a shingle with more than ``CROWD`` of them, as far as verified links
-do not join them already, are entered once more, under their rarest shingles by
-exact counts among themselves. So a passage that many documents share brings
-two of them together only where nearly all of their text is as common as that.
-Under shingles that are crowded even then, nodes are compared with some
-``PIVOTS`` of them first, with more in a second round, and what is still not
-joined with all.
+The order is by the exact number of nodes that have a shingle, rarest first.
+Shingles of one node come before all others and need no entry, so a node whose
+text is a fifth its own is entered nowhere, and a passage that many documents
+share brings two of them together only where nearly all of their text is as
+common as that. Counts are made in shards of hashes: tasks deal packed runs of
+shingles to shards, a shard counts and deals those of two nodes or more to
+shards of nodes, and these cut the prefixes. Shingles of a thousandth of all
+documents or more, as far as a sample shows them, would make a shard hot: they go
+to their nodes directly and come last in the order. The sample decides on routes
+and on how many pairs are compared, never on which are found.
+
+Nodes of a shingle with more than ``CROWD`` entries are compared with some
+``PIVOTS`` of them first, with more in a second round, and with all others
+that are still not joined with them in a third.
 
 Defined results: texts that are null or have no word are equal to each other;
 a text with fewer words than a shingle has one shingle, its whole word
@@ -40,11 +44,11 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import Scratch
-from ._bytes import flat_text, groups
+from ._bytes import flat_text, give_back, groups
 from .components import connected_components
 from .encode import forget
 from .simhash import SEED, bit_majorities, shingle_hashes
@@ -56,7 +60,11 @@ CROWD = 48
 #: About so many nodes of a crowded shingle are compared with all others, round by round, before it lists its pairs.
 PIVOTS = (4, 64)
 #: Sampled documents, and how many of them make a shingle common.
-SAMPLE, COMMON = 20_000, 4
+SAMPLE, COMMON = 20_000, 20
+#: Shingles that a task deals at once, and shingles of a shard.
+FLUSH, SHARD = 2 << 20, 3 << 20
+#: The count that stands for a common shingle's.
+FAR = (1 << 31) - 1
 
 _PAIR = "a bigint, b bigint"
 
@@ -113,25 +121,142 @@ def _common(docs: DataFrame, shingle: int) -> np.ndarray:
     return np.sort(np.asarray(found["shingle"].combine_chunks()).view(np.uint64)) if found.num_rows else np.zeros(0, np.uint64)
 
 
-def _prints(docs: DataFrame, shingle: int, share: Fraction, common: np.ndarray) -> DataFrame:
-    """(doc_id, digest, node, fp, n, first, sketch); the last two are null where the task has entered the node already."""
+def _prints(docs: DataFrame, shingle: int, common: np.ndarray) -> DataFrame:
+    """(doc_id, digest, node, fp, n, sketch); the last is null where the task has had the node already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         forget()
         for batch in batches:
-            node, fp, n, first, sketch = [], [], [], [], []
+            node, fp, n, sketch = [], [], [], []
             for name, own, bits in _documents(batch, shingle, common, prints=True):
                 node.append(name)
                 fp.append(bits)
                 n.append(len(own))
-                first.append(None if name in seen else own[: len(own) - -(-len(own) * share.numerator // share.denominator) + 1].view(np.int64) if len(own) else [])
                 sketch.append(None if name in seen else _sketch(own))
                 seen.add(name)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), pa.array(node, pa.int64()), pa.array(fp, pa.int64()), pa.array(n, pa.int64()), pa.array(first, pa.list_(pa.int64())), pa.array(sketch, pa.binary())], names=["doc_id", "digest", "node", "fp", "n", "first", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), pa.array(node, pa.int64()), pa.array(fp, pa.int64()), pa.array(n, pa.int64()), pa.array(sketch, pa.binary())], names=["doc_id", "digest", "node", "fp", "n", "sketch"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), digest().alias("digest"), "text")
-    return rows.mapInArrow(run, "doc_id bigint, digest string, node bigint, fp bigint, n bigint, first array<bigint>, sketch binary")
+    return rows.mapInArrow(run, "doc_id bigint, digest string, node bigint, fp bigint, n bigint, sketch binary")
+
+
+# --- prefixes by exact counts -------------------------------------------------------
+
+RUNS = "stage int, shard int, nodes int, data binary"
+_RUNS = (pa.int32(), pa.int32(), pa.int32(), pa.binary())
+
+
+def _place(key: np.ndarray, shards: int) -> np.ndarray:
+    return (((key >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
+
+
+def _packed(stage: int, shard: np.ndarray, node: np.ndarray, size: np.ndarray, value: np.ndarray, df: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows of RUNS from rows of (shard, node, set size, shingle, count) in order of shard and node: nodes, sizes, run lengths, shingles, counts."""
+    if not len(value):
+        return
+    new_shard = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]]))
+    for a, b in zip(new_shard.tolist(), [*new_shard[1:].tolist(), len(shard)], strict=True):
+        own = node[a:b]
+        cut = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        runs = np.diff(np.append(cut, b - a))
+        data = own[cut].astype("<i8").tobytes() + size[a:b][cut].astype("<u4").tobytes() + runs.astype("<u4").tobytes() + value[a:b].astype("<u8").tobytes() + (df[a:b].astype("<u4").tobytes() if stage else b"")
+        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((stage, int(shard[a]), len(cut), data), _RUNS, strict=True)], names=[c.split()[0] for c in RUNS.split(", ")])
+
+
+def _unpacked(table: pa.Table, stage: int) -> list[np.ndarray]:
+    """(node, set size, shingle[, count]) of all rows, end to end."""
+    parts: list[list[np.ndarray]] = [[], [], [], []]
+    for k, data in zip(table.column("nodes").to_pylist(), table.column("data"), strict=True):
+        raw = np.frombuffer(data.as_buffer(), np.uint8)
+        runs = raw[12 * k : 16 * k].view("<u4")
+        m, at = int(runs.sum()), 16 * k
+        parts[0].append(np.repeat(raw[: 8 * k].view("<i8"), runs))
+        parts[1].append(np.repeat(raw[8 * k : 12 * k].view("<u4"), runs))
+        parts[2].append(raw[at : at + 8 * m].view("<u8"))
+        if stage:
+            parts[3].append(raw[at + 8 * m :].view("<u4"))
+    return [np.concatenate(p) for p in parts[: 3 + stage]]
+
+
+def _dealt(batches: Iterator[pa.RecordBatch], shingle: int, common: np.ndarray, shards: int) -> Iterator[pa.RecordBatch]:
+    """Each node's shingles, once a task: common ones for the nodes' shards, all others for the shingles' shards."""
+    seen: set[int] = set()
+    nodes: list[int] = []
+    sets: list[np.ndarray] = []
+
+    def out() -> Iterator[pa.RecordBatch]:
+        if not sets:
+            return
+        size = np.array([len(x) for x in sets], np.int64)
+        value, at = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+        node, late = np.array(nodes, np.int64), np.isin(value, common)
+        for stage, some in ((0, ~late), (1, late)):
+            v, k = value[some], at[some]
+            shard = _place(v if stage == 0 else node.view(np.uint64)[k], shards)
+            order = np.lexsort((k, shard))
+            yield from _packed(stage, shard[order], node[k[order]], size[k[order]], v[order], np.full(len(v), FAR))
+        nodes.clear()
+        sets.clear()
+
+    held = 0
+    for batch in batches:
+        for name, own, _ in _documents(batch, shingle, common):
+            if name not in seen and len(own):
+                seen.add(name)
+                nodes.append(name)
+                sets.append(own)
+                held += len(own)
+            if held > FLUSH:
+                yield from out()
+                held = 0
+    yield from out()
+    give_back()
+
+
+def _counted(table: pa.Table, shards: int) -> pa.Table:
+    """The shingles of one shard that two nodes or more have, with their counts, dealt by node."""
+    node, size, value = _unpacked(table, 0)
+    order = np.lexsort((node, value))
+    node, size, value = node[order], size[order], value[order]
+    new = np.ones(len(value), bool)
+    new[1:] = (value[1:] != value[:-1]) | (node[1:] != node[:-1])  # a node that several tasks have sent
+    node, size, value = node[new], size[new], value[new]
+    cut = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+    df = np.repeat(runs := np.diff(np.append(cut, len(value))), runs)
+    some = df > 1
+    node, size, value, df = node[some], size[some], value[some], df[some]
+    shard = _place(node.view(np.uint64), shards)
+    order = np.lexsort((node, shard))
+    rows = list(_packed(1, shard[order], node[order], size[order], value[order], df[order]))
+    give_back()
+    return pa.Table.from_batches(rows) if rows else pa.table({c.split()[0]: pa.array([], t) for c, t in zip(RUNS.split(", "), _RUNS, strict=True)})
+
+
+def _cut(table: pa.Table, share: Fraction) -> pa.Table:
+    """(shingle, node, n, pos) of the prefixes of one shard's nodes, without shingles of one node."""
+    node, size, value, df = _unpacked(table, 1)
+    order = np.lexsort((value, df, node))
+    node, size, value, df = node[order], size[order].astype(np.int64), value[order], df[order]
+    new = np.ones(len(value), bool)
+    new[1:] = (value[1:] != value[:-1]) | (node[1:] != node[:-1])
+    node, size, value = node[new], size[new], value[new]
+    cut = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]])) if len(node) else np.zeros(0, np.int64)
+    runs = np.diff(np.append(cut, len(node)))
+    # Shingles of one node alone come before all others.
+    pos = np.arange(len(node)) - np.repeat(cut, runs) + size - np.repeat(runs, runs)
+    kept = pos <= size + (-size * share.numerator // share.denominator)
+    return pa.table({"shingle": value[kept].view(np.int64), "node": node[kept], "n": size[kept], "pos": pos[kept]})
+
+
+def _entries(scratch: Scratch, docs: DataFrame, shingle: int, share: Fraction, common: np.ndarray, shingles: int, shard: int) -> DataFrame:
+    """(shingle, node, n, pos) of all nodes' prefixes, in the order of exact counts."""
+    shards = max(1, -(-shingles // shard))
+    dealt = docs.select("text").mapInArrow(lambda it: _dealt(it, shingle, common, shards), RUNS)
+    # Common shingles pass through: they are dealt by node already.
+    counted = dealt.groupBy("stage", "shard").applyInArrow(lambda t: t if t.column("stage")[0].as_py() else _counted(t, shards), RUNS)
+    counted = scratch.written(counted, "counted")
+    return counted.groupBy("shard").applyInArrow(lambda t: _cut(t, share), "shingle bigint, node bigint, n bigint, pos bigint")
 
 
 def _verified(scratch: Scratch, pairs: DataFrame, prints: DataFrame, docs: DataFrame, shingle: int, share: Fraction, common: np.ndarray, name: str) -> DataFrame:
@@ -195,37 +320,25 @@ def _close(spark: SparkSession, prints: DataFrame, crowd: int) -> DataFrame:
     return apart.unionByName(same.toDF("a_node", "b_node")).select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).where("a != b").distinct()
 
 
-def components(spark: SparkSession, docs: DataFrame, shingle: int, similarity: float, crowd: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+def components(spark: SparkSession, docs: DataFrame, shingle: int, similarity: float, crowd: int, scratch: Scratch, shard: int = SHARD) -> tuple[DataFrame, DataFrame]:
     """(prints of all rows, (node, component) of the nodes that have a link)."""
     share = Fraction(str(similarity))
     common = _common(docs, shingle)
-    prints = scratch.written(_prints(docs, shingle, share, common), "prints")
+    prints = scratch.written(_prints(docs, shingle, common), "prints")
     verified = lambda pairs, name: _verified(scratch, pairs.distinct(), prints, docs, shingle, share, common, name)
-    rows = prints.select("node", "n", F.posexplode("first").alias("pos", "shingle")).repartition("shingle").groupBy("shingle", "node", "n").agg(F.min("pos").alias("pos"))
-    placed = scratch.written(_shared(rows), "placed")
-    named = placed.withColumn("group", F.col("node"))
-    few = named.where(F.col("size") <= crowd)
+    total = prints.agg(F.sum("n")).first()[0] or 0
+    placed = scratch.written(_shared(_entries(scratch, docs, shingle, share, common, total, shard)), "placed").withColumn("group", F.col("node"))
+    few, many = placed.where(F.col("size") <= crowd), placed.where(F.col("size") > crowd).drop("group")
     links = verified(_close(spark, prints, crowd).unionByName(_joined(few, few, share)), "few")
     label = _labels(scratch, links, "few")
-
-    # Nodes of crowded shingles that are not joined yet are entered again, in the order of their own shingles' counts.
-    some = scratch.written(_open(placed.where(F.col("size") > crowd).select("shingle", "node"), label).select("node").distinct(), "crowded")
-    if some.isEmpty():
-        return prints, label
-    placed = scratch.written(_shared(_rarest(some, prints, docs, shingle, share, common)), "placed_again")
-    few, many = _grouped(placed.where(F.col("size") <= crowd), label), placed.where(F.col("size") > crowd)
-    pairs = _joined(few, few, share)
-    for k, pivots in enumerate(PIVOTS):
+    for k, pivots in enumerate((*PIVOTS, None)):
         left = scratch.written(_open(many, label), f"left{k}")
-        if k and left.isEmpty():
-            return prints, label
-        some = _joined(left, left.where(F.pmod(F.xxhash64("node"), "size") < pivots), share)
-        links = links.unionByName(verified(some if k else pairs.unionByName(some), f"again{k}"))
+        if left.isEmpty():
+            break
+        some = left if pivots is None else left.where(F.pmod(F.xxhash64("node"), "size") < pivots)
+        links = links.unionByName(verified(_joined(left, some, share), f"again{k}"))
         label = _labels(scratch, links, f"again{k}")
-    left = scratch.written(_open(many, label), "left")
-    if left.isEmpty():
-        return prints, label
-    return prints, _labels(scratch, links.unionByName(verified(_joined(left, left, share), "rest")), "all")
+    return prints, label
 
 
 def _shared(rows: DataFrame) -> DataFrame:
@@ -256,33 +369,9 @@ def _joined(left: DataFrame, right: DataFrame, share: Fraction) -> DataFrame:
     return left.join(other, "shingle").where("group != group_").where(fits).select(F.least("node", "node_").alias("a"), F.greatest("node", "node_").alias("b")).distinct()
 
 
-def _rarest(some: DataFrame, prints: DataFrame, docs: DataFrame, shingle: int, share: Fraction, common: np.ndarray) -> DataFrame:
-    """(shingle, node, n, pos) of the prefixes of these nodes, with the shingles that fewest of them have first.
-
-    A shingle has a row for each node, so none holds more than a small share of the rows.
-    """
-    texts = prints.join(some, "node", "left_semi").groupBy("node").agg(F.min("digest").alias("digest")).select("digest")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            for node, own, _ in _documents(batch, shingle, common):
-                if node not in seen:
-                    seen.add(node)
-                    yield pa.RecordBatch.from_arrays([pa.array([node], pa.int64()), pa.array([own.view(np.int64)], pa.list_(pa.int64()))], names=["node", "own"])
-
-    held = docs.select("text", digest().alias("digest")).join(texts, "digest", "left_semi").select("text").mapInArrow(sets, "node bigint, own array<bigint>")
-    rows = held.groupBy("node").agg(F.first("own").alias("own")).select("node", F.size("own").cast("bigint").alias("n"), F.explode("own").alias("shingle"))
-    rows = rows.withColumn("df", F.count("*").over(Window.partitionBy("shingle"))).where("df > 1")
-    # Shingles of one node alone come before all others.
-    along = Window.partitionBy("node")
-    rows = rows.withColumn("pos", F.col("n") - F.count("*").over(along) + F.row_number().over(along.orderBy("df", "shingle")) - 1)
-    return rows.where(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * share.numerator / share.denominator)).select("shingle", "node", "n", "pos")
-
-
-def keep_first(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, crowd: int = CROWD, scratch: Scratch | None = None) -> DataFrame:
+def keep_first(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, crowd: int = CROWD, scratch: Scratch | None = None, shard: int = SHARD) -> DataFrame:
     """One row of each component. What was written on the way is read when the rows are used: pass a ``scratch`` to drop it after that."""
-    prints, label = components(spark, docs, shingle, similarity, crowd, scratch or Scratch(spark))
+    prints, label = components(spark, docs, shingle, similarity, crowd, scratch or Scratch(spark), shard)
     named = prints.join(label, "node", "left").select("doc_id", "digest", F.coalesce("component", "node").alias("group"))
     chosen = named.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "digest")).alias("row")).select(F.col("row.doc_id").alias("id_"), F.col("row.digest").alias("digest_"))
     copies = prints.groupBy("doc_id", "digest").count().where("count > 1").select(F.col("doc_id").alias("id_"), F.col("digest").alias("digest_"))

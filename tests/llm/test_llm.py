@@ -6,6 +6,7 @@ import random
 import re
 import unicodedata
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -614,8 +615,8 @@ def brute_similar(rows):
     return {find(i) for i in ids}
 
 
-@pytest.mark.parametrize("crowd", [48, 2])
-def test_stage_keeps_one_of_similar(spark, crowd):
+@pytest.mark.parametrize(("crowd", "shard"), [(48, near_copies.SHARD), (2, 500)])
+def test_stage_keeps_one_of_similar(spark, crowd, shard):
     import corpus_pipeline
 
     rnd = random.Random(3)
@@ -635,10 +636,30 @@ def test_stage_keeps_one_of_similar(spark, crowd):
     df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS).repartition(3)
     want = brute_similar(rows)
     assert 5 < len(want) < len(rows) - 20
-    assert sorted(r.doc_id for r in near_copies.keep_first(spark, df, crowd=crowd).collect()) == sorted(want)
+    assert sorted(r.doc_id for r in near_copies.keep_first(spark, df, crowd=crowd, shard=shard).collect()) == sorted(want)
     assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, df, SF).collect()) == sorted(want)
 
 
+@pytest.mark.parametrize("common", [near_copies.COMMON, 2])
+def test_shared_passage_makes_no_pairs(spark, monkeypatch, common):
+    """Half of all documents share a passage: it enters no prefix of texts that are their own for a fifth, and every near copy is found."""
+    monkeypatch.setattr(near_copies, "COMMON", common)
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(3, 7)))
+    passage = " ".join(word() for _ in range(60))
+    texts = [f"{' '.join(word() for _ in range(40))} {passage if k % 2 else ''}" for k in range(400)]
+    # Near copies of ten of them, and texts that are the passage but for a few words.
+    texts += [t.replace(" ", f" {word()} ", 1) for t in texts[:10]] + [f"{word()} {passage} {word()}" for _ in range(8)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], DOCS).repartition(5)
+    assert sorted(r.doc_id for r in near_copies.keep_first(spark, df).collect()) == sorted(brute_similar(list(enumerate(texts))))
+    hashes = near_copies._common(df, 5)
+    assert bool(len(hashes))
+    rows = near_copies._entries(Scratch(spark), df, 5, Fraction(4, 5), hashes, 40_000, near_copies.SHARD).collect()
+    # Without exact counts each document would be entered under a fifth of its shingles, some 6,000 rows.
+    assert len(rows) < 1500 and max(collections.Counter(r.shingle for r in rows).values()) < 40
+    assert near_copies._joined(*2 * [near_copies._shared(spark.createDataFrame(rows)).withColumn("group", F.col("node"))], Fraction(4, 5)).count() < 200
+
+
 def test_stage_keeps_one_row(spark):
     import corpus_pipeline
 
@@ -672,13 +693,36 @@ def test_pipeline(spark, docs):
 
     got = corpus_pipeline.run(spark, SF).collect()
     assert len(corpus_pipeline.STAGES) == 5 and got
-    # Rules, then one of each component, then repeats, then windows, by brute force on what the rules keep.
+    # Rules, then one of each group of near copies, then repeats, then windows, by brute force on what the rules keep.
     kept = {r.doc_id: r.text for r in quality_rules.filter_documents(docs, table(spark, SF, "labels")).collect()}
-    prints = {i: brute_print(t) for i, t in kept.items()}
-    first = sorted(set(brute_components(list(kept), prints).values()))
-    gone = {i: (n, cut) for i, n, cut, _, _ in brute_repeats([(i, kept[i]) for i in first])}
-    left = {i for i in first if gone[i][0] > gone[i][1]}
-    assert {r.doc_id for r in got} <= left and len({r.doc_id for r in got}) > 0.5 * len(left)
+    first = sorted(brute_similar(list(kept.items())))
+    left = brute_left([(i, kept[i]) for i in first])
+    clean = {i for i, text in left.items() if text and not brute_windows(text, [r.text for r in table(spark, SF, "benchmark").collect()])}
+    assert {r.doc_id for r in got} == clean
+
+
+def brute_left(rows, width=100):
+    """The bytes of each document that no earlier place has, where any are left."""
+    seen, out = set(), {}
+    for i, t in rows:
+        data, gone = t.encode(), set()
+        for p in range(len(data) - width + 1):
+            if data[p : p + width] in seen:
+                gone.update(range(p, p + width))
+            seen.add(data[p : p + width])
+        out[i] = bytes(b for k, b in enumerate(data) if k not in gone).decode("utf-8", "ignore")
+    return out
+
+
+def brute_windows(text, items):
+    words = PLAIN.findall(text.translate(UP))
+    for item in items:
+        w = PLAIN.findall((item or "").translate(UP))
+        n = min(10, len(w))
+        windows = {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if n else set()
+        if any(tuple(words[k : k + n]) in windows for k in range(len(words) - n + 1)):
+            return True
+    return False
 
 
 def test_pipeline_packs_ids(spark, docs):
