@@ -1,8 +1,8 @@
 """New capture files, once each, into year partitions.
 
 A stream with an available-now trigger keeps track of the files that were
-read, by name: new captures come in new files. Each micro-batch goes through
-the same plans as a full rebuild.
+read, by name: new captures come in new files (``content`` notices rewritten
+ones). Each micro-batch goes through the same plans as a full rebuild.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from .. import schemas
 from ..plans import calendar
 from ..session import Scratch
 from ..sources.sinks import exists, replace_years
+from .content import _days
 
 
 def refresh_calendar(spark: SparkSession, folder: str, target: str, quarantine: str, checkpoint: str) -> None:
@@ -33,7 +34,8 @@ def refresh_calendar(spark: SparkSession, folder: str, target: str, quarantine:
         if exists(spark, target):
             # Days outside of these ranges, of the years that are written anew.
             old = spark.read.parquet(target).where(F.col("year").between(span[0], span[1]))
-            held = old.join(ranges, F.col("publish_date").between(F.col("from"), F.col("to")), "left_anti")
+            days = _days(ranges).select(F.col("day").alias("publish_date")).distinct()
+            held = old.join(days, "publish_date", "left_anti")
             rows = rows.unionByName(held.select(*rows.columns))
         replace_years(scratch.written(rows, "years"), target, span[0], span[1])
         bad.write.mode("overwrite").json(f"{quarantine}/batch={number}")
