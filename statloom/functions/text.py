@@ -282,7 +282,7 @@ def norm_agency(s: pd.Series) -> pd.Series:
 
 
 def slug(c: Column) -> Column:
-    plain = F.translate(F.lower(F.regexp_replace(c, ABBREVIATION, "")), "åäöéèüáàçñ", "aaoeeuaacn")
+    plain = F.translate(F.lower(F.regexp_replace(c, ABBREVIATION, "")), "åäöéèü", "aaoeeu")
     return F.btrim(F.regexp_replace(plain, r"[^a-z0-9]+", "_"), F.lit("_"))
 
 

@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from statloom.plans import build
+from statloom.plans import build, compact
 from statloom.plans.tables import TABLES
 from statloom.session import Scratch
 from statloom.sources import extractions
@@ -204,3 +204,54 @@ def test_verdicts_at_any_depth(spark):
     texts = spark.createDataFrame([("s", str(k), text) for k, text in enumerate(cases)], "source string, key string, value string")
     held = Scratch(spark).written(extractions.with_models(texts, models), "rows")
     assert {int(r["key"]): r["valid"] for r in extractions.verdicts(held, models).collect()} == dict(enumerate(cases.values()))
+
+
+# --- the nested projection ------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def nested(spark, built):
+    return {n: {r[0]: r.asDict() for r in compact.as_json(df).collect()} for n, df in compact.project(built[2], "2026-05-05").items()}
+
+
+def test_compact_products(nested):
+    a = nested["product"]["AA0101"]
+    assert {k: a[k] for k in ("name", "agency", "subject", "area", "official", "periodicity", "purpose", "summary", "alias_of")} == {
+        "name": "Book A", "agency": "verket_for_matningar", "subject": "AA", "area": "Area 1", "official": 1, "periodicity": "yearly", "purpose": "why", "summary": "s", "alias_of": None}
+    assert json.loads(a["other_names"]) == ["Cal A", "Page A"]
+    # Two of three calendar rows are equal; publishers are named where they are not just the agency itself.
+    release = {"period": "2025", "forms": ["News", "Table"], "by": ["verket_for_matningar", "other_agency"]}
+    assert json.loads(a["publications"]) == [{"date": "2026-01-01", **release}, {"date": "2026-02-02", **release}]
+    kd = {"type": "kvalitetsdeklaration", "year": "2016"}
+    assert json.loads(a["documents"]) == [{"url": "https://a.se/contentassets/aa0101_kd_2019.pdf"}, {"url": "https://metadata.scb.se/x?produkt=BB0202"}, {**kd, "url": "https://a.se/contentassets/x.pdf"}, {**kd, "url": "https://a.se/y.pdf", "candidate": True}]
+    assert json.loads(a["changes"]) == [{"kinds": ["name"], "effective": "2026-01-01", "timing": "planned", "text": "d", "related": ["EE0505"]}]
+    assert json.loads(a["hvd"]) == [{"dataset": "d", "table": "a", "url": "https://a.se/START__AA__AA0101/"}]
+    assert (nested["product"]["CC0303"]["alias_of"], nested["product"]["AA0102"]["alias_of"]) == ("CC0304", "AA0101")
+    assert all(nested["product"]["EE0505"][k] is None for k in ("publications", "documents", "changes", "hvd", "other_names"))
+
+
+def test_compact_agencies_subjects_and_meta(nested):
+    a = nested["agency"]["verket_for_matningar"]
+    assert (a["org_nr"], a["official"], a["european"], a["statistics_url"]) == ("1-2", 1, 0, "u") and json.loads(a["subjects"]) == {"S": ["x", "y"], "T": []}
+    assert nested["subject"]["AA"]["name"] == "Own page" and json.loads(nested["subject"]["AA"]["areas"]) == ["Area 1", "Area 2"] and nested["subject"]["BB"]["areas"] is None
+    meta = {k: json.loads(r["value"]) for k, r in nested["meta"].items()}
+    assert meta["built_at"] == "2026-05-05" and meta["dokumentation_as_of"] is None and meta["calendar_last_completed_run"] == "2026-03-03" and "extractions/products/bad: invalid" in meta["not_fresh"]
+
+
+def test_slugs_never_meet(spark):
+    names = ["Verk", "Verk 2", "Verk (V)", "Ää Öö", "Verk", "Other"]
+    rows = spark.createDataFrame([(k, n) for k, n in enumerate(names, 1)], "agency_id bigint, canonical_name string")
+    assert [r["slug"] for r in compact.agency_slugs(rows).orderBy("agency_id").collect()] == ["verk", "verk_2", "verk_3", "aa_oo", "verk_4", "other"]
+
+
+def test_first_seen_order_and_pruning(spark):
+    rows = [(1, 2, 1, "b", "x"), (1, 1, 1, "z", None), (1, 3, 1, "b", "w"), (1, 3, 2, "a", ""), (1, 2, 2, "b", "y")]
+    df = spark.createDataFrame(rows, "k int, p int, q int, item string, v string").repartition(5)
+    assert compact.first_seen(df, "k", "item", "v", ["p", "q"]).select(F.to_json("items")).first()[0] == '{"z":[],"b":["x","y","w"],"a":[]}'
+    deep = spark.createDataFrame([(1, [("", [], [("", None)], ["", "x"])], {"k": []}), (2, [], {})], "k int, a array<struct<s:string,l:array<int>,d:array<struct<t:string,u:int>>,w:array<string>>>, m map<string,array<int>>")
+    assert [tuple(r)[1:] for r in compact.as_json(deep).orderBy("k").collect()] == [('[{"d":[{}],"w":["","x"]}]', '{"k":[]}'), (None, None)]
+
+
+def test_compact_build_holds_four_tables(spark, data, tmp_path):
+    root = str(tmp_path / "small")
+    counts = compact.build_compact(spark, data, root, f"{data}/sources.json", "2026-05-05")
+    assert counts == {"product": 7, "agency": 4, "subject": 2, "meta": 5} and sorted(os.listdir(tmp_path)) == ["small"]

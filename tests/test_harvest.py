@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from statloom import schemas
 from statloom.functions import text as X
-from statloom.plans import calendar, compact, harvest, warehouse
+from statloom.plans import calendar, harvest, warehouse
 
 INDEX = """<h3 class="h2-small">Labour</h3><h3>Job openings</h3><h4 id="kd">Kvalitetsdeklaration</h4>
 <a href="/f/am0101_kd_2019_2020.pdf">2020</a><a href="/f/kvalitetsdeklaration-jobs_2018.pdf">old</a>
@@ -98,16 +98,6 @@ def test_warehouse(spark, docs, entries):
     claims = warehouse.subject_claims(workbook, linked_cards, docs, subjects)
     assert {r.origin for r in claims.where("product_code = 'AM0101'").collect()} == {"workbook", "subject_page", "harvest"}
 
-    slugs = compact.agency_slugs(linked)
-    names_ = spark.createDataFrame([("AM0101", "Other name", "calendar")], "product_code string, alias string, origin string")
-    flat = compact.compact_product(linked_product, slugs, claims, entries, calendar.publishers(entries), doc_claims, documents, aliases, names_)
-    row = {r.product_code: r for r in flat.collect()}["AM0101"]
-    assert row.subject_code == "AM" and len(row.releases) == 1 and row.releases[0].by == ["A agency (AA)", "Other"] and len(row.documents) == 3 and row.agency == "a_agency"
-    assert {r.product_code: r for r in flat.collect()}["UF0101"].documents[0].candidate is True
-    text = {r.product_code: r.body for r in compact.as_json(flat, ["product_code"]).collect()}
-    assert '"periodicity":"Yearly"' in text["AM0101"] and "periodicity" not in text["UF0101"]
-    assert compact.compact_subject(subjects, claims).first().areas and compact.compact_agency(slugs, alias, linked_product).count() == 5
-
 
 @pytest.mark.parametrize(("url", "texts", "code", "year"), [
     ("https://x.se/AM0101_2019_2021.pdf", ["BE0101 2001"], "AM0101", "2021"), ("https://x.se/a.pdf", ["am0101 och be0101", "uf0101"], None, None),
