@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,23 +54,52 @@ def cluster_lines(words: DataFrame, part: list[str], starts: list[float], tolera
     """Words (text, x0, top) of a page as lines of cells.
 
     A word joins a line if its top is within ``tolerance`` of the line's first
-    word, so the fold is sequential and runs per page; a page is bounded. A
-    word's column is the last start not right of it.
+    word, so lines depend on the ones before them. Pages are dealt to tasks and
+    sorted there, and a task folds its words as they stream by: what it holds is
+    the line that is open, so a page may have any number of words. A word's
+    column is the last start not right of it; words without a place are in no line.
     """
     names = [f"cell_{k}" for k in range(len(starts))]
-    schema = ", ".join([f"{c} {words.schema[c].dataType.simpleString()}" for c in part] + ["line_no bigint", "top double"] + [f"{n} string" for n in names])
-
-    def lines(page: pd.DataFrame) -> pd.DataFrame:
-        rows, first = [], None
-        for w in page.sort_values(["top", "x0"]).itertuples():
-            if first is None or abs(w.top - first) > tolerance:
-                first = w.top
-                rows.append([first, [[] for _ in starts]])
-            at = max((k for k, s in enumerate(starts) if s <= w.x0), default=0)
-            rows[-1][1][at].append((w.x0, w.text))
-        out = [{**{c: page[c].iloc[0] for c in part}, "line_no": k, "top": top, **{n: " ".join(t for _, t in sorted(cell)) for n, cell in zip(names, cells, strict=True)}} for k, (top, cells) in enumerate(rows)]
-        return pd.DataFrame(out, columns=[*part, "line_no", "top", *names])
-
-    return words.groupBy(*part).applyInPandas(lines, schema)
-
-
+    kinds = [words.schema[c].dataType.simpleString() for c in part]
+    schema = ", ".join([f"{c} {t}" for c, t in zip(part, kinds, strict=True)] + ["line_no bigint", "top double"] + [f"{n} string" for n in names])
+    rows = words.where("top IS NOT NULL AND x0 IS NOT NULL").select(*part, F.col("top").cast("double").alias("top"), F.col("x0").cast("double").alias("x0"), "text")
+    dealt = rows.repartition(*part).sortWithinPartitions(*part, "top", "x0", "text")
+    edges = np.sort(np.array(starts))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        page, number, first, held = None, 0, 0.0, []
+
+        def line() -> tuple:
+            cells: list[list[str]] = [[] for _ in starts]
+            for x, text in sorted(held, key=lambda w: w[0]):
+                cells[max(int(np.searchsorted(edges, x, "right")) - 1, 0)].append(text or "")
+            return *page, number, first, *(" ".join(c) for c in cells)
+
+        for batch in batches:
+            out = []
+            keys = list(zip(*(batch.column(c).to_pylist() for c in part), strict=True)) if part else [()] * batch.num_rows
+            tops, places, texts = np.asarray(batch.column("top")), batch.column("x0").to_pylist(), batch.column("text").to_pylist()
+            at = 0
+            while at < len(tops):
+                if keys[at] != page or tops[at] - first > tolerance:
+                    if page is not None:
+                        out.append(line())
+                    number = number + 1 if keys[at] == page else 0
+                    page, first, held = keys[at], float(tops[at]), []
+                # The words that belong to the open line: tops ascend within a page.
+                end = at + 1
+                while end < len(tops) and keys[end] == page and tops[end] - first <= tolerance:
+                    end += 1
+                held += zip(places[at:end], texts[at:end], strict=True)
+                at = end
+            if out:
+                yield _batch(out, batch.schema)
+            last = batch.schema
+        if page is not None:
+            yield _batch([line()], last)
+
+    def _batch(lines: list[tuple], had: pa.Schema) -> pa.RecordBatch:
+        types = [had.field(c).type for c in part] + [pa.int64(), pa.float64()] + [pa.string()] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*lines, strict=True), types, strict=True)], names=[*part, "line_no", "top", *names])
+
+    return dealt.mapInArrow(run, schema)

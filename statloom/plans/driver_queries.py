@@ -499,7 +499,11 @@ def html_rows(spark, d):
     return parsed.groupBy(F.when(F.col("row.error").isNull(), "ok").otherwise("rejected").alias("state")).agg(F.count("*").alias("n"), F.count_distinct("row.publish_date").alias("days"))
 
 
-@query()
+@query("""
+WITH RECURSIVE w AS (SELECT l_suppkey AS page, l_returnflag AS text, l_quantity AS x0, l_orderkey * 1.5::DOUBLE AS top FROM lineitem),
+t AS (SELECT page, min(top) AS top, CAST(0 AS BIGINT) AS line_no FROM w GROUP BY page UNION ALL SELECT t.page, min(w.top), t.line_no + 1 FROM t JOIN w ON w.page = t.page AND w.top > t.top + 2 GROUP BY t.page, t.line_no)
+SELECT t.page, line_no, t.top, coalesce(string_agg(text, ' ' ORDER BY x0, w.top, text) FILTER (x0 < 20), '') AS cell_0, coalesce(string_agg(text, ' ' ORDER BY x0, w.top, text) FILTER (x0 >= 20 AND x0 < 40), '') AS cell_1, coalesce(string_agg(text, ' ' ORDER BY x0, w.top, text) FILTER (x0 >= 40), '') AS cell_2
+FROM t JOIN w ON w.page = t.page AND w.top BETWEEN t.top AND t.top + 2 GROUP BY ALL""")
 def line_clusters(spark, d):
     """Words of a page as lines of cells, folded page by page; a supplier's rows are a page."""
     rows = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("page"), F.col("l_returnflag").alias("text"), F.col("l_quantity").alias("x0"), (F.col("l_orderkey") * 1.5).cast("double").alias("top"))

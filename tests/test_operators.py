@@ -162,3 +162,23 @@ def test_readers():
         {"heading_path": ["A", "B"], "level": 3, "paragraphs": [], "links": [], "table_headers": ["H"], "table_rows": [["1"]]}]
     for reader in (html.page_links, html.sections, html.subject_index):
         assert reader(None) == [] and reader("<<<") == []
+
+
+def test_lines_of_a_long_page(spark):
+    import random
+
+    rnd = random.Random(2)
+    words = [(p, f"w{k}", rnd.choice([0.0, 55.0, 120.0]) + rnd.random(), rnd.random() * 900 if p else rnd.random() * 30_000) for p, n in ((0, 40_000), (1, 500), (2, 1)) for k in range(n)] + [(3, "no place", None, 1.0)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "777")
+    try:
+        got = folds.cluster_lines(spark.createDataFrame(words, "page int, text string, x0 double, top double").repartition(6), ["page"], [0.0, 50.0, 100.0]).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want, first, at = [], None, None
+    for p, text, x, top in sorted((w for w in words if w[2] is not None), key=lambda w: (w[0], w[3], w[2], w[1])):
+        if p != at or top - first > 2.0:
+            number = number + 1 if p == at else 0  # noqa: F821
+            at, first = p, top
+            want.append((p, number, top, [[], [], []]))
+        want[-1][3][int(x >= 50) + int(x >= 100)].append((x, text))
+    assert sorted(map(tuple, got)) == sorted((p, n, top, *(" ".join(t for _, t in sorted(c)) for c in cells)) for p, n, top, cells in want)
