@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,14 +37,22 @@ def unique_match(left: DataFrame, right: DataFrame, key: str, right_id: str) ->
     return left.join(once, key, "left").select(left["*"], F.when(F.col("n") == 1, F.col(right_id)).alias(right_id), state.alias("match_state"))
 
 
-def overlap_match(items: DataFrame, refs: DataFrame, block: list[str], tokens: str, item_id: str, ref_id: str, threshold: float = 0.5) -> DataFrame:
+def overlap_match(items: DataFrame, refs: DataFrame, block: list[str], tokens: str, item_id: str, ref_id: str, threshold: float = 0.5, folder: str | None = None) -> DataFrame:
     """Best reference per item by shared tokens over the reference's tokens, NULL on a tie.
 
+    The items' tokens are made once and written, to ``folder`` if there is one,
+    as pairs, counts and verification all need them.
+
     An item that shares enough tokens of a reference shares one of its rarest
     ones (all but as many as may be missing, and one), so pairs are made by
     those, and counted on whole token lists after.
     """
-    i = items.select(*block, item_id, F.array_distinct(tokens).alias("_all"))
+    from ..session import shared_dir
+
+    made = items.select(*block, item_id, F.array_distinct(tokens).alias("_all"))
+    path = f"{folder}/tokens-{uuid.uuid4().hex}" if folder else shared_dir(items.sparkSession)
+    made.write.parquet(path)
+    i = items.sparkSession.read.schema(made.schema).parquet(path)
     r = refs.select(*block, ref_id, F.array_distinct(tokens).alias("_ref")).withColumn("_size", F.size("_ref"))
     held = i.select(*block, item_id, F.explode("_all").alias("_t"))
     df = held.groupBy(*block, "_t").agg(F.count("*").alias("_df"))
@@ -55,7 +65,7 @@ def overlap_match(items: DataFrame, refs: DataFrame, block: list[str], tokens: s
     scored = pairs.join(i, [*block, item_id]).join(r, [*block, ref_id])
     scored = scored.withColumn("overlap", F.size(F.array_intersect("_all", "_ref")) / F.col("_size")).where(F.col("overlap") >= threshold)
     best = top1_or_null_on_tie(scored, [item_id], [F.desc("overlap"), F.desc("_size")], ref_id)
-    return items.select(item_id).join(best, item_id, "left")
+    return i.select(item_id).join(best, item_id, "left")
 
 
 def alias_pairs(df: DataFrame, key: list[str], code: str, known: DataFrame | None = None) -> DataFrame:

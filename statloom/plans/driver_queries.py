@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import checks, claims, folds, linking, merge, multiset, nested, pick
-from ..session import table
+from ..session import Scratch, table
 from ..sources import sinks
 from . import calendar, harvest, warehouse
 
@@ -113,7 +113,7 @@ def document_counts(spark, d):
 SELECT n_nationkey AS agency_id, n_name AS agency, r_name AS registry_org_nr, product_code, name, in_workbook, publication_status, (SELECT count(*) FROM entry e WHERE e.product_code = p.product_code) AS calendar_entries, coalesce(documents, 0) AS documents
 FROM nation JOIN region ON r_regionkey = n_regionkey JOIN product p ON agency_id = n_nationkey LEFT JOIN counts USING (product_code)""")
 def agency_products(spark, d):
-    return warehouse.v_agency_products(_products(spark, d), _agencies(spark, d), _entries(spark, d), _counts(spark, d))
+    return warehouse.v_agency_products(_products(spark, d), _agencies(spark, d), _entries(spark, d), warehouse.confirmed_documents(_claims(spark, d), _documents(spark, d)))
 
 
 @query(_LAYER + """,
@@ -552,7 +552,8 @@ def token_overlap_match(spark, d):
     """Best item per document by shared word stems of whole texts, NULL on a tie."""
     items = table(spark, d, "documents").select("doc_id", X.tokens(F.col("text")).alias("t"))
     refs = table(spark, d, "benchmark").select("item_id", X.tokens(F.col("text")).alias("t"))
-    return linking.overlap_match(items, refs, [], "t", "doc_id", "item_id", 0.5)
+    scratch = Scratch(spark)
+    return scratch.kept(linking.overlap_match(items, refs, [], "t", "doc_id", "item_id", 0.5, scratch.path), "matches")
 
 
 @query("SELECT event_id, props->>'$.k' AS k, CAST(NULL AS VARCHAR) AS town FROM events")

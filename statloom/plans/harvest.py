@@ -70,8 +70,10 @@ def documents(fragments: DataFrame, calls: DataFrame, pages: DataFrame, sources:
         F.lit("scb").alias("source"), "agency", "product_code", "product_match", "doc_type", "year", label.alias("title"), "url", "filetype", "source_url", "heading",
         F.nullif("amnesomrade", F.lit("")).alias("subject_area"), F.nullif("area", F.lit("")).alias("statistics_area"), "provenance", F.col("ordinal").alias("_pos"))
 
-    school = school_rows(calls).where(F.col("doc_type").isin(*SCHOOL_KINDS)).withColumn("_id", F.monotonically_increasing_id()).withColumn("agency", F.lit(SCHOOL_AGENCY))
-    found = name_matches(school, products, "_id", "agency", _all_tokens(F.col("title"), F.col("verkform"), F.col("omrade")))
+    school = school_rows(calls).where(F.col("doc_type").isin(*SCHOOL_KINDS)).withColumn("agency", F.lit(SCHOOL_AGENCY))
+    # A key of the content, as the rows are made again for the join: equal rows match the same.
+    school = school.withColumn("_id", F.xxhash64("title", "verkform", "omrade", "lasar", "url", "source_url"))
+    found = name_matches(school.dropDuplicates(["_id"]), products, "_id", "agency", _all_tokens(F.col("title"), F.col("verkform"), F.col("omrade")))
     school = school.join(found, "_id", "left").select(
         F.lit("siris").alias("source"), "agency", F.col("matched").alias("product_code"), F.when(F.col("matched").isNotNull(), "name").otherwise("").alias("product_match"), "doc_type", "year", "title", "url", "filetype", "source_url",
         F.concat_ws(" / ", "verkform", "omrade", "lasar").alias("heading"), text().alias("subject_area"), text().alias("statistics_area"), "provenance", F.col("_id").alias("_pos"))
