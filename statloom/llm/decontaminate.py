@@ -31,6 +31,8 @@ only and ``drop_contaminated`` gives all columns back, whatever their names.
 from __future__ import annotations
 
 import hashlib
+import itertools
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -195,11 +197,16 @@ def _matcher(items, window: int) -> Matcher:
     """The tables of one block; a worker builds them once and keeps those of the last block."""
     if not hasattr(items, "value"):
         return Matcher(items, window)
-    key = (items._path, items.value is not None and len(items.value), window)
-    if key not in _held:
+    name, block = items.value
+    if (name, window) not in _held:
         _held.clear()
-        _held[key] = Matcher(items.value, window)
-    return _held[key]
+        _held[name, window] = Matcher(block, window)
+    return _held[name, window]
+
+
+def _sent(spark: SparkSession, block):
+    """The block for all workers, under a name that no other block has."""
+    return spark.sparkContext.broadcast((uuid.uuid4().hex, block))
 
 
 def _hits(batches: Iterator[pa.RecordBatch], items, window: int) -> Iterator[tuple[pa.RecordBatch, int, int, np.ndarray, np.ndarray, list]]:
@@ -292,15 +299,18 @@ def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[o
 def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: words, hit words, items and verdict."""
     frame = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    blocks = [spark.sparkContext.broadcast(b) for b in item_blocks(benchmark, block_bytes)]
-    if len(blocks) <= 1:
-        items = blocks[0] if blocks else []
+    blocks = item_blocks(benchmark, block_bytes)
+    first, second = next(blocks, None), next(blocks, None)
+    if second is None:
+        items = [] if first is None else _sent(spark, first)
         return frame.mapInArrow(lambda it: _single(it, items, window), RESULT)
     rows = frame.withColumn("uid", F.monotonically_increasing_id())
     kept = f"{shared_dir(spark)}/blocks"
     schema = "uid bigint, doc_id bigint, n_words bigint, starts array<int>, ends array<int>, items array<string>"
-    for k, items in enumerate(blocks):
+    for block in itertools.chain((first, second), blocks):
+        items = _sent(spark, block)
         rows.mapInArrow(lambda it, items=items: _spans(it, items, window), schema).write.mode("append").parquet(kept)
+        items.destroy()
     united = spark.read.parquet(kept).groupBy("uid").agg(F.first("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.collect_list("starts").alias("starts"), F.collect_list("ends").alias("ends"), F.collect_list("items").alias("items"))
     return united.drop("uid").mapInArrow(_unite, RESULT)
 
@@ -309,7 +319,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame
     """The documents in which no window occurs, with the columns they came with."""
     kept = docs
     for block in item_blocks(benchmark, block_bytes):
-        items = spark.sparkContext.broadcast(block)
+        items = _sent(spark, block)
 
         def clean(batches, items=items):
             matcher = _matcher(items, window)

@@ -769,3 +769,32 @@ def test_pipeline_odd(spark, odd):
             assert rows.columns == df.columns
             rows = spark.createDataFrame(rows.collect(), df.schema)
         corpus_pipeline.STAGES[-1][1](spark, rows, SF).count()
+
+
+# --- faults that were found --------------------------------------------------------
+
+def test_decontamination_under_encryption(tmp_path):
+    """Broadcasts come another way to workers when Spark encrypts what it writes."""
+    import subprocess
+    import sys
+
+    code = f"""
+from statloom.llm import decontaminate
+from statloom.session import build_session
+spark = build_session("t", "local[2]", **{{"spark.io.encryption.enabled": "true", "spark.driver.memory": "1g", "spark.checkpoint.dir": "{tmp_path}"}})
+docs = spark.createDataFrame([(1, "a b c d e f g h i j k"), (2, "nothing of it")], "doc_id bigint, text string")
+items = spark.createDataFrame([(1, "b c d e f g h i j k"), (2, "other words in this one")], "item_id bigint, text string")
+for size in (1 << 25, 10):
+    print(sorted((r.doc_id, r.contaminated) for r in decontaminate.decontaminate(spark, docs, items, block_bytes=size).collect()))
+print([r.doc_id for r in decontaminate.drop_contaminated(spark, docs, items).collect()])
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd=__file__.rsplit("/tests/", 1)[0])
+    assert done.stdout.splitlines()[-3:] == ["[(1, True), (2, False)]"] * 2 + ["[2]"], done.stderr[-2000:]
+
+
+def test_labels_of_other_values(spark, docs):
+    """Labels beside 0 and 1 neither hide those two nor count as them."""
+    labels = table(spark, SF, "labels")
+    more = docs.join(labels, "doc_id", "left_anti").select("doc_id", (F.col("doc_id") % 3 + 2).alias("quality"), F.lit(0).alias("toxic")).limit(30)
+    model = quality_rules.fit(docs, labels.select("doc_id", F.col("quality").cast("bigint").alias("quality"), F.col("toxic").cast("int").alias("toxic")).unionByName(more))
+    assert model["threshold"] != quality_rules.DEFAULT_THRESHOLD
