@@ -23,8 +23,8 @@ all blocks are united before they are counted.
 Defined results: null or wordless texts have no words and no hits; wordless or
 null items have no window; items with equal item_id count once; items with a
 null item_id count as one item, which items_sha256 leaves out; repeated and
-null doc_ids are judged one by one; words of any length are searched; an empty
-benchmark leaves every document clean; ``decontaminate`` reads doc_id and text
+null doc_ids are judged one by one; words and texts of any length are searched; an
+empty table gives no rows; an empty benchmark leaves every document clean; ``decontaminate`` reads doc_id and text
 only and ``drop_contaminated`` gives all columns back, whatever their names.
 """
 

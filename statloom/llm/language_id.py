@@ -17,7 +17,10 @@ part; a task holds at most about ``HELD`` distinct ones before it adds them up.
 
 Defined results: a null text or one without a letter is `und` with score 0; if
 nothing can be learned every document is `und`; score is the share of the best
-cosine in a softmax over languages. Repeated doc_ids are predicted one by one.
+cosine in a softmax over languages. Repeated doc_ids are predicted one by one, null
+ones are not held out and are learned from; an empty table gives no rows; only
+doc_id, text and lang are read, so other columns may have any names; a text of
+any length counts whole, in arrays of some 50 bytes a letter of one document.
 """
 
 from __future__ import annotations

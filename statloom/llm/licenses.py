@@ -15,7 +15,9 @@ size; matches are aggregated before anything is shuffled and texts never are.
 Defined results: a null or empty text has no words, no labels and score 0;
 rows of equal doc_id and text have equal results. Words are lower-cased as
 Unicode letters, which changes no word boundary and none of the phrases.
-Score is the best verified coverage of a template, 0 without one.
+Score is the best verified coverage of a template, 0 without one. Null doc_ids are
+scanned like others; an empty table gives no rows; only doc_id and text are read,
+so other columns may have any names; texts of any length are scanned whole.
 """
 
 from __future__ import annotations

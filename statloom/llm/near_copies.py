@@ -34,6 +34,7 @@ a text with fewer words than a shingle has one shingle, its whole word
 sequence; an empty table gives no rows; columns keep their names and values,
 whatever they are called. One row of a component is kept: least doc_id, null
 last, then least MD5 of the text, and of rows that agree in both the least row.
+Texts of any length are compared whole.
 """
 
 from __future__ import annotations

@@ -27,7 +27,8 @@ pieces share is not ranked in one task at any size.
 
 Defined results: a null or empty text is one piece of its end id; rows with
 equal or null doc_ids are packed like others; columns other than doc_id and
-text are ignored, whatever their names; an empty table gives no rows.
+text are ignored, whatever their names; an empty table gives no rows; a text of
+any length is encoded whole and cut into pieces.
 """
 
 from __future__ import annotations

@@ -17,7 +17,9 @@ same labelled documents.
 Defined results: a null or empty text has no words and fails the base rules;
 without labels of both kinds the target is every document that passes the
 base rules and the threshold is ``DEFAULT_THRESHOLD``; repeated doc_ids are
-judged one by one; other columns are ignored.
+judged one by one, null ones too, which no label can name; other columns are
+ignored, whatever their names; an empty table gives no rows; a text of any length
+counts whole, in arrays of some 60 bytes a byte of one document.
 """
 
 from __future__ import annotations

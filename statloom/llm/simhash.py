@@ -23,7 +23,7 @@ is null or has no word has fingerprint zero and links like any other; a text
 with fewer words than a shingle has one shingle, its whole word sequence;
 rows with a null doc_id keep a null component of their own; repeated doc_ids
 are rows of their own; columns other than doc_id and text are ignored, whatever
-their names; an empty table gives no rows. The pipeline's near-dedup stage
+their names; an empty table gives no rows; texts of any length count whole. The pipeline's near-dedup stage
 (``near_copies``) uses the same fingerprints and links on five-word shingles
 and verifies pairs on whole texts.
 """

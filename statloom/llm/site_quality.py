@@ -19,7 +19,7 @@ site's; null host or path values are a site of their own; without labels of
 both kinds a score is 0 everywhere and every document has probability 1/2 of
 that kind, is not toxic and is kept; repeated and null doc_ids are judged one by
 one; only doc_id, text and the two site columns are read, so other columns may
-have any names; an empty table gives no rows.
+have any names; an empty table gives no rows; texts of any length count whole.
 """
 
 from __future__ import annotations

@@ -798,3 +798,41 @@ def test_labels_of_other_values(spark, docs):
     more = docs.join(labels, "doc_id", "left_anti").select("doc_id", (F.col("doc_id") % 3 + 2).alias("quality"), F.lit(0).alias("toxic")).limit(30)
     model = quality_rules.fit(docs, labels.select("doc_id", F.col("quality").cast("bigint").alias("quality"), F.col("toxic").cast("int").alias("toxic")).unionByName(more))
     assert model["threshold"] != quality_rules.DEFAULT_THRESHOLD
+
+
+# --- any table, any length -----------------------------------------------------------
+
+def _runs(spark):
+    word, byte = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
+    labels, benchmark = table(spark, SF, "labels"), table(spark, SF, "benchmark")
+    return {
+        "op2": lambda d: language_id.identify(d), "op3": lambda d: packing.pack(spark, d, word, 1).select("doc_id", "piece", "start", "length", "ids_crc32"),
+        "op4": lambda d: token_files.read_back(spark, token_files.write_tokens(spark, d, byte, 0, shared_dir(spark))).select("doc_id", "n_tokens", "ids_crc32"), "op6": lambda d: decontaminate.decontaminate(spark, d, benchmark),
+        "op7": lambda d: licenses.scan(spark, d), "op8": lambda d: quality_rules.quality_rules(spark, d, labels), "op9": lambda d: site_quality.classify(spark, d, labels), "op10": lambda d: simhash.near_duplicates(spark, d)}
+
+
+CLASHING = ("uid", "node", "n", "shard", "words", "score", "held_out", "lang_pred", "starts", "piece", "ids", "labels", "quality", "kept", "site", "fp", "component_id", "value", "doc_key", "h")
+
+
+@pytest.mark.parametrize("name", ["op2", "op3", "op4", "op6", "op7", "op8", "op9", "op10"])
+def test_clashing_columns_and_null_ids(spark, odd, name):
+    run = _runs(spark)[name]
+    plain = run(odd)
+    more = run(odd.withColumns({c: F.lit(k) for k, c in enumerate(CLASHING)}))
+    as_text = lambda df: sorted(str(tuple(round(v, 9) if isinstance(v, float) else v for v in r)) for r in df.collect())
+    assert plain.columns == more.columns and as_text(plain) == as_text(more)
+    assert run(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["op2", "op3", "op4", "op7", "op8", "op9", "op10"])
+def test_text_over_5_mb(spark, name):
+    line = "It was under the MIT license that the words of this text went on and on, said the licence.\n"
+    text = line * 60_000
+    assert len(text) > 5_000_000
+    df = spark.createDataFrame([(0, text, "en", "s", 1), (1, line, "en", "s", 1), (3, "anderes", "de", "s", 1)], DOCS)
+    row = {r["doc_id"]: r.asDict() for r in _runs(spark)[name](df).collect() if r["doc_id"] == 0}[0]
+    n = len(text.split())
+    want = {
+        "op2": lambda: row["lang_pred"] == "en", "op3": lambda: row["length"] <= 4096, "op4": lambda: row["n_tokens"] == len(Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids) + 1,
+        "op7": lambda: row["n_base"] == 60_000 and row["n_words"] == n, "op8": lambda: row["n_words"] == n and row["n_dup_lines"] == 59_999 and not row["kept"], "op9": lambda: True, "op10": lambda: row["component_id"] == 0}
+    assert want[name]()
