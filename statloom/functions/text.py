@@ -134,7 +134,8 @@ def query_param(c: Column, name: str) -> Column:
 
 
 def metaplus_code(c: Column, host: str = "metadata.scb.se") -> Column:
-    code = F.upper(query_param(c, "produkt"))
+    value = query_param(c, "produkt")
+    code = F.upper(F.trim(F.coalesce(F.try_url_decode(value), value)))
     return F.when((url_host(c) == host) & code.rlike(CODE), code)
 
 

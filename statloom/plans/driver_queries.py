@@ -661,7 +661,8 @@ def calendar_numbers(spark, d):
     rows = table(spark, d, "part").select(
         F.date_format(F.date_add(F.lit("2020-01-01").cast("date"), F.col("p_size")), "yyyy-MM-dd").alias("publish_date"), F.when(F.col("p_size") % 3 != 0, F.concat(F.lit("AM01"), F.lpad(F.col("p_size").cast("string"), 2, "0"))).alias("product_code"),
         F.concat("p_type", F.when(F.col("p_partkey") % 2 == 0, '-x "y"').otherwise("")).alias("product_name"), null.alias("reporting_round"), F.col("p_brand").alias("reference_period"), F.array("p_brand", F.lit("Tabell")).alias("forms"), F.col("p_name").alias("published_at"), null.alias("responsible_agency"), F.concat(F.lit("/p/"), "p_partkey").alias("product_url"))
-    return calendar.numbered(rows).select(F.substring("product_url", 4, 20).cast("bigint").alias("p_partkey"), "entry_id", "occurrence")
+    scratch = Scratch(spark)
+    return scratch.kept(calendar.numbered(rows, scratch.path).select(F.substring("product_url", 4, 20).cast("bigint").alias("p_partkey"), "entry_id", "occurrence"), "numbers")
 
 
 @query("""

@@ -182,3 +182,10 @@ def test_lines_of_a_long_page(spark):
             want.append((p, number, top, [[], [], []]))
         want[-1][3][int(x >= 50) + int(x >= 100)].append((x, text))
     assert sorted(map(tuple, got)) == sorted((p, n, top, *(" ".join(t for _, t in sorted(c)) for c in cells)) for p, n, top, cells in want)
+
+
+def test_code_of_a_metaplus_link(spark):
+    from statloom.functions import text as X
+
+    urls = ["https://metadata.scb.se/x?a=1&produkt=am0101", "https://metadata.scb.se/x?produkt=%20AM0101+", "https://metadata.scb.se/x?produkt=%41M0101", "https://metadata.scb.se/x?produkt=AM01", "https://other.se/x?produkt=AM0101", None]
+    assert [r[0] for r in spark.createDataFrame([(u,) for u in urls], "u string").select(X.metaplus_code(F.col("u"))).collect()] == ["AM0101"] * 3 + [None] * 3
