@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import delete
+
 ROLE, TEXT, END = "<|role|>", "<|text|>", "<|end|>"
 TRAINED = "assistant"
 
@@ -63,6 +65,7 @@ def write_examples(spark: SparkSession, conversations: DataFrame, folder: str) -
     made.select("conv_id", "pos", "start", "formatted").write.parquet(f"{folder}/turns")
     examples = made.where("mask_start IS NOT NULL").select("conv_id", F.col("pos").alias("example"), F.col("start").alias("context_end"), "mask_start", "mask_end", (F.col("start") + F.length("formatted")).alias("example_end"))
     examples.write.parquet(f"{folder}/examples")
+    delete(spark, f"{folder}/formatted")
     return folder
 
 
